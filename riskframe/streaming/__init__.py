@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analyses this package rebuilds are batch jobs over a finished table: no
+stream source, watermark, time window or stateful operator takes part in them,
+so this package defines no streaming operator. Every operator here is a plain
+``DataFrame -> DataFrame`` function and also accepts a streaming DataFrame
+wherever Spark allows the same operation on one.
+"""
