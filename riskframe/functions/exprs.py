@@ -24,7 +24,7 @@ def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
 
 def parse_month(text: ColumnOrName, fmt: str = "MMM-yyyy") -> Column:
     """Text such as ``Dec-2015`` to a DATE; unparsable text becomes NULL."""
-    return F.try_to_date(col(text), F.lit(fmt))
+    return F.try_to_date(col(text), fmt)
 
 
 def age_years(later: ColumnOrName, earlier: ColumnOrName) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import star, star_clean, star_sql
+from . import star, star_clean, star_misc, star_sql
 
 REGISTRY = star.REGISTRY
-ORACLE: dict[str, str] = {**star_sql.ORACLE, **star_clean.ORACLE_CLEAN}
+ORACLE: dict[str, str] = {**star_sql.ORACLE, **star_clean.ORACLE_CLEAN,
+                         **star_misc.ORACLE_MISC}
