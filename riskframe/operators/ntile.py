@@ -21,8 +21,9 @@ which Spark computes partially per split before a tiny shuffle:
    the search continues on the next key (the tie-break) inside it. A key
    value held by a third of all rows is split by the tie-break like any
    other bracket;
-4. once a bracket holds at most ``collect_limit`` rows, those rows (the key
-   columns only) are gathered and the target is read off directly.
+4. once a bracket holds at most ``collect_limit`` rows and at most 1/16 of
+   the rows taking part, those rows (the key columns only) are gathered and
+   the target is read off directly.
 
 On N rows this takes about log(N / collect_limit) / log(accuracy / 6)
 rounds: two or three at any practical size.
@@ -41,7 +42,7 @@ from pyspark.sql import types as T
 from ..functions.exprs import ColumnOrName, col
 
 DEFAULT_ACCURACY = 10_000
-DEFAULT_COLLECT_LIMIT = 50_000
+DEFAULT_COLLECT_LIMIT = 20_000
 
 
 @dataclass
@@ -58,6 +59,7 @@ class _Target:
     within: int = 0             # rows of the current group inside the bracket
     widen: float = 3.0
     result: tuple | None = None
+    cap: int = 0                # most rows gathered for this target (set on first use)
 
     @property
     def level(self) -> int:
@@ -157,14 +159,17 @@ def _refine(df: DataFrame, targets: list[_Target], accuracy: int) -> None:
 def select_ranks(df: DataFrame, targets: list[_Target], accuracy: int = DEFAULT_ACCURACY,
                  collect_limit: int = DEFAULT_COLLECT_LIMIT) -> list[tuple]:
     """Exact sort keys of the rows at the given ranks (all targets in lock-step)."""
+    for t in targets:
+        # gather at most 1/16 of the rows taking part, and never more than the limit
+        t.cap = t.cap or max(64, min(collect_limit, t.within // 16))
     while True:
         active = [t for t in targets if t.result is None]
         if not active:
             return [t.result for t in targets]
-        small = [t for t in active if t.within <= collect_limit]
+        small = [t for t in active if t.within <= t.cap]
         if small:
             _collect_small(df, small)
-        large = [t for t in active if t.within > collect_limit]
+        large = [t for t in active if t.within > t.cap]
         if large:
             _refine(df, large, accuracy)
 
@@ -270,35 +275,53 @@ def quantile_profile(df: DataFrame, order_by: ColumnOrName, n: int,
             .orderBy(tile_alias))
 
 
-def exact_quantiles(df: DataFrame, column: ColumnOrName, probs: list[float],
+def exact_quantiles(df: DataFrame, columns: list[ColumnOrName] | ColumnOrName, probs: list[float],
                     accuracy: int = DEFAULT_ACCURACY,
-                    collect_limit: int = DEFAULT_COLLECT_LIMIT) -> list[float | None]:
-    """Exact quantiles of a numeric column with linear interpolation (the
-    meaning of SQL ``percentile`` / ``quantile_cont``); NULL and NaN ignored.
-
-    Returns Python floats (None for an empty column). Only the two order
-    statistics around each probability are selected; no value list is built.
+                    collect_limit: int = DEFAULT_COLLECT_LIMIT) -> list:
+    """Exact quantiles with linear interpolation (the meaning of SQL
+    ``percentile`` / ``quantile_cont``); NULL and NaN are ignored.
+
+    For one column, a list of floats (None for an empty column); for a list of
+    columns, one such list per column. Only the two order statistics around
+    each probability are selected, for all columns in the same passes; no
+    value list is ever built.
     """
-    x = col(column).cast("double")
-    ok = x.isNotNull() & ~F.isnan(x)
-    n_rows = df.agg(F.count_if(ok).alias("n")).collect()[0]["n"]
-    if n_rows == 0:
-        return [None for _ in probs]
-    need: dict[int, _Target] = {}
-    plan = []
+    single = not isinstance(columns, list)
+    cols = [columns] if single else list(columns)
     for p in probs:
         if not 0.0 <= p <= 1.0:
             raise ValueError("probabilities must lie in [0, 1]")
-        h = (n_rows - 1) * p
-        lo_i, hi_i = math.floor(h), math.ceil(h)
-        plan.append((h, lo_i, hi_i))
-        for i in (lo_i, hi_i):
-            need.setdefault(i, _Target(keys=[x], base=ok, rank=i + 1, within=n_rows))
-    order = sorted(need)
-    values = dict(zip(order, (v[0] for v in select_ranks(
-        df, [need[i] for i in order], accuracy, collect_limit))))
+    xs = [col(c).cast("double") for c in cols]
+    oks = [x.isNotNull() & ~F.isnan(x) for x in xs]
+    crow = df.agg(*[F.count_if(ok).alias(f"n{i}") for i, ok in enumerate(oks)]).collect()[0]
+    targets: list[_Target] = []
+    plans = []
+    for i, (x, ok) in enumerate(zip(xs, oks)):
+        n_rows = crow[f"n{i}"]
+        if n_rows == 0:
+            plans.append(None)
+            continue
+        need: dict[int, _Target] = {}
+        plan = []
+        for p in probs:
+            h = (n_rows - 1) * p
+            lo_i, hi_i = math.floor(h), math.ceil(h)
+            plan.append((h, lo_i, hi_i))
+            for r in (lo_i, hi_i):
+                if r not in need:
+                    need[r] = _Target(keys=[x], base=ok, rank=r + 1, within=n_rows)
+                    targets.append(need[r])
+        plans.append((plan, need))
+    select_ranks(df, targets, accuracy, collect_limit)
     out = []
-    for h, lo_i, hi_i in plan:
-        lo_v, hi_v = values[lo_i], values[hi_i]
-        out.append(float(lo_v) if hi_i == lo_i else lo_v + (h - lo_i) * (hi_v - lo_v))
-    return out
+    for entry in plans:
+        if entry is None:
+            out.append([None for _ in probs])
+            continue
+        plan, need = entry
+        vals = []
+        for h, lo_i, hi_i in plan:
+            lo_v, hi_v = need[lo_i].result[0], need[hi_i].result[0]
+            vals.append(float(lo_v) if hi_i == lo_i else lo_v + (h - lo_i) * (hi_v - lo_v))
+        out.append(vals)
+    return out[0] if single else out

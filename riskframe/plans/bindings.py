@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import star, star_clean, star_misc, star_sql
+from . import star, star_clean, star_dist, star_misc, star_sql
 
 REGISTRY = star.REGISTRY
 ORACLE: dict[str, str] = {**star_sql.ORACLE, **star_clean.ORACLE_CLEAN,
-                         **star_misc.ORACLE_MISC}
+                         **star_misc.ORACLE_MISC, **star_dist.ORACLE_DIST}
