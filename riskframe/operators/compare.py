@@ -1,10 +1,11 @@
 """Group-versus-whole comparisons.
 
-The source table is scanned and aggregated once. "Overall" and "subgroup"
-figures are derived from the already aggregated table by summing the
+The source table is scanned and aggregated once. The per-group aggregate is
+written to the shared checkpoint folder (it has one row per group), and the
+"overall" and "subgroup" figures are derived from it by summing the
 per-group sums and non-NULL counts. This gives the same mean as averaging
-the rows again, without a second scan of the source or a join of two full
-aggregates. The one-row overall aggregate is the only broadcast side.
+the rows again, without a second scan of the source. The one-row overall
+aggregate is the only broadcast side.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ColumnOrName, col, percent, ratio
+from ..session import materialize
 from .joins import one_row
 
 
@@ -31,6 +33,7 @@ def compare_to_overall(df: DataFrame, key: str, value: ColumnOrName, hit: Column
               .agg(F.count(F.lit(1)).alias(total_alias), F.count_if(hit).alias(hit_alias),
                    F.avg(v).alias(avg_alias), F.sum(v).alias("_sum"), F.count(v).alias("_cnt"),
                    *[c.alias(n) for n, c in (extra_aggs or {}).items()]))
+    groups = materialize(groups)      # one scan of the source feeds both uses below
     overall = groups.agg(ratio(F.sum("_sum"), F.sum("_cnt")).alias("_overall"))
     out = (groups.crossJoin(one_row(overall))
            .withColumn(rate_alias, percent(hit_alias, total_alias))
@@ -62,6 +65,7 @@ def compare_to_subgroup(df: DataFrame, fine: Sequence[str], coarse: Sequence[str
                    *[c.alias(n) for n, c in (aggs or {}).items()],
                    F.avg(m).alias(measure_alias), F.count_if(hit).alias("_hit"),
                    F.sum(m).alias("_sum"), F.count(m).alias("_cnt")))
+    fine_t = materialize(fine_t)      # one scan of the source feeds both uses below
     coarse_t = (fine_t.groupBy(*coarse)
                 .agg(ratio(F.sum("_sum"), F.sum("_cnt")).alias("_coarse"))
                 .select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(coarse)], "_coarse"))

@@ -74,3 +74,15 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df):
+    """Compute ``df`` once and write it to the shared checkpoint folder
+    (reliable ``checkpoint``, not a local one, so it survives executor loss).
+
+    Used for small intermediate results read more than once, such as a
+    per-group aggregate that is both the answer and the input of an overall
+    figure: the large source is then scanned once instead of once per use.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
