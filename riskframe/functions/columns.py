@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .exprs import try_number
+
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     """Raise one clear error listing every missing column."""
@@ -35,9 +37,11 @@ def safe_cast(df: DataFrame, columns: Mapping[str, str] | Iterable[str],
     out: dict[str, Column] = {}
     for name, typ in mapping.items():
         src = F.col(f"`{name}`")
+        text = isinstance(df.schema[name].dataType, T.StringType)
         if strip_chars:
             src = F.regexp_replace(src.cast("string"), f"[{re.escape(strip_chars)}]", "")
-        cast = src.try_cast(typ)
+            text = True
+        cast = try_number(src, typ) if text else src.try_cast(typ)
         if nan_as_null and typ in ("double", "float"):
             cast = F.nanvl(cast, F.lit(None).cast(typ))
         out[name] = cast

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -25,9 +26,39 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its row count is within the bound, else ``df`` unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+# Spark's default per-value size estimates by type (bytes).
+_TYPE_BYTES = {"byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8,
+               "boolean": 1, "date": 4, "timestamp": 8, "timestamp_ntz": 8, "string": 20,
+               "binary": 100}
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (Spark's default type sizes;
+    decimals 16, nested types 100)."""
+    total = 0
+    for f in df.schema.fields:
+        name = f.dataType.typeName()
+        total += _TYPE_BYTES.get(name, 16 if name == "decimal" else 100)
+    return max(1, total) + 8
+
+
+def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                        max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int:
+    """The most rows of ``df`` that may be broadcast: bounded by count and by bytes."""
+    return max(1, min(max_rows, max_bytes // row_bytes(df)))
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its row count (and estimated bytes) is within the
+    bound, else ``df`` unchanged: the join then stays a shuffle join, and AQE
+    may still broadcast it from the size measured at run time.
+
+    Select the join keys and payload columns before calling: the count reads
+    only them, and the broadcast carries only them.
+    """
+    bound = broadcast_row_bound(df, max_rows, max_bytes)
+    return F.broadcast(df) if row_count_at_most(df, bound) else df
 
 
 def one_row(df: DataFrame) -> DataFrame:
@@ -49,7 +80,8 @@ def attach_by_key(rows: DataFrame, groups: DataFrame, keys: Sequence[str],
     renamed = groups.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                             *[c for c in groups.columns if c not in keys])
     probe = distinct_keys if distinct_keys is not None else groups.select(*keys)
-    side = F.broadcast(renamed) if row_count_at_most(probe, max_broadcast_rows) else renamed
+    bound = broadcast_row_bound(renamed, max_broadcast_rows)
+    side = F.broadcast(renamed) if row_count_at_most(probe, bound) else renamed
     cond = None
     for i, k in enumerate(keys):
         c = rows[k].eqNullSafe(F.col(f"__k{i}"))

@@ -114,15 +114,37 @@ def _collect_small(df: DataFrame, targets: list[_Target]) -> None:
 
 
 def _refine(df: DataFrame, targets: list[_Target], accuracy: int) -> None:
-    """One percentile pass and one exact count pass for every large bracket."""
-    pct = []
+    """One percentile pass and one exact count pass for every large bracket.
+
+    Targets whose current bracket is the same (for example all n-tile
+    boundaries in the first round) share one ``percentile_approx`` summary
+    evaluated at all their fractions.
+    """
+    groups: dict[str, list[int]] = {}
+    fracs: list[tuple[float, float]] = []
     for j, t in enumerate(targets):
         f = (t.rank - t.below - 0.5) / t.within
         d = t.widen / accuracy
-        pct.append(F.percentile_approx(F.when(t.bracket(), t.keys[t.level]),
-                                       [max(0.0, f - d), min(1.0, f + d)], accuracy).alias(f"_p{j}"))
+        fracs.append((max(0.0, f - d), min(1.0, f + d)))
+        sig = repr((str(t.keys[t.level]), str(t.bracket())))
+        groups.setdefault(sig, []).append(j)
+    pct, where = [], {}
+    for g, members in enumerate(groups.values()):
+        t = targets[members[0]]
+        ps: list[float] = []
+        for j in members:
+            for p in fracs[j]:
+                if p not in ps:
+                    ps.append(p)
+                where[(j, p)] = (g, ps.index(p))
+        pct.append(F.percentile_approx(F.when(t.bracket(), t.keys[t.level]), ps, accuracy)
+                   .alias(f"_p{g}"))
     prow = df.agg(*pct).collect()[0]
-    cuts = [(prow[f"_p{j}"][0], prow[f"_p{j}"][1]) for j in range(len(targets))]
+    cuts = []
+    for j in range(len(targets)):
+        lo_g, lo_i = where[(j, fracs[j][0])]
+        hi_g, hi_i = where[(j, fracs[j][1])]
+        cuts.append((prow[f"_p{lo_g}"][lo_i], prow[f"_p{hi_g}"][hi_i]))
 
     cnt = []
     for j, (t, (lo, hi)) in enumerate(zip(targets, cuts)):

@@ -66,7 +66,8 @@ def q03_conditional_share(spark, sf_dir):
 @query
 def q04_group_profile(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    # customer grows with the data: broadcast only while its checked size is small
+    c = checked_broadcast(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal"))
     # nation is a fixed-size dimension; its size is still checked before broadcasting.
     n = checked_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     fact = (o.join(c, o.o_custkey == c.c_custkey)
@@ -99,7 +100,7 @@ def q06_diff_from_group_mean(spark, sf_dir):
 @query
 def q07_rate_by_group(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    p = checked_broadcast(table(spark, sf_dir, "part").select("p_partkey", "p_brand"))
     fact = li.join(p, li.l_partkey == p.p_partkey)
     out = measures.rate_by_group(
         fact, "p_brand", base=F.col("l_returnflag").isin("R", "A"),

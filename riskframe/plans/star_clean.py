@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import clean
+from ..operators.joins import checked_broadcast
 from .cleaning import CleaningSpec, clean_table
 from .star import _r, query, table
 
@@ -38,7 +39,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 
 def dirty_lines(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
+    o = checked_broadcast(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate"))
     ln = F.col("l_linenumber")
     null = F.lit(None)
     return (li.join(o, li.l_orderkey == o.o_orderkey).select(

@@ -16,8 +16,9 @@ from ..ml import features as feat
 from ..ml import suite
 from ..ml.metrics import classification_metrics, regression_metrics
 from ..operators import clean
+from ..operators.joins import checked_broadcast
 from ..operators.sampling import split_rows
-from ..session import scratch_path
+from ..session import scratch_path, stage_table
 from ..sources.models import load_model, save_model
 from .star import _r, query, table
 
@@ -31,7 +32,8 @@ ORACLE_ML: dict[str, str] = {}
 
 def order_table(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
+    c = checked_broadcast(table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_acctbal", "c_mktsegment"))
     lines = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("sum_quantity"),
                   F.avg("l_discount").alias("avg_discount")))
@@ -60,13 +62,15 @@ t AS (SELECT o_orderkey, o_orderstatus, o_totalprice,
 """
 
 
-def labelled_rows(spark, sf_dir):
-    return feat.add_labels(feat.select_rows(order_table(spark, sf_dir), SPEC), SPEC)
+def labelled_rows(spark, sf_dir, staged=False):
+    rows = feat.add_labels(feat.select_rows(order_table(spark, sf_dir), SPEC), SPEC)
+    # the fits below scan their input several times: compute the joins once
+    return stage_table(rows, "ml_rows") if staged else rows
 
 
 @query
 def ml_impute(spark, sf_dir):
-    rows = feat.select_rows(order_table(spark, sf_dir), SPEC)
+    rows = stage_table(feat.select_rows(order_table(spark, sf_dir), SPEC), "ml_impute_rows")
     return _r(feat.impute_mean(rows, NUMERIC).select("o_orderkey", *NUMERIC))
 
 
@@ -90,7 +94,7 @@ _VECTOR = NUMERIC + [f"segment_{s}" for s in SEGMENTS]
 
 @query
 def ml_standardize(spark, sf_dir):
-    rows = labelled_rows(spark, sf_dir)
+    rows = labelled_rows(spark, sf_dir, staged=True)
     prep = feat.fit_preparation(rows, SPEC)          # fitted on all rows, so SQL can check it
     out = prep.transform(rows, keep=["o_orderkey"])
     arr = vector_to_array(F.col(feat.FEATURES))
@@ -154,7 +158,7 @@ UNION ALL SELECT 'r2', round(1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(
 
 
 def prepared_splits(spark, sf_dir, keep=()):
-    rows = labelled_rows(spark, sf_dir)
+    rows = labelled_rows(spark, sf_dir, staged=True)
     train, val, test = split_rows(rows, [0.7, 0.15, 0.15], keys=["o_orderkey"], seed=42)
     prep = feat.fit_preparation(train, SPEC)
     return ({"train": prep.transform(train, keep), "validation": prep.transform(val, keep),

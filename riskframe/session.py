@@ -86,3 +86,15 @@ def materialize(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a reader of it: for inputs that an iterative job (imputer,
+    scaler, tree fits) scans many times and that are costly to recompute,
+    such as a join. Columnar, so later passes read only the columns they use.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
