@@ -110,3 +110,20 @@ def box_summary(df: DataFrame, columns: Sequence[str], reach: float = WHISKER_RE
                  F.max(F.when(inside, x)).alias(f"upper_whisker{i}"),
                  F.count_if(x.isNotNull() & ~inside).alias(f"n_outliers{i}")]
     return _long(df.agg(*aggs), columns, fields)
+
+
+def numeric_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
+    """The numeric columns among ``columns`` (default: all), in order."""
+    from pyspark.sql import types as T
+    names = list(columns) if columns is not None else df.columns
+    return [c for c in names if isinstance(df.schema[c].dataType, T.NumericType)]
+
+
+def histogram_first(df: DataFrame, n: int, bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """Histograms of the numeric columns among the first ``n`` columns."""
+    return histogram(df, numeric_columns(df, df.columns[:n]), bins)
+
+
+def box_summary_at(df: DataFrame, index: int, reach: float = WHISKER_REACH) -> DataFrame:
+    """Box summary of the column at position ``index``."""
+    return box_summary(df, [df.columns[index]], reach)

@@ -68,20 +68,22 @@ def one_row(df: DataFrame) -> DataFrame:
 
 def attach_by_key(rows: DataFrame, groups: DataFrame, keys: Sequence[str],
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                  how: str = "inner", distinct_keys: DataFrame | None = None) -> DataFrame:
+                  how: str = "inner") -> DataFrame:
     """Join one-row-per-key ``groups`` onto ``rows`` with NULL-safe key equality.
 
     NULL keys match each other, as they do in ``groupBy`` or a window
-    partition. The number of groups is checked first, on ``distinct_keys`` if
-    given: a cheap key-only count. Within the bound ``groups`` is broadcast,
-    so the fact rows are never shuffled. Beyond it the join is a sort-merge
-    join, and AQE splits a hot key's partition across tasks.
+    partition. ``groups`` (an aggregate of ``rows``) is computed once and
+    written to the shared checkpoint folder. Its row count then costs no
+    extra scan, and the source is read twice in all: once to aggregate, once
+    to attach. Within the row and byte bound ``groups`` is broadcast, so the
+    fact rows are never shuffled. Beyond it the join is a sort-merge join, and
+    AQE splits a hot key's partition across tasks.
     """
-    renamed = groups.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                            *[c for c in groups.columns if c not in keys])
-    probe = distinct_keys if distinct_keys is not None else groups.select(*keys)
+    from ..session import materialize
+    renamed = materialize(groups.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                                        *[c for c in groups.columns if c not in keys]))
     bound = broadcast_row_bound(renamed, max_broadcast_rows)
-    side = F.broadcast(renamed) if row_count_at_most(probe, bound) else renamed
+    side = F.broadcast(renamed) if row_count_at_most(renamed, bound) else renamed
     cond = None
     for i, k in enumerate(keys):
         c = rows[k].eqNullSafe(F.col(f"__k{i}"))

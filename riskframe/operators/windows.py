@@ -2,10 +2,11 @@
 
 ``avg(x) OVER (PARTITION BY k)`` would shuffle and sort every row by ``k``
 and put each group, however large, into one task. Here the groups are
-aggregated first, with partial aggregation before the shuffle, and the
-per-group means are joined back (see ``joins.attach_by_key``). Within the
-checked size bound the means are broadcast, so the fact rows never move.
-The answer is the same, NULL keys included.
+aggregated first, with partial aggregation before the shuffle. The small
+per-group table is written once to the checkpoint folder, and the per-group
+means are joined back (see ``joins.attach_by_key``). Within the checked
+size bound the means are broadcast, so the fact rows never move. The answer
+is the same, NULL keys included.
 """
 
 from __future__ import annotations
@@ -39,6 +40,5 @@ def diff_from_group_mean(df: DataFrame, keys: Sequence[str] | str, value: str,
     for k in keys + [value]:
         if k not in rows.columns:
             raise ValueError(f"columns must include {k!r}")
-    out = attach_by_key(rows, means, keys, max_broadcast_rows,
-                        distinct_keys=df.select(*keys).distinct())
+    out = attach_by_key(rows, means, keys, max_broadcast_rows)
     return out.withColumn(diff_alias, F.col(value) - F.col(mean_alias))

@@ -46,12 +46,30 @@ LEFT JOIN (SELECT b, count(*) AS n FROM (
 ORACLE_DIST["dst_histogram"] = " UNION ALL ".join(_hist_sql(c) for c in HIST_COLUMNS)
 
 
+FIRST_N = 8   # lineitem's first 8 columns are all numeric
+
+
+@query
+def dst_histogram_first_columns(spark, sf_dir):
+    return _r(distribution.histogram_first(table(spark, sf_dir, "lineitem"), FIRST_N, 30))
+
+
+_FIRST = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+          "l_extendedprice", "l_discount", "l_tax"]
+ORACLE_DIST["dst_histogram_first_columns"] = " UNION ALL ".join(_hist_sql(c) for c in _FIRST)
+
+
+@query
+def dst_box_at_index(spark, sf_dir):
+    return _r(distribution.box_summary_at(table(spark, sf_dir, "orders"), 3))   # o_totalprice
+
+
 @query
 def dst_box_summary(spark, sf_dir):
     return _r(distribution.box_summary(table(spark, sf_dir, "lineitem"), BOX_COLUMNS))
 
 
-def _box_sql(c: str) -> str:
+def _box_sql(c: str, tab: str = "lineitem") -> str:
     return f"""
 SELECT '{c}' AS "column", count({c}) AS count, round(min({c}), 6) AS min, round(q.q1, 6) AS q1,
        round(q.med, 6) AS median, round(q.q3, 6) AS q3, round(max({c}), 6) AS max,
@@ -61,10 +79,12 @@ SELECT '{c}' AS "column", count({c}) AS count, round(min({c}), 6) AS min, round(
            AS upper_whisker,
        count_if({c} IS NOT NULL AND NOT ({c} >= q.q1 - 1.5 * (q.q3 - q.q1) AND {c} <= q.q3 + 1.5 * (q.q3 - q.q1)))
            AS n_outliers
-FROM lineitem, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS med,
-                       quantile_cont({c}, 0.75) AS q3 FROM lineitem) q
+FROM {tab}, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS med,
+                       quantile_cont({c}, 0.75) AS q3 FROM {tab}) q
 GROUP BY q.q1, q.med, q.q3
 """
 
 
 ORACLE_DIST["dst_box_summary"] = " UNION ALL ".join(_box_sql(c) for c in BOX_COLUMNS)
+
+ORACLE_DIST["dst_box_at_index"] = _box_sql("o_totalprice", "orders")

@@ -105,3 +105,23 @@ def snk_single_csv(spark, sf_dir):
 
 
 ORACLE_IO["snk_single_csv"] = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+
+
+_LINE_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query
+def src_numeric_stats(spark, sf_dir):
+    """Headerless text file -> canonical names by position -> typed describe."""
+    from ..operators.distribution import describe_table
+    path = scratch_path(spark, "src_numeric_stats")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", *_LINE_NUMERIC)
+    files.write_table(li, path, fmt="csv", header=False)
+    raw = files.apply_header(files.read_raw(spark, path, header=False), ["l_orderkey"] + _LINE_NUMERIC)
+    return _r(describe_table(safe_cast(raw, _LINE_NUMERIC), _LINE_NUMERIC))
+
+
+ORACLE_IO["src_numeric_stats"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 6) AS mean, "
+    f"round(stddev_samp({c}), 6) AS stddev, round(min({c}), 6) AS min, round(max({c}), 6) AS max "
+    f"FROM lineitem" for c in _LINE_NUMERIC)
