@@ -4,8 +4,8 @@ The source table is scanned and aggregated once. The per-group aggregate is
 written to the shared checkpoint folder (it has one row per group), and the
 "overall" and "subgroup" figures are derived from it by summing the
 per-group sums and non-NULL counts. This gives the same mean as averaging
-the rows again, without a second scan of the source. The one-row overall
-aggregate is the only broadcast side.
+the rows again, without a second scan of the source and without a join of
+two full aggregates.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import ColumnOrName, col, percent, ratio
 from ..session import materialize
-from .joins import one_row
 
 
 def compare_to_overall(df: DataFrame, key: str, value: ColumnOrName, hit: Column,
@@ -34,10 +33,12 @@ def compare_to_overall(df: DataFrame, key: str, value: ColumnOrName, hit: Column
                    F.avg(v).alias(avg_alias), F.sum(v).alias("_sum"), F.count(v).alias("_cnt"),
                    *[c.alias(n) for n, c in (extra_aggs or {}).items()]))
     groups = materialize(groups)      # one scan of the source feeds both uses below
-    overall = groups.agg(ratio(F.sum("_sum"), F.sum("_cnt")).alias("_overall"))
-    out = (groups.crossJoin(one_row(overall))
+    # overall mean = sum of group sums / sum of group counts, read off the
+    # small checkpointed table and attached as a literal
+    overall = groups.agg(ratio(F.sum("_sum"), F.sum("_cnt")).alias("o")).collect()[0]["o"]
+    out = (groups
            .withColumn(rate_alias, percent(hit_alias, total_alias))
-           .withColumn(ratio_alias, ratio(avg_alias, "_overall"))
+           .withColumn(ratio_alias, ratio(avg_alias, F.lit(overall).cast("double")))
            .select(key, total_alias, hit_alias, rate_alias, avg_alias, ratio_alias,
                    *(extra_aggs or {}).keys()))
     ordered = out.orderBy(F.col(rate_alias).desc(), F.col(key).asc())

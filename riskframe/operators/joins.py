@@ -1,8 +1,8 @@
 """Join helpers that broadcast only sides of a checked size.
 
 Static (estimate-based) broadcast is disabled in ``build_session``. A side is
-broadcast here only if it is provably small: a global aggregate (exactly one
-row) or a table whose row count was checked against a bound. Beyond the
+broadcast here only if it is provably small: its row count was checked
+against a bound derived from a row limit and an estimated byte limit. Beyond the
 bound the join stays a shuffle join, and AQE splits skewed partitions.
 """
 
@@ -61,11 +61,6 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     return F.broadcast(df) if row_count_at_most(df, bound) else df
 
 
-def one_row(df: DataFrame) -> DataFrame:
-    """Mark a global aggregate (exactly one row by construction) for broadcast."""
-    return F.broadcast(df)
-
-
 def attach_by_key(rows: DataFrame, groups: DataFrame, keys: Sequence[str],
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                   how: str = "inner") -> DataFrame:
