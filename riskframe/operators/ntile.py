@@ -211,8 +211,12 @@ def _orderable(df: DataFrame, c: Column) -> tuple[Column, bool]:
     dtype = df.select(c.alias("_c")).schema["_c"].dataType
     if isinstance(dtype, T.DateType):
         return F.unix_date(c), False
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")), False
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c), False
+    if isinstance(dtype, T.TimestampNTZType):
+        # microseconds from a wall-clock epoch: no time zone, so no DST fold
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, c), False
     if isinstance(dtype, T.BooleanType):
         return c.cast("int"), False
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
@@ -338,7 +342,13 @@ def exact_quantiles(df: DataFrame, columns: list[ColumnOrName] | ColumnOrName, p
             raise ValueError("probabilities must lie in [0, 1]")
     xs = [col(c).cast("double") for c in cols]
     oks = [x.isNotNull() & ~F.isnan(x) for x in xs]
-    crow = df.agg(*[F.count_if(ok).alias(f"n{i}") for i, ok in enumerate(oks)]).collect()[0]
+    # the counting pass also takes percentiles just around each probability:
+    # a guess of the bracket that saves the first percentile pass
+    d = 4.0 / accuracy
+    guess = sorted({min(1.0, max(0.0, p + e)) for p in probs for e in (-d, d)})
+    crow = df.agg(*[F.count_if(ok).alias(f"n{i}") for i, ok in enumerate(oks)],
+                  *[F.percentile_approx(F.when(ok, x), guess, accuracy).alias(f"g{i}")
+                    for i, (x, ok) in enumerate(zip(xs, oks))]).collect()[0]
     targets: list[_Target] = []
     plans = []
     for i, (x, ok) in enumerate(zip(xs, oks)):
@@ -352,9 +362,13 @@ def exact_quantiles(df: DataFrame, columns: list[ColumnOrName] | ColumnOrName, p
             h = (n_rows - 1) * p
             lo_i, hi_i = math.floor(h), math.ceil(h)
             plan.append((h, lo_i, hi_i))
+            seeds = dict(zip(guess, crow[f"g{i}"] or []))
+            lo_p, hi_p = min(1.0, max(0.0, p - d)), min(1.0, max(0.0, p + d))
             for r in (lo_i, hi_i):
                 if r not in need:
                     need[r] = _Target(keys=[x], base=ok, rank=r + 1, within=n_rows)
+                    if lo_p in seeds and hi_p in seeds:
+                        need[r].seed = (seeds[lo_p], seeds[hi_p])
                     targets.append(need[r])
         plans.append((plan, need))
     select_ranks(df, targets, accuracy, collect_limit)

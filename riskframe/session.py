@@ -50,11 +50,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     tests) is a fresh folder created and registered, so later calls and
     ``DataFrame.checkpoint()`` agree on one place.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if root:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return root
     if not root:
         root = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     sc.setCheckpointDir(root)

@@ -93,3 +93,17 @@ def test_quantile_profile_counts(spark):
     df = _make(spark, CASES["heavy_third"])
     prof = ntile.quantile_profile(df, "x", 4, ["id"], {"n": F.count(F.lit(1))}).collect()
     assert [r["n"] for r in prof] == [225, 225, 225, 225]
+
+
+def test_ntile_timestamp_ntz_across_dst_fold(spark):
+    # wall-clock times inside a "fall back" hour must keep their order
+    rows = [(i, f"2021-11-07 01:{i % 60:02d}:{i % 7:02d}") for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, t string").withColumn(
+        "t", F.col("t").cast("timestamp_ntz"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = _ours(df, "t", 4, "id", accuracy=40, collect_limit=4)
+        assert got == _reference(df, "t", 4, "id")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
