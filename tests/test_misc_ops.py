@@ -70,3 +70,22 @@ def test_metrics_match_mllib(spark):
     for name in ("rmse", "r2"):
         ev = RegressionEvaluator(labelCol="y", predictionCol="p", metricName=name)
         assert reg[name] == pytest.approx(ev.evaluate(df), rel=1e-9)
+
+
+def test_missing_regression_target_raises(spark):
+    from riskframe.ml.features import FeatureSpec, add_labels
+    df = spark.createDataFrame([(1.0, "Fully Paid")], "x double, status string")
+    spec = FeatureSpec(numeric=["x"], status_column="status", negative_status="Fully Paid",
+                       reg_target="fico_range_low")
+    with pytest.raises(ValueError, match="fico_range_low"):
+        add_labels(df, spec)
+
+
+def test_gated_cast_equals_try_cast(spark):
+    from riskframe.functions.exprs import try_number
+    vals = ["12", " 12 ", "+1", "1.5", "1e3", "1.5d", "NaN", "-Infinity", "0x1p3", "0x10", "",
+            "abc", "9999999999", ".5", "5.", "1,0", None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    for t in ("int", "bigint", "double"):
+        for r in df.select(F.col("v").try_cast(t).alias("a"), try_number("v", t).alias("b")).collect():
+            assert (r.a == r.b) or (r.a != r.a and r.b != r.b)
