@@ -26,8 +26,8 @@ def classification_metrics(pred: DataFrame, label: str = "label_class",
                                  F.sum(F.when(F.col("y") == F.col("p"), F.col("n"))
                                        .otherwise(F.lit(0))).alias("tp"))
     by_p = conf.groupBy(F.col("p").alias("c")).agg(F.sum("n").alias("n_p"))
-    # both sides hold one row per class
-    cls = by_y.join(F.broadcast(by_p), F.col("y") == F.col("c"), "left")
+    # both sides hold one row per class; AQE broadcasts them from their measured size
+    cls = by_y.join(by_p, F.col("y") == F.col("c"), "left")
     precision = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("n_p")), F.lit(0.0))
     recall = F.try_divide(F.col("tp").cast("double"), F.col("n_y"))
     cls = cls.select("n_y", "tp", precision.alias("prec"), recall.alias("rec"))
