@@ -26,6 +26,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove checkpoint files once the DataFrame that wrote them is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

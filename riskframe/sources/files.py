@@ -34,16 +34,20 @@ def string_schema(names: Sequence[str]) -> T.StructType:
 
 def read_raw(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv",
              schema: T.StructType | str | None = None, header: bool = True,
-             options: Mapping[str, str] | None = None, valid_row: Column | None = None) -> DataFrame:
+             options: Mapping[str, str] | None = None, valid_row: Column | None = None,
+             multiline: bool = True) -> DataFrame:
     """Read text tables with every column as STRING (no inference pass).
 
     ``schema`` fixes the column names (all strings, for example from
     ``string_schema``). ``valid_row`` drops rows such as a trailing summary
-    line that carries text in the first column only.
+    line that carries text in the first column only. ``multiline=False``
+    makes each file splittable across tasks, but is correct only when no
+    quoted field contains a line break.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(**{**CSV_DEFAULTS, "header": str(header).lower()})
+        reader = reader.options(**{**CSV_DEFAULTS, "header": str(header).lower(),
+                                   "multiLine": str(multiline).lower()})
     if options:
         reader = reader.options(**options)
     if schema is not None:
@@ -105,3 +109,24 @@ def write_single_csv(df: DataFrame, path: str, max_rows: int = 5_000_000, header
         raise ValueError(f"more than {max_rows} rows: write a partitioned table instead")
     (df.repartition(1).write.mode(mode).option("header", str(header).lower())
      .option("escape", '"').csv(path))
+
+
+def ingest_raw(spark: SparkSession, paths: str | Sequence[str], out_path: str,
+               casts: Mapping[str, str] | None = None, partitions: int | None = None,
+               partition_by: Sequence[str] | None = None, **read_kw) -> DataFrame:
+    """Read raw CSV once, cast the listed columns, write Parquet, and return a
+    reader of the Parquet table.
+
+    A multi-line CSV file is read by one task, so the rows are spread over
+    ``partitions`` tasks (a round-robin shuffle) before casting and writing.
+    Every later pass then reads columnar, splittable, statistics-bearing
+    files instead of re-parsing text.
+    """
+    from ..functions.columns import safe_cast
+    df = read_raw(spark, paths, **read_kw)
+    if partitions:
+        df = df.repartition(partitions)
+    if casts:
+        df = safe_cast(df, casts)
+    write_table(df, out_path, partition_by=partition_by)
+    return spark.read.parquet(out_path)

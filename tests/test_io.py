@@ -61,3 +61,11 @@ def test_write_table_roundtrip_and_single_csv(spark):
 def test_scratch_under_checkpoint_dir(spark):
     root = spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(root)
+
+
+def test_ingest_raw_to_parquet(spark, tmp_dir):
+    out = scratch_path(spark, "ingest")
+    df = files.ingest_raw(spark, _write(tmp_dir, CSV), out, casts={"amount": "double"},
+                          partitions=3, valid_row=F.col("amount").isNotNull())
+    assert sorted(r["amount"] for r in df.collect()) == [10.5, 20.0, 30.0]
+    assert dict(df.dtypes)["amount"] == "double"
