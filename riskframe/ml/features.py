@@ -110,6 +110,13 @@ def fit_preparation(fit_rows: DataFrame, spec: FeatureSpec, scale: bool = True)
     filled with 0.0, and only that feature.
     """
     numeric, ind = feature_columns(fit_rows, spec)
+    try:
+        # common case: every feature has values; no extra pass to check that
+        model = build_preparation(numeric, ind, scale).fit(fit_rows)
+        return Prepared(model, numeric + ind, [])
+    except Exception as err:  # noqa: BLE001 - MLlib reports it as a generic error
+        if "surrogate" not in str(err).lower():
+            raise
     empty = all_missing(fit_rows, numeric)
     imputable = [c for c in numeric if c not in empty]
     src = fit_rows.na.fill(0.0, subset=empty) if empty else fit_rows
@@ -127,9 +134,17 @@ def impute_expr(column: str, mean: float) -> Column:
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """MLlib mean Imputer on the columns (NULL and NaN ignored); a column with
     no value at all gets 0.0 instead, as Imputer cannot fit it."""
-    empty = all_missing(df, columns)
-    cols = [c for c in columns if c not in empty]
-    out = df.na.fill(0.0, subset=list(empty)) if empty else df
+    cols = list(columns)
     if not cols:
+        return df
+    try:
+        return Imputer(inputCols=cols, outputCols=cols, strategy="mean").fit(df).transform(df)
+    except Exception as err:  # noqa: BLE001 - MLlib reports it as a generic error
+        if "surrogate" not in str(err).lower():
+            raise
+    empty = all_missing(df, cols)
+    rest = [c for c in cols if c not in empty]
+    out = df.na.fill(0.0, subset=list(empty)) if empty else df
+    if not rest:
         return out
-    return Imputer(inputCols=cols, outputCols=cols, strategy="mean").fit(out).transform(out)
+    return Imputer(inputCols=rest, outputCols=rest, strategy="mean").fit(out).transform(out)

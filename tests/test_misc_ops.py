@@ -89,3 +89,13 @@ def test_gated_cast_equals_try_cast(spark):
     for t in ("int", "bigint", "double"):
         for r in df.select(F.col("v").try_cast(t).alias("a"), try_number("v", t).alias("b")).collect():
             assert (r.a == r.b) or (r.a != r.a and r.b != r.b)
+
+
+def test_all_missing_feature_gets_zero_only(spark):
+    from riskframe.ml.features import FeatureSpec, fit_preparation
+    df = spark.createDataFrame([(1.0, None, 1.0), (3.0, None, 0.0), (None, None, 1.0)],
+                               "a double, b double, label_class double")
+    prep = fit_preparation(df, FeatureSpec(numeric=["a", "b"]), scale=False)
+    assert prep.zero_filled == ["b"]
+    rows = prep.transform(df).collect()
+    assert [list(r["features"]) for r in rows] == [[1.0, 0.0], [3.0, 0.0], [2.0, 0.0]]
