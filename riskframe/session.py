@@ -48,9 +48,10 @@ def build_session(app_name: str = "riskframe", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only when the cluster names none (local runs and
-    tests) is a fresh folder created and registered, so later calls and
-    ``DataFrame.checkpoint()`` agree on one place.
+    Read from the session. Only in local mode (tests, a laptop), when none
+    is named, is a fresh folder created and registered, so later calls and
+    ``DataFrame.checkpoint()`` agree on one place; on a cluster a missing
+    setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -65,6 +66,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         return root
     if not root:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not shared by the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
