@@ -107,3 +107,17 @@ def test_ntile_timestamp_ntz_across_dst_fold(spark):
         assert got == _reference(df, "t", 4, "id")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_VALUE = st.one_of(st.none(), st.just(math.nan), st.integers(-3, 3).map(float),
+                   st.floats(-1e6, 1e6, allow_nan=False))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(_VALUE, min_size=1, max_size=300), n=st.integers(1, 9))
+def test_ntile_random_inputs(spark, values, n):
+    df = _make(spark, values).repartition(3)
+    assert _ours(df, "x", n, "id", accuracy=30, collect_limit=4) == _reference(df, "x", n, "id")
