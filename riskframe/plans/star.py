@@ -28,8 +28,9 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
+    """The whole table ``name`` of a scale-factor folder (str or path)."""
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def _r(df: DataFrame, money: tuple[str, ...] = ()) -> DataFrame:
