@@ -250,3 +250,46 @@ def q12(df: DataFrame) -> DataFrame:
         hit=F.col("loan_status") == CHARGED_OFF, aggs={"avg_loan_amount": F.avg("loan_amnt")},
         count_alias="loan_count", measure_alias="avg_interest_rate", rate_alias="default_rate_pct",
         diff_alias="rate_vs_avg")
+
+
+# ---------------------------------------------------------------------------
+# The three jobs, as functions
+# ---------------------------------------------------------------------------
+
+def cleaning_job(spark: SparkSession, raw_paths, out_path: str, infer: bool = True):
+    """Read the raw file(s) typed, run the cleaning chain, write Parquet.
+
+    Returns the fitted facts (sparse columns dropped, means, categories).
+    """
+    from ..sources.files import read_typed, write_table
+    cleaned, facts = clean_loans(read_typed(spark, raw_paths, infer=infer))
+    write_table(cleaned, out_path)
+    return facts
+
+
+def questions_job(spark: SparkSession, raw_paths, names=None) -> dict[str, DataFrame]:
+    """Read the raw file(s) as strings, cast the measures, answer the questions (lazy)."""
+    return QUESTIONS.run(prepare_loans(read_loans(spark, raw_paths)), names)
+
+
+def ml_job(spark: SparkSession, cleaned: DataFrame, tasks=("classification", "regression"),
+           models="all", seed: int = 42):
+    """Sanitise names, build features and labels, split 70/15/15 by a hash of
+    the row, fit imputation and scaling on the training split, train and
+    evaluate the models. Returns (metrics table, {model: importance table})."""
+    from ..functions.columns import sanitize_names
+    from ..ml import features as feat
+    from ..ml import suite
+    from ..operators.sampling import split_rows
+    df = sanitize_names(cleaned)
+    rows = feat.add_labels(feat.select_rows(df, LOAN_ML), LOAN_ML)
+    numeric, ind = feat.feature_columns(rows, LOAN_ML)
+    keys = numeric + ind + ["loan_status"]
+    train, val, test = split_rows(rows, [0.7, 0.15, 0.15], keys=keys, seed=seed)
+    prep = feat.fit_preparation(train, LOAN_ML)
+    splits = {"train": prep.transform(train), "validation": prep.transform(val),
+              "test": prep.transform(test)}
+    metrics, results = suite.train_suite(spark, splits, tasks, models, seed)
+    importance = {f"{r.task}/{r.name}": suite.feature_importance(spark, r.model, prep.feature_names)
+                  for r in results}
+    return metrics, importance

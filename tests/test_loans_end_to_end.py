@@ -71,3 +71,16 @@ def test_session_helpers(spark):
     assert materialize(df).count() == 100
     assert stage_table(df, "t").count() == 100
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_three_jobs(spark, csv_path):
+    out = scratch_path(spark, "cleaned")
+    facts = loans.cleaning_job(spark, csv_path, out)
+    assert facts.one_hot_categories
+    answers = loans.questions_job(spark, csv_path, ["q01", "q07"])
+    assert set(answers) == {"q01", "q07"}
+    metrics, importance = loans.ml_job(spark, spark.read.parquet(out),
+                                       tasks=("classification",), models=["lr"])
+    got = {(r["split"], r["metric"]) for r in metrics.collect()}
+    assert ("test", "accuracy") in got and len(got) == 12
+    assert list(importance) == ["classification/Logistic Regression"]
