@@ -1,8 +1,9 @@
 """Bindings of every operator to the driver's star-schema tables.
 
 Each binding takes ``(spark, sf_dir)``, reads whole tables from
-``{sf_dir}/{name}.parquet`` and returns a DataFrame; ``riskframe.plans.star_sql``
-holds the DuckDB SQL computing the same result. Computed doubles are rounded
+``{sf_dir}/{name}.parquet`` and returns a DataFrame. The DuckDB SQL computing
+the same result is in ``star_sql`` for this module and in the ``ORACLE_*``
+maps of the other ``star_*`` modules (gathered by ``bindings``). Computed doubles are rounded
 on both sides (6 places; money sums 2 places) so that the two engines hash
 equal despite different summation orders.
 """
