@@ -122,3 +122,10 @@ def test_percent_rate_is_parsed(data):
     _, df = data
     assert df.filter("id = '1005'").collect()[0]["int_rate"] == pytest.approx(13.99)
     assert df.filter("id = '1009'").collect()[0]["annual_inc"] is None
+
+
+def test_all_questions_on_empty_table(spark):
+    df = loans.prepare_loans(loan_table(spark, []))
+    out = {name: ans.collect() for name, ans in loans.QUESTIONS.run(df).items()}
+    assert out["q01"][0][0] is None and out["q02"][0][0] == 0 and out["q03"][0][0] is None
+    assert all(out[q] == [] for q in ("q04", "q05", "q06", "q07", "q08", "q09", "q10", "q11", "q12"))
