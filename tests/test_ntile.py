@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import ntile
 
 
-def _reference(df, order, n, tie):
+def _window_ntile(df, order, n, tie):
     w = Window.orderBy(F.col(order).asc_nulls_first(), F.col(tie))
     return {r[tie]: r["t"] for r in df.withColumn("t", F.ntile(n).over(w)).collect()}
 
@@ -45,12 +45,12 @@ def test_ntile_matches_window(spark, name, n):
     df = _make(spark, CASES[name]).repartition(5)
     # tiny accuracy and collect limit force several refinement rounds
     got = _ours(df, "x", n, "id", accuracy=50, collect_limit=8)
-    assert got == _reference(df, "x", n, "id")
+    assert got == _window_ntile(df, "x", n, "id")
 
 
 def test_ntile_default_settings(spark):
     df = _make(spark, CASES["few_distinct"])
-    assert _ours(df, "x", 4, "id") == _reference(df, "x", 4, "id")
+    assert _ours(df, "x", 4, "id") == _window_ntile(df, "x", 4, "id")
 
 
 def test_ntile_empty(spark):
@@ -62,8 +62,8 @@ def test_ntile_empty(spark):
 def test_ntile_dates_and_ints(spark):
     rows = [(i, i % 13, f"2020-01-{1 + i % 28:02d}") for i in range(400)]
     df = spark.createDataFrame(rows, "id long, k int, d string").withColumn("d", F.to_date("d"))
-    assert _ours(df, "k", 4, "id", accuracy=40, collect_limit=4) == _reference(df, "k", 4, "id")
-    assert _ours(df, "d", 5, "id", accuracy=40, collect_limit=4) == _reference(df, "d", 5, "id")
+    assert _ours(df, "k", 4, "id", accuracy=40, collect_limit=4) == _window_ntile(df, "k", 4, "id")
+    assert _ours(df, "d", 5, "id", accuracy=40, collect_limit=4) == _window_ntile(df, "d", 5, "id")
 
 
 def test_ntile_partitioning_independent(spark):
@@ -104,7 +104,7 @@ def test_ntile_timestamp_ntz_across_dst_fold(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         got = _ours(df, "t", 4, "id", accuracy=40, collect_limit=4)
-        assert got == _reference(df, "t", 4, "id")
+        assert got == _window_ntile(df, "t", 4, "id")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
@@ -120,4 +120,4 @@ _VALUE = st.one_of(st.none(), st.just(math.nan), st.integers(-3, 3).map(float),
 @given(values=st.lists(_VALUE, min_size=1, max_size=300), n=st.integers(1, 9))
 def test_ntile_random_inputs(spark, values, n):
     df = _make(spark, values).repartition(3)
-    assert _ours(df, "x", n, "id", accuracy=30, collect_limit=4) == _reference(df, "x", n, "id")
+    assert _ours(df, "x", n, "id", accuracy=30, collect_limit=4) == _window_ntile(df, "x", n, "id")
