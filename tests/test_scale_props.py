@@ -58,3 +58,26 @@ def test_cleaning_fit_falls_back_when_required_column_is_sparse(spark):
     assert _fit_one_pass(df, spec) is None            # req is 50 % missing: sparse, dropped
     facts = _fit_steps(df, spec)
     assert "req" in facts.dropped_sparse and facts.one_hot_categories == ["A", "ANY"]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+import math  # noqa: E402
+
+_D = st.one_of(st.none(), st.just(math.nan), st.floats(-100, 100, allow_nan=False))
+_ROW = st.tuples(_D, _D, _D, st.one_of(st.none(), st.sampled_from(["A", "B", "C"])),
+                 st.one_of(st.none(), st.sampled_from(["x", "NaN", "y"])))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(_ROW, min_size=1, max_size=60), threshold=st.sampled_from([0.3, 0.5, 0.9]))
+def test_one_pass_fit_random(spark, rows, threshold):
+    df = spark.createDataFrame(rows, "named double, req double, other double, cat string, txt string")
+    spec = CleaningSpec(mean_fill=["named"], required=["req"], one_hot_column="cat",
+                        sparse_threshold=threshold)
+    one = _fit_one_pass(df, spec)
+    steps = _fit_steps(df, spec)
+    if one is None:                       # required column sparse: the step fit is the answer
+        assert "req" in steps.dropped_sparse
+        return
+    _facts_close(one, steps)
