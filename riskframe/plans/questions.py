@@ -46,3 +46,14 @@ class QuestionRegistry:
     def run(self, df: DataFrame, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
         """Lazy answers of the named questions (all of them by default), in order."""
         return {n: self.answer(n, df) for n in (names or self.names())}
+
+
+def write_answers(answers: dict[str, DataFrame], root: str, fmt: str = "parquet") -> list[str]:
+    """Write each answer as a table under ``root/<name>``; returns the paths."""
+    from ..sources.files import write_table
+    paths = []
+    for name, df in answers.items():
+        path = f"{root.rstrip('/')}/{name}"
+        write_table(df, path, fmt=fmt)
+        paths.append(path)
+    return paths

@@ -129,3 +129,13 @@ def test_all_questions_on_empty_table(spark):
     out = {name: ans.collect() for name, ans in loans.QUESTIONS.run(df).items()}
     assert out["q01"][0][0] is None and out["q02"][0][0] == 0 and out["q03"][0][0] is None
     assert all(out[q] == [] for q in ("q04", "q05", "q06", "q07", "q08", "q09", "q10", "q11", "q12"))
+
+
+def test_write_answers(spark, data):
+    from riskframe.plans.questions import write_answers
+    from riskframe.session import scratch_path
+    _, df = data
+    root = scratch_path(spark, "answers")
+    paths = write_answers(loans.QUESTIONS.run(df, ["q04", "q07"]), root, fmt="csv")
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["q04", "q07"]
+    assert spark.read.option("header", True).csv(paths[0]).count() == 4
