@@ -19,6 +19,7 @@ from ..operators import clean
 from ..operators.joins import checked_broadcast
 from ..operators.sampling import split_rows
 from ..session import scratch_path, stage_table
+from ..sources.files import read_typed, write_table
 from ..sources.models import load_model, save_model
 from .star import _r, query, table
 
@@ -188,7 +189,10 @@ for _task in (suite.CLASSIFICATION, suite.REGRESSION):
 def ml_feature_importance(spark, sf_dir):
     splits, prep = prepared_splits(spark, sf_dir)
     res = suite.train_and_evaluate(suite.CLASSIFICATION, "rf", {"train": splits["train"]})
-    return suite.feature_importance(spark, res.model, prep.feature_names, top=10)
+    top = suite.feature_importance(spark, res.model, prep.feature_names, top=10)
+    path = scratch_path(spark, "ml_importance_csv")          # saved as a CSV table, read back
+    write_table(top, path, fmt="csv")
+    return read_typed(spark, path, schema="feature STRING, importance DOUBLE")
 
 
 @query
