@@ -22,6 +22,7 @@ from ..operators import compare, measures, ntile, sampling, windows
 from ..operators.distribution import describe_table
 from ..plans.cleaning import CleaningSpec, clean_table
 from ..plans.questions import QuestionRegistry
+from ..session import stage_table
 from ..sources.files import apply_header, read_raw, string_schema
 
 # ---------------------------------------------------------------------------
@@ -202,10 +203,12 @@ def q08(df: DataFrame) -> DataFrame:
     age = age_years(parse_month("issue_d", DATE_FORMAT), parse_month("earliest_cr_line", DATE_FORMAT))
     rows = (df.filter(F.col("earliest_cr_line").isNotNull() & F.col("issue_d").isNotNull()
                       & F.col("int_rate").isNotNull())
-            .withColumn("credit_history_years", age)
+            .select(_id_key().alias("_row"), age.alias("credit_history_years"), "int_rate")
             .filter(F.col("credit_history_years") >= 0))
+    # the exact n-tile scans its input several times: parse the dates once
+    rows = stage_table(rows, "q08_rows")
     return ntile.quantile_profile(
-        rows, "credit_history_years", 4, [_id_key()],
+        rows, "credit_history_years", 4, ["_row"],
         {"min_years": F.min("credit_history_years"), "max_years": F.max("credit_history_years"),
          "avg_interest_rate": F.avg("int_rate"), "loan_count": F.count(F.lit(1))},
         tile_alias="quartile")
@@ -231,9 +234,11 @@ def q10(df: DataFrame) -> DataFrame:
 
 @QUESTIONS.register("q11", "Repayment success by quartile of open accounts")
 def q11(df: DataFrame) -> DataFrame:
-    rows = df.filter(F.col("open_acc").isNotNull() & F.col("loan_status").isin(list(FINISHED)))
+    rows = (df.filter(F.col("open_acc").isNotNull() & F.col("loan_status").isin(list(FINISHED)))
+            .select(_id_key().alias("_row"), "open_acc", "loan_status"))
+    rows = stage_table(rows, "q11_rows")        # scanned several times by the exact n-tile
     out = ntile.quantile_profile(
-        rows, "open_acc", 4, [_id_key()],
+        rows, "open_acc", 4, ["_row"],
         {"min_accounts": F.min("open_acc"), "max_accounts": F.max("open_acc"),
          "avg_accounts": F.avg("open_acc"), "total_loans": F.count(F.lit(1)),
          "fully_paid_count": F.count_if(F.col("loan_status") == PAID)},
