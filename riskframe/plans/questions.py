@@ -1,8 +1,9 @@
 """A registry of named questions: ``name -> (title, fn(DataFrame) -> DataFrame)``.
 
-Every answer is a DataFrame (a scalar is one row and one column) and stays
-lazy until the caller acts on it, so answers can be shown, written or
-joined without the registry deciding.
+Every answer is a DataFrame (a scalar is one row and one column) that the
+caller can show, write or join. Questions whose plan depends on fitted facts
+(exact n-tile boundaries, checkpointed group tables) compute those small
+facts when called; the answer's own rows are computed when the caller acts.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ class QuestionRegistry:
         return self._items[name].fn(df)
 
     def run(self, df: DataFrame, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
-        """Lazy answers of the named questions (all of them by default), in order."""
+        """Answers of the named questions (all of them by default), in order."""
         return {n: self.answer(n, df) for n in (names or self.names())}
 
 

@@ -5,7 +5,7 @@ Typical use::
 
     raw = read_loans(spark, "loans/*.csv")              # strings, robust CSV
     loans = prepare_loans(raw)                           # TRY_CAST of the measures
-    answers = QUESTIONS.run(loans)                       # 12 lazy DataFrames
+    answers = QUESTIONS.run(loans)                       # 12 DataFrames
     cleaned, facts = clean_loans(read_typed(spark, p, infer=True))   # typed input
 """
 
@@ -273,7 +273,7 @@ def cleaning_job(spark: SparkSession, raw_paths, out_path: str, infer: bool = Tr
 
 
 def questions_job(spark: SparkSession, raw_paths, names=None) -> dict[str, DataFrame]:
-    """Read the raw file(s) as strings, cast the measures, answer the questions (lazy)."""
+    """Read the raw file(s) as strings, cast the measures, answer the questions."""
     return QUESTIONS.run(prepare_loans(read_loans(spark, raw_paths)), names)
 
 
