@@ -21,7 +21,8 @@ def plan(df):
 
 
 @pytest.mark.parametrize("name", ["q08_age_quantile_profile", "q11_quantile_success",
-                                  "win_ntile_exact", "win_ntile_ties"])
+                                  "win_ntile_exact", "win_ntile_ties",
+                                  "loan_q08_age_quantile_profile", "loan_q11_quantile_success"])
 def test_ntile_has_no_single_partition(spark, name):
     p = plan(entry.queries()[name](spark, SF001))
     assert "SinglePartition" not in p
