@@ -205,3 +205,35 @@ SELECT verification_status, grade, loan_count, round(avg_loan_amount, 6) AS avg_
        round(avg_interest_rate - grade_avg, 6) AS rate_vs_avg
 FROM f JOIN c ON f.grade = c.g
 """
+
+
+# --------------------------------------------------------------------------
+# The cleaning and ML jobs of the preset on the same data (rows-only)
+# --------------------------------------------------------------------------
+
+def _loan_csv(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.files import write_table
+    path = scratch_path(spark, "loan_csv")
+    write_table(loan_text_table(spark, sf_dir), path, fmt="csv")
+    return path
+
+
+@query
+def loan_cleaning_job(spark, sf_dir):
+    """Text loan table -> CSV -> typed read -> the 11-step cleaning chain -> Parquet."""
+    from ..session import scratch_path
+    out = scratch_path(spark, "loan_clean")
+    loans.cleaning_job(spark, _loan_csv(spark, sf_dir), out)
+    return spark.read.parquet(out)
+
+
+@query
+def loan_ml_job(spark, sf_dir):
+    """Cleaned loan table -> features, labels, 70/15/15 split -> logistic and linear
+    regression -> metrics of every split (task, model, split, metric, value)."""
+    from ..session import scratch_path
+    out = scratch_path(spark, "loan_clean_ml")
+    loans.cleaning_job(spark, _loan_csv(spark, sf_dir), out)
+    metrics, _ = loans.ml_job(spark, spark.read.parquet(out), models=["lr"])
+    return metrics.drop("duration_s")
