@@ -225,7 +225,7 @@ def loan_cleaning_job(spark, sf_dir):
     from ..session import scratch_path
     out = scratch_path(spark, "loan_clean")
     loans.cleaning_job(spark, _loan_csv(spark, sf_dir), out)
-    return spark.read.parquet(out)
+    return _r(spark.read.parquet(out))
 
 
 @query
@@ -237,3 +237,29 @@ def loan_ml_job(spark, sf_dir):
     loans.cleaning_job(spark, _loan_csv(spark, sf_dir), out)
     metrics, _ = loans.ml_job(spark, spark.read.parquet(out), models=["lr"])
     return metrics.drop("duration_s")
+
+
+# On this data nothing is sparse, nothing is missing in the filled columns, and
+# the one-hot categories are MORTGAGE, OTHER, OWN, RENT; inferred types follow
+# the text (digits -> INT, decimals -> DOUBLE, rates with "%" -> STRING).
+ORACLE_LOANS["loan_cleaning_job"] = """
+SELECT round(o_totalprice, 6) AS loan_amnt,
+       CASE WHEN o_orderkey % 2 = 0 THEN CAST(5 + o_orderkey % 20 AS VARCHAR) || '%'
+            ELSE CAST(5 + o_orderkey % 20 AS VARCHAR) END AS int_rate,
+       round(c_acctbal * 20.0, 6) AS annual_inc,
+       CASE o_orderstatus WHEN 'F' THEN 'Fully Paid' WHEN 'P' THEN 'Charged Off' ELSE 'Current' END AS loan_status,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'debt_consolidation' WHEN '2-HIGH' THEN 'credit_card'
+                            WHEN '3-MEDIUM' THEN 'car' ELSE 'other' END AS purpose,
+       round(c_acctbal / 500.0, 6) AS dti,
+       CAST(o_orderkey % 4 AS INTEGER) AS delinq_2yrs,
+       CAST(550 + o_custkey % 300 AS INTEGER) AS fico_range_low,
+       CAST(o_custkey % 30 AS INTEGER) AS open_acc,
+       round(o_totalprice / 10000.0, 6) AS total_rec_late_fee,
+       round(o_totalprice * 2.0, 6) AS tot_hi_cred_lim,
+       CAST(o_custkey % 3 AS INTEGER) AS num_accts_ever_120_pd,
+       CAST(c_mktsegment = 'MACHINERY' AS INTEGER) AS home_ownership_MORTGAGE,
+       CAST(c_mktsegment NOT IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY') AS INTEGER) AS home_ownership_OTHER,
+       CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS home_ownership_OWN,
+       CAST(c_mktsegment = 'HOUSEHOLD' AS INTEGER) AS home_ownership_RENT
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+"""
