@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat
+from . import bpe, chat, mixing
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
+    "op4_mixing": mixing.op4_mixing,
     "op7_bpe": bpe.op7_bpe,
 }
 
