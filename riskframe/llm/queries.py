@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing
+from . import bpe, chat, mixing, simhash
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
     "op4_mixing": mixing.op4_mixing,
     "op7_bpe": bpe.op7_bpe,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 SQL = {
