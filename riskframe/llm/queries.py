@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing, simhash
+from . import bpe, chat, minhash, mixing, simhash
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
     "op4_mixing": mixing.op4_mixing,
+    "op5_minhash": minhash.op5_minhash,
     "op7_bpe": bpe.op7_bpe,
     "op10_simhash": simhash.op10_simhash,
 }
