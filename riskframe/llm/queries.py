@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, minhash, mixing, simhash
+from . import bpe, chat, lines, minhash, mixing, simhash
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
     "op4_mixing": mixing.op4_mixing,
     "op5_minhash": minhash.op5_minhash,
     "op7_bpe": bpe.op7_bpe,
+    "op8_line_dedup": lines.op8_line_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
 
