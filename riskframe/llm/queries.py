@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, lines, minhash, mixing, simhash
+from . import bpe, chat, lines, minhash, mixing, simhash, suffixes
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
+    "op3_suffix_dedup": suffixes.op3_suffix_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op5_minhash": minhash.op5_minhash,
     "op7_bpe": bpe.op7_bpe,
