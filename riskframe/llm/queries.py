@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, lines, minhash, mixing, simhash, suffixes
+from . import bpe, chat, langid, lines, minhash, mixing, simhash, suffixes
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_minhash": minhash.op5_minhash,
     "op7_bpe": bpe.op7_bpe,
     "op8_line_dedup": lines.op8_line_dedup,
+    "op9_langid": langid.op9_langid,
     "op10_simhash": simhash.op10_simhash,
 }
 
