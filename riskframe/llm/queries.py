@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, langid, lines, minhash, mixing, simhash, suffixes
+from . import bpe, chat, langid, lines, minhash, mixing, quality, simhash, suffixes
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_chat_format": chat.op2_chat_format,
     "op3_suffix_dedup": suffixes.op3_suffix_dedup,
     "op4_mixing": mixing.op4_mixing,
