@@ -214,7 +214,8 @@ def mix(docs: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple[
     placed = laid_out(sizes, sources, sizes.count())
     first, last = F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")
     pieces = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
-    shown = pieces.join(draw_slots(sources, block, shard_slots, seed), ["sid", "block"], "left")
+    # the slots come from the few rows of ``sources``, so the planner's size for them is far too low: never broadcast
+    shown = pieces.join(draw_slots(sources, block, shard_slots, seed).hint("merge"), ["sid", "block"], "left")
     base, taken = F.col("block") * block, F.col("slot").isNotNull()
     return shown.select(
         "doc_id", "source", "text_hash", "size", "source_size", "target", "start", "shard", "slot", "turn",

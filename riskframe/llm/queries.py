@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, langid, lines, minhash, mixing, quality, simhash, suffixes
+import corpus_pipeline
+
+from . import ann, bpe, chat, langid, lines, minhash, mixing, quality, simhash, suffixes
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -10,10 +12,12 @@ QUERIES = {
     "op3_suffix_dedup": suffixes.op3_suffix_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op5_minhash": minhash.op5_minhash,
+    "op6_ann": ann.op6_ann,
     "op7_bpe": bpe.op7_bpe,
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_langid": langid.op9_langid,
     "op10_simhash": simhash.op10_simhash,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
