@@ -83,11 +83,6 @@ def columns_matching(df: DataFrame, pattern: str, exclude: Iterable[str] = ()) -
     return [c for c in df.columns if rx.search(c) and c not in skip]
 
 
-def first_columns(df: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` columns of the table."""
-    return df.select(*[F.col(f"`{c}`") for c in df.columns[:n]])
-
-
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every DOUBLE/FLOAT column (for comparing results across engines)."""
     cols = columns_of_type(df, T.DoubleType, T.FloatType)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
@@ -38,6 +39,13 @@ def try_number(text: ColumnOrName, typ: str) -> Column:
     return c.try_cast(typ) if gate is None else F.when(c.rlike(gate), c.try_cast(typ))
 
 
+def number_of(df, name: str) -> Column:
+    """A column as DOUBLE without raising on dirty text: malformed text, NULL and NaN are NULL."""
+    c = F.col(f"`{name}`")
+    v = try_number(c, "double") if isinstance(df.schema[name].dataType, T.StringType) else c.cast("double")
+    return F.nanvl(v, F.lit(None).cast("double"))
+
+
 def percent(part: ColumnOrName, whole: ColumnOrName) -> Column:
     """``part / whole * 100`` as DOUBLE; NULL instead of an error when whole is 0."""
     return F.try_divide(col(part).cast("double"), col(whole)) * F.lit(100.0)

@@ -14,10 +14,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import columns_matching
+from ..functions.columns import columns_matching, columns_of_type, safe_cast
+from ..functions.exprs import number_of
 
 FEATURES_RAW = "features_raw"
 FEATURES = "features"
@@ -44,12 +46,16 @@ def feature_columns(df: DataFrame, spec: FeatureSpec) -> tuple[list[str], list[s
 
 
 def select_rows(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Keep finished rows; cast features to DOUBLE (bad text -> NULL)."""
+    """Keep finished rows; cast features to DOUBLE ("13.99%" -> 13.99, bad text and "NaN" -> NULL)."""
     out = df
     if spec.status_column and spec.keep_status:
         out = out.filter(F.col(spec.status_column).isin(list(spec.keep_status)))
     numeric, ind = feature_columns(out, spec)
-    return out.withColumns({c: F.col(f"`{c}`").try_cast("double") for c in numeric + ind})
+    texts = [c for c in numeric + ind if c in columns_of_type(out, T.StringType)]
+    rest = [c for c in numeric + ind if c not in texts]
+    if texts:
+        out = safe_cast(out, texts, "double", strip_chars="%", nan_as_null=True)
+    return out.withColumns({c: F.col(f"`{c}`").try_cast("double") for c in rest}) if rest else out
 
 
 def add_labels(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -71,8 +77,7 @@ def all_missing(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """Columns with no non-missing value (one pass). Imputer cannot fit them."""
     if not columns:
         return []
-    row = df.agg(*[F.count(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")))
-                   .alias(f"n{i}") for i, c in enumerate(columns)]).collect()[0]
+    row = df.agg(*[F.count(number_of(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).collect()[0]
     return [c for i, c in enumerate(columns) if row[f"n{i}"] == 0]
 
 
@@ -107,16 +112,9 @@ def fit_preparation(fit_rows: DataFrame, spec: FeatureSpec, scale: bool = True)
     """Fit imputation and scaling on ``fit_rows`` (already filtered and labelled).
 
     A feature with no value at all cannot be imputed by its mean: it is
-    filled with 0.0, and only that feature.
+    filled with 0.0, and only that feature. One counting pass tells which these are.
     """
     numeric, ind = feature_columns(fit_rows, spec)
-    try:
-        # common case: every feature has values; no extra pass to check that
-        model = build_preparation(numeric, ind, scale).fit(fit_rows)
-        return Prepared(model, numeric + ind, [])
-    except Exception as err:  # noqa: BLE001 - MLlib reports it as a generic error
-        if "surrogate" not in str(err).lower():
-            raise
     empty = all_missing(fit_rows, numeric)
     imputable = [c for c in numeric if c not in empty]
     src = fit_rows.na.fill(0.0, subset=empty) if empty else fit_rows
@@ -125,23 +123,12 @@ def fit_preparation(fit_rows: DataFrame, spec: FeatureSpec, scale: bool = True)
     return Prepared(model, imputable + list(empty) + ind, empty)
 
 
-def impute_expr(column: str, mean: float) -> Column:
-    """The value MLlib's mean Imputer produces, as a column expression."""
-    c = F.col(f"`{column}`").cast("double")
-    return F.coalesce(F.nanvl(c, F.lit(None).cast("double")), F.lit(mean))
-
-
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """MLlib mean Imputer on the columns (NULL and NaN ignored); a column with
     no value at all gets 0.0 instead, as Imputer cannot fit it."""
     cols = list(columns)
     if not cols:
         return df
-    try:
-        return Imputer(inputCols=cols, outputCols=cols, strategy="mean").fit(df).transform(df)
-    except Exception as err:  # noqa: BLE001 - MLlib reports it as a generic error
-        if "surrogate" not in str(err).lower():
-            raise
     empty = all_missing(df, cols)
     rest = [c for c in cols if c not in empty]
     out = df.na.fill(0.0, subset=list(empty)) if empty else df

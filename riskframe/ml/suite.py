@@ -86,22 +86,34 @@ def train_and_evaluate(task: str, key: str, splits: dict[str, DataFrame],
     return TrainResult(task, key, name, model, duration, rows)
 
 
+def chosen(wanted: Sequence[str] | str, known: Sequence[str], what: str) -> list[str]:
+    """A name, several names or "all" as a list of known names; an unknown one raises."""
+    names = list(known) if wanted == "all" else [wanted] if isinstance(wanted, str) else list(wanted)
+    unknown = [n for n in names if n not in known]
+    if unknown:
+        raise ValueError(f"unknown {what} {unknown}; choose from {list(known)}")
+    return names
+
+
 def train_suite(spark: SparkSession, splits: dict[str, DataFrame],
-                tasks: Sequence[str] = (CLASSIFICATION, REGRESSION),
+                tasks: Sequence[str] | str = (CLASSIFICATION, REGRESSION),
                 models: Sequence[str] | str = "all", seed: int = 42,
                 persist: bool = True) -> tuple[DataFrame, list[TrainResult]]:
-    """Train and evaluate the selected models of each task.
+    """Train and evaluate the selected models of each task (a name, several, or "all").
 
     Returns the long metrics table (task, model, split, metric, value,
-    duration_s) and the fitted results.
+    duration_s) and the fitted results. A training split without rows raises before any fit.
     """
+    tasks = chosen(tasks, (CLASSIFICATION, REGRESSION), "task")
+    picked = {task: chosen(models, list(model_catalog(task, seed)), "model") for task in tasks}
+    if not splits["train"].take(1):
+        raise ValueError("no rows to train on")
     cached = {k: (v.persist(StorageLevel.MEMORY_AND_DISK) if persist else v)
               for k, v in splits.items()}
     results = []
     try:
         for task in tasks:
-            keys = list(model_catalog(task, seed)) if models == "all" else list(models)
-            for key in keys:
+            for key in picked[task]:
                 results.append(train_and_evaluate(task, key, cached, seed))
     finally:
         if persist:
@@ -113,17 +125,24 @@ def train_suite(spark: SparkSession, splits: dict[str, DataFrame],
     return spark.createDataFrame(rows, schema), results
 
 
+def vector_names(df: DataFrame, vector: str = FEATURES) -> list[str] | None:
+    """Names of a vector column's entries from its ML attributes, in vector order (None without names)."""
+    groups = (df.schema[vector].metadata or {}).get("ml_attr", {}).get("attrs", {})
+    entries = sorted((e["idx"], e.get("name")) for kind in groups.values() for e in kind)
+    return [n for _, n in entries] if entries and all(n for _, n in entries) else None
+
+
 def feature_importance(spark: SparkSession, model: Any, feature_names: Sequence[str],
                        top: int = 10) -> DataFrame:
-    """Top ``top`` features by importance (tree models) or |coefficient|
-    (linear models); empty if the vector length does not match the names."""
-    if hasattr(model, "featureImportances"):
-        values = model.featureImportances.toArray().tolist()
-    elif hasattr(model, "coefficients"):
-        values = [abs(v) for v in model.coefficients.toArray().tolist()]
-    else:
-        values = []
-    rows = (list(zip(feature_names, [float(v) for v in values]))
-            if len(values) == len(feature_names) else [])
-    rows.sort(key=lambda r: (-r[1], r[0]))
-    return spark.createDataFrame(rows[:top], "feature string, importance double")
+    """The ``top`` features by weight: what a tree model reports as importance, or the size of a linear
+    model's coefficient. A model of neither kind, or with another number of features, raises."""
+    weights = getattr(model, "featureImportances", None)
+    if weights is None:
+        weights = getattr(model, "coefficients", None)
+    if weights is None:
+        raise TypeError(f"{type(model).__name__} reports no feature weights")
+    sizes = [abs(float(w)) for w in weights.toArray()]
+    if len(sizes) != len(feature_names):
+        raise ValueError(f"the model has {len(sizes)} features, but {len(feature_names)} names were given")
+    ranked = sorted(zip(feature_names, sizes), key=lambda f: (-f[1], f[0]))[:top]
+    return spark.createDataFrame(ranked, "feature string, importance double")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import columns_of_type, require_columns
-from ..functions.exprs import flag_to_int, strip_suffix_int
+from ..functions.exprs import flag_to_int, number_of, strip_suffix_int
 
 # Text that counts as a missing value, the sparse-column
 # threshold (a share strictly above it drops the column), and the defaults
@@ -28,7 +28,6 @@ TEXT_PLACEHOLDERS: tuple[str, ...] = ("...",)
 ONE_HOT_FILL = "ANY"
 TERM_SUFFIX = " months"
 TERM_DEFAULT = 36
-MAX_ONE_HOT_CATEGORIES = 1000
 
 
 def _q(name: str) -> Column:
@@ -83,8 +82,7 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float | Non
     """Means of the columns in one pass; NaN is ignored like NULL."""
     if not columns:
         return {}
-    row = df.agg(*[F.avg(F.nanvl(_q(c).cast("double"), F.lit(None).cast("double"))).alias(f"__a{i}")
-                   for i, c in enumerate(columns)]).collect()[0]
+    row = df.agg(*[F.avg(number_of(df, c)).alias(f"__a{i}") for i, c in enumerate(columns)]).collect()[0]
     return {c: row[f"__a{i}"] for i, c in enumerate(columns)}
 
 
@@ -104,8 +102,7 @@ def fill_mean(df: DataFrame, columns: Sequence[str] | None = None,
     for c in cols:
         if m.get(c) is None:
             continue
-        v = _q(c).cast("double")
-        out[c] = F.coalesce(F.nanvl(v, F.lit(None).cast("double")), F.lit(float(m[c])))
+        out[c] = F.coalesce(number_of(df, c), F.lit(float(m[c])))
     return df.withColumns(out) if out else df
 
 
@@ -125,6 +122,23 @@ def distinct_report(before: DataFrame, after: DataFrame, columns: Sequence[str])
     return b.join(F.broadcast(a), "column")
 
 
+def null_row_report(df: DataFrame, required: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``distinct_report`` of dropping the rows with a NULL in ``required``, in one
+    aggregate over ``df``: the distinct values of the kept rows are counted beside those of all rows."""
+    require_columns(df, [*required, *columns])
+    kept = F.lit(True)
+    for c in required:
+        kept = kept & ~missing(df, c, ())
+    wide = df.select(kept.alias("__kept"), *[_q(c) for c in columns]).agg(*[
+        e for i, c in enumerate(columns) for e in (
+            (F.countDistinct(_q(c)) + F.coalesce(F.max(_q(c).isNull().cast("int")), F.lit(0))).alias(f"b{i}"),
+            (F.countDistinct(F.when(F.col("__kept"), _q(c)))
+             + F.coalesce(F.max((F.col("__kept") & _q(c).isNull()).cast("int")), F.lit(0))).alias(f"a{i}"))])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"b{i}").cast("long").alias("distinct_before"),
+                 F.col(f"a{i}").cast("long").alias("distinct_after")) for i, c in enumerate(columns)])))
+
+
 def strip_to_int(df: DataFrame, column: str, suffix: str = TERM_SUFFIX,
                  default: int | None = TERM_DEFAULT) -> DataFrame:
     """Text like " 36 months" -> INT 36; NULL or bad text -> ``default``."""
@@ -133,23 +147,26 @@ def strip_to_int(df: DataFrame, column: str, suffix: str = TERM_SUFFIX,
 
 
 def categories(df: DataFrame, column: str, fill: str | None = ONE_HOT_FILL,
-               max_categories: int = MAX_ONE_HOT_CATEGORIES) -> list[str]:
+               max_categories: int | None = None) -> list[str]:
     """Sorted distinct values of a column (NULL as ``fill``).
 
-    The distinct values are found by a distributed aggregate; at most
-    ``max_categories + 1`` of them reach the driver, and exceeding the bound
-    raises rather than building an unbounded number of columns.
+    The distinct values are found by a distributed aggregate and become column names, so
+    they reach the driver. ``max_categories`` is an optional guard (off by default): more
+    values then raise.
     """
     c = F.coalesce(_q(column).cast("string"), F.lit(fill)) if fill is not None else _q(column)
-    vals = [r[0] for r in df.select(c.alias("v")).distinct().limit(max_categories + 1).collect()]
-    if len(vals) > max_categories:
+    found = df.select(c.alias("v")).distinct()
+    if max_categories is not None:
+        found = found.limit(max_categories + 1)
+    vals = [r[0] for r in found.collect()]
+    if max_categories is not None and len(vals) > max_categories:
         raise ValueError(f"{column!r} has more than {max_categories} categories")
     return sorted(v for v in vals if v is not None)
 
 
 def one_hot(df: DataFrame, column: str, fill: str | None = ONE_HOT_FILL,
             cats: Sequence[str] | None = None, drop_source: bool = True,
-            max_categories: int = MAX_ONE_HOT_CATEGORIES) -> DataFrame:
+            max_categories: int | None = None) -> DataFrame:
     """One INT 0/1 column ``<column>_<category>`` per category (NULL filled
     with ``fill`` first), categories sorted, none left out; one projection."""
     require_columns(df, [column])
@@ -160,12 +177,13 @@ def one_hot(df: DataFrame, column: str, fill: str | None = ONE_HOT_FILL,
 
 
 def fill_text(df: DataFrame, columns: Sequence[str], value: str = TEXT_FILL,
-              placeholders: Iterable[str] = TEXT_PLACEHOLDERS) -> DataFrame:
-    """NULL and placeholder text (such as "...") become ``value``."""
+              placeholders: Iterable[str] | Mapping[str, Iterable[str]] = TEXT_PLACEHOLDERS) -> DataFrame:
+    """NULL and placeholder text (such as "...") become ``value``. A mapping gives
+    the placeholders of each column; columns outside it have none."""
     require_columns(df, columns)
-    ph = list(placeholders)
     out = {}
     for c in columns:
+        ph = list(placeholders.get(c, ()) if isinstance(placeholders, Mapping) else placeholders)
         v = F.coalesce(_q(c), F.lit(value))
         out[c] = F.when(v.isin(ph), F.lit(value)).otherwise(v) if ph else v
     return df.withColumns(out)

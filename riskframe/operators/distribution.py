@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import number_of
 from .ntile import exact_quantiles
 
 # Default bin count and box-whisker reach (times the IQR).
@@ -20,9 +21,8 @@ HISTOGRAM_BINS = 30
 WHISKER_REACH = 1.5
 
 
-def _value(c: str):
-    x = F.col(f"`{c}`").cast("double")
-    return F.when(~F.isnan(x), x)          # NaN is treated as missing
+def _value(df: DataFrame, c: str):
+    return number_of(df, c)                # dirty text and NaN are treated as missing
 
 
 def _long(wide: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -38,7 +38,7 @@ def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     typed (not strings): (column, count, mean, stddev, min, max)."""
     aggs = []
     for i, c in enumerate(columns):
-        x = _value(c)
+        x = _value(df, c)
         aggs += [F.count(x).alias(f"count{i}"), F.avg(x).alias(f"mean{i}"),
                  F.stddev_samp(x).alias(f"stddev{i}"), F.min(x).alias(f"min{i}"),
                  F.max(x).alias(f"max{i}")]
@@ -46,27 +46,35 @@ def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Equal-width histogram of each column over [min, max], last bin closed,
-    empty bins included: (column, bin, lower, upper, count).
+    """Equal-width histogram of each column over [min, max] of its finite values, last bin closed,
+    empty bins included: (column, bin, lower, upper, count). Infinite values, if any, are counted in
+    a row of their own per sign: bin -1 for -Infinity, bin ``bins`` for Infinity (both edges infinite).
 
     Pass 1 finds min and max of all columns (one row). Pass 2 bins every
     value and counts per (column, bin): partial aggregation before the
     shuffle, at most ``len(columns) * bins`` groups.
     """
     spark = df.sparkSession
-    ext = df.agg(*[F.min(_value(c)).alias(f"mn{i}") for i, c in enumerate(columns)],
-                 *[F.max(_value(c)).alias(f"mx{i}") for i, c in enumerate(columns)]).collect()[0]
+    inf = float("inf")
+
+    def finite(c):
+        x = _value(df, c)
+        return F.when((x < inf) & (x > -inf), x)
+
+    ext = df.agg(*[F.min(finite(c)).alias(f"mn{i}") for i, c in enumerate(columns)],
+                 *[F.max(finite(c)).alias(f"mx{i}") for i, c in enumerate(columns)]).collect()[0]
     binned, lows, widths = {}, {}, {}
     for i, c in enumerate(columns):
         mn, mx = ext[f"mn{i}"], ext[f"mx{i}"]
         if mn is None:
             continue
-        width = (mx - mn) / bins
+        # halves first: the difference of two large finite values may overflow
+        width = (mx / 2 - mn / 2) / bins * 2
         lows[c], widths[c] = mn, width
-        x = _value(c)
+        x = _value(df, c)
         b = F.lit(0) if width == 0 else F.least(
             F.lit(bins - 1), F.floor((x - F.lit(mn)) / F.lit(width)).cast("int"))
-        binned[c] = F.when(x.isNotNull(), b)
+        binned[c] = F.when(x == inf, F.lit(bins)).when(x == -inf, F.lit(-1)).when(x.isNotNull(), b)
     present = list(binned)
     if not present:
         return spark.createDataFrame([], "column string, bin int, lower double, upper double, count bigint")
@@ -79,10 +87,12 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
         "column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     lo = F.create_map(*[x for c in present for x in (F.lit(c), F.lit(float(lows[c])))])
     wd = F.create_map(*[x for c in present for x in (F.lit(c), F.lit(float(widths[c])))])
-    return (grid.join(F.broadcast(counts), ["column", "bin"], "left")
+    # at most len(columns) * (bins + 2) rows on either side
+    infinite = F.when(F.col("bin") < 0, F.lit(-inf)).when(F.col("bin") >= bins, F.lit(inf))
+    return (grid.join(F.broadcast(counts), ["column", "bin"], "full")
             .select("column", "bin",
-                    (lo[F.col("column")] + F.col("bin") * wd[F.col("column")]).alias("lower"),
-                    (lo[F.col("column")] + (F.col("bin") + 1) * wd[F.col("column")]).alias("upper"),
+                    F.coalesce(infinite, lo[F.col("column")] + F.col("bin") * wd[F.col("column")]).alias("lower"),
+                    F.coalesce(infinite, lo[F.col("column")] + (F.col("bin") + 1) * wd[F.col("column")]).alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
@@ -91,11 +101,11 @@ def box_summary(df: DataFrame, columns: Sequence[str], reach: float = WHISKER_RE
     whiskers at the furthest values within ``reach`` IQR of the box, and the
     outlier count. (column, count, min, q1, median, q3, max, lower_whisker,
     upper_whisker, n_outliers)."""
-    qs = exact_quantiles(df, list(columns), [0.25, 0.5, 0.75])
+    qs = exact_quantiles(df, [_value(df, c) for c in columns], [0.25, 0.5, 0.75])
     aggs, fields = [], ["count", "min", "q1", "median", "q3", "max",
                         "lower_whisker", "upper_whisker", "n_outliers"]
     for i, (c, (q1, med, q3)) in enumerate(zip(columns, qs)):
-        x = _value(c)
+        x = _value(df, c)
         if q1 is None:
             lo_f = hi_f = None
         else:

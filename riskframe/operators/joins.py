@@ -1,64 +1,73 @@
-"""Join helpers that broadcast only sides of a checked size.
+"""Join helpers that broadcast only sides of a measured size.
 
 Static (estimate-based) broadcast is disabled in ``build_session``. A side is
-broadcast here only if it is provably small: its row count was checked
-against a bound derived from a row limit and an estimated byte limit. Beyond the
-bound the join stays a shuffle join, and AQE splits skewed partitions.
+broadcast here only if its rows and bytes were counted and lie within the bound.
+Beyond the bound the join stays a shuffle join, and AQE splits skewed partitions.
+The choice changes the plan, never the answer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# A plan's own size figure this many times above the byte bound settles the
+# question without a pass: it counts scanned files before filters and pruning.
+_CLEARLY_TOO_LARGE = 256
 
+_FIXED_BYTES = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+                T.DateType: 4}
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows. Only the columns of ``df`` are read,
-    so pass just the join keys and the payload columns.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """The bytes of a row's values as an expression: measured for text, binary
+    and nested values, the fixed width for the other types, 8 per field besides."""
+    total = F.lit(8)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+        else:
+            size = F.lit(_FIXED_BYTES.get(type(f.dataType), 16 if isinstance(f.dataType, T.DecimalType) else 8))
+        total = total + size
+    return total.cast("long")
 
 
-# Spark's default per-value size estimates by type (bytes).
-_TYPE_BYTES = {"byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8,
-               "boolean": 1, "date": 4, "timestamp": 8, "timestamp_ntz": 8, "string": 20,
-               "binary": 100}
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size figure of ``df`` (no job runs)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (Spark's default type sizes;
-    decimals 16, nested types 100)."""
-    total = 0
-    for f in df.schema.fields:
-        name = f.dataType.typeName()
-        total += _TYPE_BYTES.get(name, 16 if name == "decimal" else 100)
-    return max(1, total) + 8
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, ask_plan: bool = True) -> bool:
+    """True if ``df`` is within the row and byte bounds.
 
-
-def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                        max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> int:
-    """The most rows of ``df`` that may be broadcast: bounded by count and by bytes."""
-    return max(1, min(max_rows, max_bytes // row_bytes(df)))
+    A plan that is far too large by its own figure is refused without a job. Otherwise rows
+    and bytes are counted by one aggregate: each task sends one partial row, and only the
+    columns of ``df`` whose sizes vary are read.
+    """
+    if ask_plan and plan_bytes(df) > _CLEARLY_TOO_LARGE * max_bytes:
+        return False
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` if its row count (and estimated bytes) is within the
-    bound, else ``df`` unchanged: the join then stays a shuffle join, and AQE
+    """``broadcast(df)`` if its counted rows and bytes are within the bounds,
+    else ``df`` unchanged: the join then stays a shuffle join, and AQE
     may still broadcast it from the size measured at run time.
 
-    Select the join keys and payload columns before calling: the count reads
-    only them, and the broadcast carries only them.
+    Select the join keys and payload columns before calling: the broadcast carries only them.
     """
-    bound = broadcast_row_bound(df, max_rows, max_bytes)
-    return F.broadcast(df) if row_count_at_most(df, bound) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def attach_by_key(rows: DataFrame, groups: DataFrame, keys: Sequence[str],
@@ -68,7 +77,7 @@ def attach_by_key(rows: DataFrame, groups: DataFrame, keys: Sequence[str],
 
     NULL keys match each other, as they do in ``groupBy`` or a window
     partition. ``groups`` (an aggregate of ``rows``) is computed once and
-    written to the shared checkpoint folder. Its row count then costs no
+    written to the shared checkpoint folder. Counting it then costs no
     extra scan, and the source is read twice in all: once to aggregate, once
     to attach. Within the row and byte bound ``groups`` is broadcast, so the
     fact rows are never shuffled. Beyond it the join is a sort-merge join, and
@@ -77,8 +86,8 @@ def attach_by_key(rows: DataFrame, groups: DataFrame, keys: Sequence[str],
     from ..session import materialize
     renamed = materialize(groups.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
                                         *[c for c in groups.columns if c not in keys]))
-    bound = broadcast_row_bound(renamed, max_broadcast_rows)
-    side = F.broadcast(renamed) if row_count_at_most(renamed, bound) else renamed
+    # the checkpoint's own plan figure is that of its source, so count
+    side = F.broadcast(renamed) if fits_broadcast(renamed, max_broadcast_rows, ask_plan=False) else renamed
     cond = None
     for i, k in enumerate(keys):
         c = rows[k].eqNullSafe(F.col(f"__k{i}"))

@@ -21,7 +21,8 @@ which Spark computes partially per split before a tiny shuffle:
    the search continues on the next key (the tie-break) inside it. A key
    value held by a third of all rows is split by the tie-break like any
    other bracket;
-4. once a bracket holds at most ``collect_limit`` rows and at most 1/16 of
+4. once a bracket holds at most its share of ``collect_limit`` rows (the limit
+   holds for all targets of a call together) and at most 1/16 of
    the rows taking part, those rows (the key columns only) are gathered and
    the target is read off directly.
 
@@ -45,6 +46,11 @@ DEFAULT_ACCURACY = 10_000
 DEFAULT_COLLECT_LIMIT = 20_000
 
 
+_NOT_UNIQUE = "tie_break does not identify rows: equal rows would fall on both sides of a tile boundary"
+#: Targets per counting or gathering pass: bounds the width of one aggregate.
+_TARGETS_PER_PASS = 48
+
+
 @dataclass
 class _Target:
     keys: list[Column]          # sort keys; non-NULL, non-NaN within ``base``
@@ -61,6 +67,7 @@ class _Target:
     result: tuple | None = None
     cap: int = 0                # most rows gathered for this target (set on first use)
     seed: tuple | None = None   # first-round cut values found by an earlier pass
+    unique: bool = False        # the keys must identify the wanted row
 
     @property
     def level(self) -> int:
@@ -86,6 +93,8 @@ class _Target:
         self.prefix.append(value)
         self.rank -= rows_before
         if self.level == len(self.keys):
+            if self.unique and self.rank != run_rows:
+                raise ValueError(_NOT_UNIQUE)
             self.result = tuple(self.prefix)
             return
         self.lo = self.hi = None
@@ -95,22 +104,20 @@ class _Target:
 
 def _collect_small(df: DataFrame, targets: list[_Target]) -> None:
     """Gather the few rows of each small bracket and read off the target."""
-    cols: list[Column] = []
-    flags: list[Column] = []
-    for j, t in enumerate(targets):
-        flags.append(t.bracket().alias(f"_f{j}"))
-        cols += [k.alias(f"_t{j}k{i}") for i, k in enumerate(t.keys)]
+    # a row sends only the open keys of the targets whose bracket it is in
+    per_target = [F.when(t.bracket(), F.struct(*[k.alias(f"k{i}") for i, k in enumerate(t.keys[t.level:])])).alias(f"_t{j}")
+                  for j, t in enumerate(targets)]
     cond = None
     for t in targets:
         cond = t.bracket() if cond is None else cond | t.bracket()
-    rows = df.filter(cond).select(*flags, *cols).collect()
+    rows = df.filter(cond).select(*per_target).collect()
     for j, t in enumerate(targets):
-        lv = t.level
-        mine = sorted(tuple(r[f"_t{j}k{i}"] for i in range(lv, len(t.keys)))
-                      for r in rows if r[f"_f{j}"])
+        mine = sorted(tuple(r[j]) for r in rows if r[j] is not None)
         pos = t.rank - t.below - 1
         if not 0 <= pos < len(mine):
             raise RuntimeError("order-statistic bracket lost its target row")
+        if t.unique and pos + 1 < len(mine) and mine[pos + 1] == mine[pos]:
+            raise ValueError(_NOT_UNIQUE)
         t.result = tuple(t.prefix) + mine[pos]
 
 
@@ -192,18 +199,18 @@ def select_ranks(df: DataFrame, targets: list[_Target], accuracy: int = DEFAULT_
                  collect_limit: int = DEFAULT_COLLECT_LIMIT) -> list[tuple]:
     """Exact sort keys of the rows at the given ranks (all targets in lock-step)."""
     for t in targets:
-        # gather at most 1/16 of the rows taking part, and never more than the limit
-        t.cap = t.cap or max(64, min(collect_limit, t.within // 16))
+        # gather at most 1/16 of the rows taking part, and for all targets together about the limit
+        t.cap = t.cap or max(1, min(collect_limit // len(targets), max(64, t.within // 16)))
     while True:
         active = [t for t in targets if t.result is None]
         if not active:
             return [t.result for t in targets]
         small = [t for t in active if t.within <= t.cap]
-        if small:
-            _collect_small(df, small)
+        for i in range(0, len(small), _TARGETS_PER_PASS):
+            _collect_small(df, small[i:i + _TARGETS_PER_PASS])
         large = [t for t in active if t.within > t.cap]
-        if large:
-            _refine(df, large, accuracy)
+        for i in range(0, len(large), _TARGETS_PER_PASS):
+            _refine(df, large[i:i + _TARGETS_PER_PASS], accuracy)
 
 
 def _orderable(df: DataFrame, c: Column) -> tuple[Column, bool]:
@@ -258,15 +265,16 @@ def ntile_exact(df: DataFrame, order_by: ColumnOrName, n: int,
                 collect_limit: int = DEFAULT_COLLECT_LIMIT) -> DataFrame:
     """Add ``ntile(n) OVER (ORDER BY order_by, *tie_break)`` as column ``alias``.
 
-    Ascending, NULLs first and NaN last, as Spark sorts. ``tie_break`` must
-    identify rows uniquely (an id), so that tiles are well defined. Row order
+    Ascending, NULLs first and NaN last, as Spark sorts, in the order key and in the ties.
+    ``tie_break`` must identify rows (an id), so that tiles are well defined: if a tile
+    boundary falls between rows that agree in all keys, a ValueError is raised. Row order
     and partitioning of the input are kept.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
     x, can_nan = _orderable(df, col(order_by))
-    ties = [_orderable(df, col(t))[0] for t in tie_break]
-    if not ties:
+    tie_keys = [_orderable(df, col(t)) for t in tie_break]
+    if not tie_keys:
         raise ValueError("ntile_exact needs a unique tie_break column")
     is_null = x.isNull()
     is_nan = F.isnan(x) if can_nan else F.lit(False)
@@ -279,7 +287,9 @@ def ntile_exact(df: DataFrame, order_by: ColumnOrName, n: int,
     # wrong guess only costs a round; the exact counts decide.
     guess = sorted({min(1.0, max(0.0, j / n + d * 4.0 / accuracy))
                     for j in range(1, n) for d in (-1, 1)})
-    c = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_null).alias("n_null"),
+    c = df.agg(*[F.count_if(k.isNull() | F.isnan(k) if nan else k.isNull()).alias(f"t{i}")
+                 for i, (k, nan) in enumerate(tie_keys)],
+               F.count(F.lit(1)).alias("n"), F.count_if(is_null).alias("n_null"),
                F.count_if(x.isNotNull() & is_nan).alias("n_nan"),
                F.percentile_approx(F.when(normal, x), guess, accuracy).alias("g")).collect()[0]
     total, n_null, n_nan = c["n"], c["n_null"], c["n_nan"]
@@ -288,6 +298,15 @@ def ntile_exact(df: DataFrame, order_by: ColumnOrName, n: int,
     if total == 0:
         return df.withColumn(alias, F.lit(None).cast("int"))
 
+    ties: list[Column] = []
+    for i, (k, nan) in enumerate(tie_keys):
+        if c[f"t{i}"]:
+            # NULL first, NaN last: a rank of the kind, then the value
+            kind = F.when(k.isNull(), 0).when(F.isnan(k) if nan else F.lit(False), 2).otherwise(1)
+            ties += [kind, F.when(kind == 1, k).otherwise(F.lit(0))]
+        else:
+            ties.append(k)
+
     targets, segs = [], []
     for rank in tile_boundaries(total, n):
         if rank <= n_null:
@@ -305,6 +324,7 @@ def ntile_exact(df: DataFrame, order_by: ColumnOrName, n: int,
             t = _Target(keys=ties, base=x.isNotNull() & is_nan, rank=rank - n_null - n_norm,
                         within=n_nan)
             segs.append(2)
+        t.unique = True
         targets.append(t)
     bounds = select_ranks(df, targets, accuracy, collect_limit)
 

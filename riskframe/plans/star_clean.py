@@ -111,8 +111,7 @@ def cln_drop_null_rows(spark, sf_dir):
 @query
 def cln_distinct_report(spark, sf_dir):
     d = dirty_lines(spark, sf_dir)
-    after = clean.drop_null_rows(d, ["o_totalprice"])
-    return clean.distinct_report(d, after, ["o_totalprice", "l_linestatus", "term"])
+    return clean.null_row_report(d, ["o_totalprice"], ["o_totalprice", "l_linestatus", "term"])
 
 
 @query

@@ -28,17 +28,17 @@ def dst_histogram(spark, sf_dir):
     return _r(distribution.histogram(table(spark, sf_dir, "lineitem"), HIST_COLUMNS, 30))
 
 
-def _hist_sql(c: str, bins: int = 30) -> str:
+def _hist_sql(c: str, bins: int = 30, tab: str = "lineitem") -> str:
     return f"""
 SELECT '{c}' AS "column", CAST(g.bin AS INTEGER) AS bin,
        round(s.mn + g.bin * s.w, 6) AS lower, round(s.mn + (g.bin + 1) * s.w, 6) AS upper,
        CAST(coalesce(h.n, 0) AS BIGINT) AS count
-FROM (SELECT min({c}) AS mn, (max({c}) - min({c})) / {bins} AS w FROM lineitem) s
+FROM (SELECT min({c}) AS mn, (max({c}) - min({c})) / {bins} AS w FROM {tab}) s
 CROSS JOIN (SELECT range AS bin FROM range({bins})) g
 LEFT JOIN (SELECT b, count(*) AS n FROM (
              SELECT CASE WHEN s2.w = 0 THEN 0
                          ELSE least({bins - 1}, CAST(floor(({c} - s2.mn) / s2.w) AS INTEGER)) END AS b
-             FROM lineitem, (SELECT min({c}) AS mn, (max({c}) - min({c})) / {bins} AS w FROM lineitem) s2
+             FROM {tab}, (SELECT min({c}) AS mn, (max({c}) - min({c})) / {bins} AS w FROM {tab}) s2
              WHERE {c} IS NOT NULL) GROUP BY b) h ON h.b = g.bin
 """
 

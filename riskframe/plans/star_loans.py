@@ -12,9 +12,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..ml import features as feat
 from ..operators.joins import checked_broadcast
 from ..presets import loans
+from ..session import scratch_path
+from ..sources.files import write_table
 from .star import _r, query, table
+from .star_dist import _box_sql, _hist_sql
+from .star_misc import UNIFORM_SQL
+from .star_misc import _uniform as uniform
+from .star_ml import SUITE_SQL, plausible
 
 ORACLE_LOANS: dict[str, str] = {}
 
@@ -66,7 +73,8 @@ def loan_text_table(spark, sf_dir):
 def _answer(name):
     def run(spark, sf_dir):
         df = loans.prepare_loans(loan_text_table(spark, sf_dir))
-        out = loans.QUESTIONS.answer(name, df)
+        # the random rows of q06 by an arithmetic uniform value, so that SQL can follow
+        out = loans.q06(df, by=uniform("id")) if name == "q06" else loans.QUESTIONS.answer(name, df)
         return _r(out, money=("total_late_fees",) if name == "q04" else ())
     return run
 
@@ -207,59 +215,165 @@ FROM f JOIN c ON f.grade = c.g
 """
 
 
+ORACLE_LOANS["loan_q06_diff_from_group_mean"] = LOAN_SQL + f"""
+SELECT CAST(id AS VARCHAR) AS id, addr_state, round(annual_inc, 6) AS annual_inc,
+       round(avg_state_income, 6) AS avg_state_income, round(annual_inc - avg_state_income, 6) AS income_difference
+FROM (SELECT *, avg(annual_inc) OVER (PARTITION BY addr_state) AS avg_state_income FROM L)
+ORDER BY {UNIFORM_SQL.replace("o_orderkey", "id")}, CAST(id AS VARCHAR) LIMIT 10
+"""
+
+
 # --------------------------------------------------------------------------
-# The cleaning and ML jobs of the preset on the same data (rows-only)
+# The preset's jobs on the same data, with every column its cleaning and ML
+# specs name, and missing values, placeholders, sparse columns and bad terms
+# planted by fixed rules of the key, so that each of the eleven steps acts.
 # --------------------------------------------------------------------------
 
-def _loan_csv(spark, sf_dir):
-    from ..session import scratch_path
-    from ..sources.files import write_table
-    path = scratch_path(spark, "loan_csv")
-    write_table(loan_text_table(spark, sf_dir), path, fmt="csv")
+def loan_full_table(spark, sf_dir):
+    t = loan_text_table(spark, sf_dir)
+    key, null = F.col("id").cast("long"), F.lit(None).cast("string")
+    price = F.col("loan_amnt").cast("double")
+
+    def some(n, column):
+        return F.when(key % n == 0, null).otherwise(column)
+
+    return t.select(
+        "*", F.col("id").alias("member_id"), F.concat("grade", F.lit("1")).alias("sub_grade"),
+        F.lit("10+ years").alias("emp_length"), some(13, F.col("loan_amnt")).alias("funded_amnt"),
+        F.col("loan_amnt").alias("funded_amnt_inv"),
+        some(19, _s(F.col("fico_range_low").cast("int") + 4)).alias("fico_range_high"),
+        F.when(key % 4 == 0, " 60 months").when(key % 4 == 1, null).when(key % 4 == 2, " 36 months")
+         .otherwise("bad").alias("term"),
+        F.when(key % 5 == 0, "...").when(key % 5 == 1, null).otherwise(F.col("purpose")).alias("title"),
+        F.when(key % 6 == 0, "Y").when(key % 6 == 1, null).otherwise("N").alias("hardship_flag"),
+        F.when(key % 8 == 0, "Y").otherwise("N").alias("debt_settlement_flag"),
+        F.when(key % 10 == 0, "some text").alias("desc"),
+        _s(price / 36.0).alias("installment"), F.concat(_s(key % 100), F.lit(".5%")).alias("revol_util"),
+        F.when(key % 7 == 0, "NaN").otherwise(_s((key % 1000) * F.lit(1.5))).alias("bc_open_to_buy"),
+        _s((key % 2000) * F.lit(2.5)).alias("total_bc_limit"), _s(key % 5).alias("mort_acc"),
+        _s(key % 3).alias("pub_rec"), _s(key % 2).alias("pub_rec_bankruptcies"), _s(key % 9000).alias("revol_bal"),
+        _s(key % 60).alias("total_acc"), _s(key % 4).alias("inq_last_6mths"), F.lit("n").alias("pymnt_plan"),
+        F.lit("http://x").alias("url"), F.lit("123xx").alias("zip_code"), F.lit("w").alias("initial_list_status"),
+        F.lit("Jan-2016").alias("last_pymnt_d"), F.lit("Jan-2016").alias("last_credit_pull_d"),
+        F.lit("Cash").alias("disbursement_method")).withColumns({
+            "annual_inc": some(11, F.col("annual_inc")), "loan_amnt": some(17, F.col("loan_amnt")),
+            "home_ownership": some(9, F.col("home_ownership")),
+            "purpose": F.when(key % 23 == 0, null).when(key % 29 == 0, "...").otherwise(F.col("purpose"))})
+
+
+def _csv(spark, table_, name):
+    path = scratch_path(spark, name)
+    write_table(table_, path, fmt="csv")
     return path
 
 
+def _cleaned(spark, sf_dir):
+    out = scratch_path(spark, "loan_clean")
+    loans.cleaning_job(spark, _csv(spark, loan_full_table(spark, sf_dir), "loan_csv"), out)
+    return spark.read.parquet(out)
+
+
 @query
 def loan_cleaning_job(spark, sf_dir):
-    """Text loan table -> CSV -> typed read -> the 11-step cleaning chain -> Parquet."""
-    from ..session import scratch_path
-    out = scratch_path(spark, "loan_clean")
-    loans.cleaning_job(spark, _loan_csv(spark, sf_dir), out)
-    return _r(spark.read.parquet(out))
+    """Text loan table -> CSV -> ingest with inferred types -> the 11-step cleaning chain -> Parquet."""
+    return _r(_cleaned(spark, sf_dir))
+
+
+@query
+def loan_ml_features(spark, sf_dir):
+    """The cleaned loans' features and labels before any fit."""
+    rows = loans.ml_table(_cleaned(spark, sf_dir))
+    numeric, ind = feat.feature_columns(rows, loans.LOAN_ML)
+    return _r(rows.select(*numeric, *ind, feat.LABEL_CLASS, feat.LABEL_REG))
 
 
 @query
 def loan_ml_job(spark, sf_dir):
-    """Cleaned loan table -> features, labels, 70/15/15 split -> logistic and linear
-    regression -> metrics of every split (task, model, split, metric, value)."""
-    from ..session import scratch_path
-    out = scratch_path(spark, "loan_clean_ml")
-    loans.cleaning_job(spark, _loan_csv(spark, sf_dir), out)
-    metrics, _ = loans.ml_job(spark, spark.read.parquet(out), models=["lr"])
-    return metrics.drop("duration_s")
-
-
-# On this data nothing is sparse, nothing is missing in the filled columns, and
-# the one-hot categories are MORTGAGE, OTHER, OWN, RENT; inferred types follow
-# the text (digits -> INT, decimals -> DOUBLE, rates with "%" -> STRING).
-ORACLE_LOANS["loan_cleaning_job"] = """
-SELECT round(o_totalprice, 6) AS loan_amnt,
-       CASE WHEN o_orderkey % 2 = 0 THEN CAST(5 + o_orderkey % 20 AS VARCHAR) || '%'
-            ELSE CAST(5 + o_orderkey % 20 AS VARCHAR) END AS int_rate,
-       round(c_acctbal * 20.0, 6) AS annual_inc,
-       CASE o_orderstatus WHEN 'F' THEN 'Fully Paid' WHEN 'P' THEN 'Charged Off' ELSE 'Current' END AS loan_status,
-       CASE o_orderpriority WHEN '1-URGENT' THEN 'debt_consolidation' WHEN '2-HIGH' THEN 'credit_card'
-                            WHEN '3-MEDIUM' THEN 'car' ELSE 'other' END AS purpose,
-       round(c_acctbal / 500.0, 6) AS dti,
-       CAST(o_orderkey % 4 AS INTEGER) AS delinq_2yrs,
-       CAST(550 + o_custkey % 300 AS INTEGER) AS fico_range_low,
-       CAST(o_custkey % 30 AS INTEGER) AS open_acc,
-       round(o_totalprice / 10000.0, 6) AS total_rec_late_fee,
-       round(o_totalprice * 2.0, 6) AS tot_hi_cred_lim,
-       CAST(o_custkey % 3 AS INTEGER) AS num_accts_ever_120_pd,
-       CAST(c_mktsegment = 'MACHINERY' AS INTEGER) AS home_ownership_MORTGAGE,
-       CAST(c_mktsegment NOT IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY') AS INTEGER) AS home_ownership_OTHER,
-       CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS home_ownership_OWN,
-       CAST(c_mktsegment = 'HOUSEHOLD' AS INTEGER) AS home_ownership_RENT
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    """Cleaned loan table -> features, labels, 70/15/15 split -> all six models -> metrics of every split."""
+    metrics, _, _ = loans.ml_job(spark, _cleaned(spark, sf_dir))
+    return plausible(metrics)
+
+
+@query
+def loan_questions_from_csv(spark, sf_dir):
+    """The first three questions answered by the job from raw CSV, ingested once."""
+    answers = loans.questions_job(spark, _csv(spark, loan_text_table(spark, sf_dir), "loan_csv"), ["q01", "q02", "q03"])
+    parts = [a.select(F.lit(n).alias("question"), F.col(a.columns[0]).cast("double").alias("value"))
+             for n, a in sorted(answers.items())]
+    return _r(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query
+def loan_summary_boxes(spark, sf_dir):
+    """Box figures of amount, rate and instalment."""
+    return _r(loans.loan_summaries(_priced(spark, sf_dir))["boxes"])
+
+
+@query
+def loan_summary_histograms(spark, sf_dir):
+    """Histograms of amount, rate and instalment."""
+    return _r(loans.loan_summaries(_priced(spark, sf_dir))["histograms"])
+
+
+def _priced(spark, sf_dir):
+    df = loans.prepare_loans(loan_text_table(spark, sf_dir))
+    return df.select("loan_amnt", "int_rate", (F.col("loan_amnt") / 36.0).alias("installment"))
+
+
+_PRICED_SQL = LOAN_SQL + ", S AS (SELECT loan_amnt, int_rate, loan_amnt / 36.0 AS installment FROM L) "
+ORACLE_LOANS["loan_summary_boxes"] = _PRICED_SQL + " UNION ALL ".join(_box_sql(c, "S") for c in loans.SUMMARY_COLUMNS)
+ORACLE_LOANS["loan_summary_histograms"] = _PRICED_SQL + " UNION ALL ".join(
+    _hist_sql(c, 30, "S") for c in loans.SUMMARY_COLUMNS)
+
+ORACLE_LOANS["loan_questions_from_csv"] = LOAN_SQL + f"""
+SELECT 'q01' AS question, round(avg(loan_amnt), 6) AS value FROM L WHERE home_ownership = 'OWN' AND annual_inc > 100000
+UNION ALL SELECT 'q02', CAST(count(*) AS DOUBLE) FROM L WHERE num_accts_ever_120_pd > 0 AND purpose = 'debt_consolidation'
+UNION ALL SELECT 'q03', round({_pct("delinq_2yrs > 0")}, 6) FROM L WHERE fico_range_low < 650
+"""
+
+# Means of the named columns are over all rows, those of the floating columns over the kept ones.
+_CLEAN_SQL = LOAN_SQL + """
+, P AS (SELECT L.*, CASE WHEN id % 17 = 0 THEN NULL ELSE loan_amnt END AS amount,
+               CASE WHEN id % 11 = 0 THEN NULL ELSE annual_inc END AS income,
+               CASE WHEN id % 7 = 0 THEN NULL ELSE (id % 1000) * 1.5 END AS open_to_buy,
+               CASE WHEN id % 9 = 0 THEN 'ANY' ELSE home_ownership END AS home,
+               CASE WHEN id % 23 = 0 THEN 'any' WHEN id % 29 = 0 THEN '...' ELSE purpose END AS why,
+               CASE WHEN id % 5 < 2 THEN 'any' ELSE purpose END AS heading
+        FROM L),
+K AS (SELECT *, round(coalesce(amount, (SELECT avg(amount) FROM P)), 6) AS filled_amount,
+             round(coalesce(income, avg(income) OVER ()), 6) AS filled_income,
+             round(coalesce(open_to_buy, avg(open_to_buy) OVER ()), 6) AS filled_open
+      FROM P WHERE id % 19 <> 0)
+"""
+
+_HOMES = "".join(f", CAST(home = '{h}' AS INTEGER) AS home_ownership_{h}" for h in ("ANY", "MORTGAGE", "OTHER", "OWN", "RENT"))
+
+ORACLE_LOANS["loan_cleaning_job"] = _CLEAN_SQL + f"""
+SELECT filled_amount AS loan_amnt, int_rate, filled_income AS annual_inc, loan_status, why AS purpose,
+       round(dti, 6) AS dti, CAST(delinq_2yrs AS INTEGER) AS delinq_2yrs, CAST(fico_range_low AS INTEGER) AS fico_range_low,
+       CAST(open_acc AS INTEGER) AS open_acc, round(total_rec_late_fee, 6) AS total_rec_late_fee,
+       round(tot_hi_cred_lim, 6) AS tot_hi_cred_lim, CAST(num_accts_ever_120_pd AS INTEGER) AS num_accts_ever_120_pd,
+       CAST(fico_range_low + 4 AS INTEGER) AS fico_range_high, CASE WHEN id % 4 = 0 THEN 60 ELSE 36 END AS term,
+       heading AS title, CAST(id % 6 = 0 AS INTEGER) AS hardship_flag, CAST(id % 8 = 0 AS INTEGER) AS debt_settlement_flag,
+       round(loan_amnt / 36.0, 6) AS installment, CAST(id % 100 + 0.5 AS DOUBLE) AS revol_util,
+       filled_open AS bc_open_to_buy, CAST((id % 2000) * 2.5 AS DOUBLE) AS total_bc_limit,
+       CAST(id % 5 AS INTEGER) AS mort_acc, CAST(id % 3 AS INTEGER) AS pub_rec,
+       CAST(id % 2 AS INTEGER) AS pub_rec_bankruptcies, CAST(id % 9000 AS INTEGER) AS revol_bal,
+       CAST(id % 60 AS INTEGER) AS total_acc, CAST(id % 4 AS INTEGER) AS inq_last_6mths{_HOMES}
+FROM K
+"""
+
+ORACLE_LOANS["loan_ml_features"] = _CLEAN_SQL + f"""
+SELECT int_rate, filled_amount AS loan_amnt, CAST(CASE WHEN id % 4 = 0 THEN 60 ELSE 36 END AS DOUBLE) AS term,
+       round(loan_amnt / 36.0, 6) AS installment, filled_income AS annual_inc, round(dti, 6) AS dti,
+       CAST(id % 100 + 0.5 AS DOUBLE) AS revol_util, filled_open AS bc_open_to_buy,
+       CAST((id % 2000) * 2.5 AS DOUBLE) AS total_bc_limit, CAST(id % 5 AS DOUBLE) AS mort_acc,
+       CAST(id % 3 AS DOUBLE) AS pub_rec, CAST(id % 2 AS DOUBLE) AS pub_rec_bankruptcies, delinq_2yrs, open_acc,
+       CAST(id % 9000 AS DOUBLE) AS revol_bal, CAST(id % 60 AS DOUBLE) AS total_acc,
+       CAST(id % 4 AS DOUBLE) AS inq_last_6mths, CAST(id % 6 = 0 AS DOUBLE) AS hardship_flag,
+       CAST(id % 8 = 0 AS DOUBLE) AS debt_settlement_flag{_HOMES.replace("INTEGER", "DOUBLE")},
+       CASE WHEN loan_status = 'Fully Paid' THEN 0.0 ELSE 1.0 END AS label_class, fico_range_low AS label_reg
+FROM K WHERE loan_status IN ('Fully Paid', 'Charged Off', 'Default')
 """
+
+ORACLE_LOANS["loan_ml_job"] = SUITE_SQL

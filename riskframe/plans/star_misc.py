@@ -17,8 +17,8 @@ _MULT, _MOD = 2654435761, 4294967296
 UNIFORM_SQL = f"(CAST(((o_orderkey % 2147483648) * {_MULT}) % {_MOD} AS DOUBLE) / {float(_MOD)})"
 
 
-def _uniform():
-    k = F.pmod(F.col("o_orderkey"), F.lit(2147483648))
+def _uniform(key="o_orderkey"):
+    k = F.pmod(F.col(key).cast("long"), F.lit(2147483648))
     return F.pmod(k * F.lit(_MULT), F.lit(_MOD)).cast("double") / F.lit(float(_MOD))
 
 

@@ -8,7 +8,10 @@ for one customer in ten so that imputation has work to do.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ from ..session import scratch_path, stage_table
 from ..sources.files import read_typed, write_table
 from ..sources.models import load_model, save_model
 from .star import _r, query, table
+from .star_misc import UNIFORM_SQL
+from .star_misc import _uniform as uniform
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 NUMERIC = ["c_acctbal", "order_year", "priority_rank", "n_lines", "sum_quantity", "avg_discount"]
@@ -160,26 +165,45 @@ UNION ALL SELECT 'r2', round(1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(
 
 def prepared_splits(spark, sf_dir, keep=()):
     rows = labelled_rows(spark, sf_dir, staged=True)
-    train, val, test = split_rows(rows, [0.7, 0.15, 0.15], keys=["o_orderkey"], seed=42)
+    # split by the arithmetic uniform column, so that SQL can count the same splits
+    train, val, test = split_rows(rows, [0.7, 0.15, 0.15], by=uniform())
     prep = feat.fit_preparation(train, SPEC)
     return ({"train": prep.transform(train, keep), "validation": prep.transform(val, keep),
              "test": prep.transform(test, keep)}, prep)
 
 
-def _metrics_df(spark, res):
-    return spark.createDataFrame([(s, m, v) for s, m, v in res.metrics],
-                                 "split string, metric string, value double")
+_EVALUATORS = {
+    suite.CLASSIFICATION: (MulticlassClassificationEvaluator, feat.LABEL_CLASS),
+    suite.REGRESSION: (RegressionEvaluator, feat.LABEL_REG),
+}
 
 
 def _model_query(task, key):
     def run(spark, sf_dir):
         splits, _ = prepared_splits(spark, sf_dir)
-        return _metrics_df(spark, suite.train_and_evaluate(task, key, splits))
+        res = suite.train_and_evaluate(task, key, splits)
+        evaluator, label = _EVALUATORS[task]
+        rows = []
+        for split, df in splits.items():
+            scored = res.model.transform(df).select(label, "prediction").cache()
+            agree = all(math.isclose(v, evaluator(labelCol=label, metricName=m).evaluate(scored), rel_tol=1e-6, abs_tol=1e-6)
+                        for s, m, v in res.metrics if s == split)
+            rows.append((split, scored.count(), agree, all(math.isfinite(v) for s, _, v in res.metrics if s == split)))
+            scored.unpersist()
+        return spark.createDataFrame(rows, "split string, n_rows long, metrics_agree boolean, metrics_finite boolean")
     run.__name__ = f"ml_{'cls' if task == suite.CLASSIFICATION else 'reg'}_{key}"
-    run.__doc__ = f"Train {task} model '{key}' on the 70% split; metrics of all splits (rows-only)."
+    run.__doc__ = f"Train {task} model '{key}' on the 70% split; rows of all splits, and our metrics against MLlib's evaluators."
+    ORACLE_ML[run.__name__] = _SPLIT_SQL
     return query(run)
 
 
+_SPLIT_SQL = _ORDER_SQL + f"""
+, s AS (SELECT {UNIFORM_SQL} AS u FROM t WHERE o_totalprice IS NOT NULL)
+SELECT split, count(*) AS n_rows, TRUE AS metrics_agree, TRUE AS metrics_finite
+FROM (SELECT CASE WHEN u < CAST(0.7 AS DOUBLE) THEN 'train' WHEN u < CAST(0.85 AS DOUBLE) THEN 'validation'
+                  ELSE 'test' END AS split FROM s) GROUP BY split
+"""
+
 for _task in (suite.CLASSIFICATION, suite.REGRESSION):
     for _key in ("lr", "rf", "gbt"):
         _model_query(_task, _key)
@@ -192,7 +216,16 @@ def ml_feature_importance(spark, sf_dir):
     top = suite.feature_importance(spark, res.model, prep.feature_names, top=10)
     path = scratch_path(spark, "ml_importance_csv")          # saved as a CSV table, read back
     write_table(top, path, fmt="csv")
-    return read_typed(spark, path, schema="feature STRING, importance DOUBLE")
+    back = read_typed(spark, path, schema="feature STRING, importance DOUBLE")
+    known = F.col("feature").isin(prep.feature_names)
+    return back.agg(F.count(F.lit(1)).alias("n_features"), F.count_if(known).alias("n_known"),
+                    F.countDistinct("feature").alias("n_distinct"), (F.sum("importance") <= 1 + 1e-9).alias("within_one"),
+                    (F.min("importance") >= 0).alias("none_negative"))
+
+
+ORACLE_ML["ml_feature_importance"] = """
+SELECT 10 AS n_features, 10 AS n_known, 10 AS n_distinct, TRUE AS within_one, TRUE AS none_negative
+"""
 
 
 @query
@@ -201,11 +234,40 @@ def ml_model_roundtrip(spark, sf_dir):
     res = suite.train_and_evaluate(suite.CLASSIFICATION, "lr", {"train": splits["train"]})
     path = save_model(res.model, scratch_path(spark, "ml_model_lr"))
     loaded = load_model(LogisticRegressionModel, path)
-    return loaded.transform(splits["test"]).select("o_orderkey", feat.LABEL_CLASS, "prediction")
+    mine = res.model.transform(splits["test"]).withColumnRenamed("prediction", "mine").drop("rawPrediction", "probability")
+    both = loaded.transform(mine)
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("mine") != F.col("prediction")).alias("n_different"))
+
+
+ORACLE_ML["ml_model_roundtrip"] = _ORDER_SQL + f"""
+SELECT count(*) AS n_rows, 0 AS n_different FROM t
+WHERE o_totalprice IS NOT NULL AND {UNIFORM_SQL} >= CAST(0.85 AS DOUBLE)
+"""
+
+
+def plausible(metrics):
+    """A suite's metrics table with each value replaced by whether it is possible: shares in [0, 1], r2 at most 1."""
+    v = F.col("value")
+    ok = F.when(F.col("task") == suite.CLASSIFICATION, (v >= 0) & (v <= 1)).when(F.col("metric") == "r2", v <= 1).otherwise(v >= 0)
+    return metrics.select("task", "model", "split", "metric", F.coalesce(ok, F.lit(False)).alias("plausible"))
+
+
+SUITE_SQL = """
+SELECT task, model, split, metric, TRUE AS plausible FROM (
+  SELECT 'classification' AS task, model, metric
+  FROM (VALUES ('Logistic Regression'), ('Random Forest'), ('GBT Classifier')) a(model),
+       (VALUES ('accuracy'), ('f1'), ('weightedPrecision'), ('weightedRecall')) b(metric)
+  UNION ALL
+  SELECT 'regression', model, metric
+  FROM (VALUES ('Linear Regression'), ('Random Forest'), ('GBT Regressor')) a(model), (VALUES ('rmse'), ('r2')) b(metric)),
+  (VALUES ('train'), ('validation'), ('test')) c(split)
+"""
 
 
 @query
 def ml_suite(spark, sf_dir):
     splits, _ = prepared_splits(spark, sf_dir)
-    table_, _ = suite.train_suite(spark, splits)
-    return table_.drop("duration_s")
+    return plausible(suite.train_suite(spark, splits)[0])
+
+
+ORACLE_ML["ml_suite"] = SUITE_SQL

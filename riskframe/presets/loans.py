@@ -5,6 +5,7 @@ Typical use::
 
     raw = read_loans(spark, "loans/*.csv")              # strings, robust CSV
     loans = prepare_loans(raw)                           # TRY_CAST of the measures
+    loans = ingest(spark, "loans/*.csv")                 # or both, once, as Parquet
     answers = QUESTIONS.run(loans)                       # 12 DataFrames
     cleaned, facts = clean_loans(read_typed(spark, p, infer=True))   # typed input
 """
@@ -15,15 +16,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import safe_cast
-from ..functions.exprs import age_years, parse_month
+from ..functions.columns import safe_cast, sanitize_names
+from ..functions.exprs import age_years, parse_month, try_number, unit_hash
+from ..ml import features as feat
+from ..ml import suite
 from ..ml.features import FeatureSpec
 from ..operators import compare, measures, ntile, sampling, windows
-from ..operators.distribution import describe_table
+from ..operators.distribution import box_summary, describe_table, histogram, histogram_first, numeric_columns
+from ..operators.sampling import split_rows
 from ..plans.cleaning import CleaningSpec, clean_table
 from ..plans.questions import QuestionRegistry
-from ..session import stage_table
-from ..sources.files import apply_header, read_raw, string_schema
+from ..session import scratch_path, stage_table
+from ..sources.files import apply_header, ingest_raw, read_raw, read_typed, string_schema, write_table
+from ..sources.models import save_model
 
 # ---------------------------------------------------------------------------
 # The 151 column names of the raw loan file, in file order.
@@ -97,6 +102,8 @@ LOAN_CLEANING = CleaningSpec(
                  "earliest_cr_line", "initial_list_status", "last_pymnt_d", "last_credit_pull_d",
                  "application_type", "disbursement_method"],
     text_columns=["purpose", "title"],
+    text_placeholders={"title": ("...",)},
+    percent_columns=["int_rate", "revol_util"],
     flag_columns=["hardship_flag", "debt_settlement_flag"],
     redundant_drop=["funded_amnt", "funded_amnt_inv"],
 )
@@ -131,19 +138,39 @@ def prepare_loans(raw: DataFrame, strip_percent: bool = True) -> DataFrame:
 
 
 def numeric_stats(df: DataFrame) -> DataFrame:
-    """count/mean/stddev/min/max of the eleven statistics columns."""
+    """count/mean/stddev/min/max of the eleven statistics columns (text as read or numbers)."""
     return describe_table(df, STATS_COLUMNS)
 
 
+# The columns and the column count of the summaries that stand for the charts.
+SUMMARY_COLUMNS = ["loan_amnt", "int_rate", "installment"]
+SUMMARY_FIRST = 18
+
+
+def loan_summaries(df: DataFrame) -> dict[str, DataFrame]:
+    """Histograms and box figures of the loan amount, rate and instalment, histograms of the
+    numeric columns among the first 18, and box figures of the first numeric column."""
+    present = [c for c in SUMMARY_COLUMNS if c in df.columns]
+    numeric = numeric_columns(df)
+    return {"histograms": histogram(df, present), "boxes": box_summary(df, present),
+            "histograms_first": histogram_first(df, SUMMARY_FIRST), "box_first": box_summary(df, numeric[:1])}
+
+
 def clean_loans(df: DataFrame):
     """The eleven cleaning steps; returns (cleaned table, fitted facts)."""
     return clean_table(df, LOAN_CLEANING)
 
 
-def _id_key() -> Column:
-    # unique row key for tie-breaks: the loan id as a number when it is one,
-    # otherwise its 64-bit hash
-    return F.coalesce(F.col("id").try_cast("long"), F.xxhash64("id"))
+def _with_row_keys(rows: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
+    """``rows`` (with the text column ``id``) staged once, with its tie-break keys.
+
+    Ids order as numbers where they are numbers (others first, as NULL), then by hash; rows whose id is NULL
+    or repeated are told apart by a row number that is fixed when the table is staged.
+    """
+    keyed = rows.withColumns({"_id": try_number("id", "long"), "_hash": F.coalesce(F.xxhash64("id"), F.lit(0)),
+                              "_row": F.monotonically_increasing_id()}).drop("id")
+    # the exact n-tile scans its input several times
+    return stage_table(keyed, name), ["_id", "_hash", "_row"]
 
 
 QUESTIONS = QuestionRegistry()
@@ -183,11 +210,11 @@ def q05(df: DataFrame) -> DataFrame:
 
 
 @QUESTIONS.register("q06", "Income minus state mean income (10 random clients)")
-def q06(df: DataFrame, k: int = 10, seed: int = 42) -> DataFrame:
+def q06(df: DataFrame, k: int = 10, seed: int = 42, by: Column | None = None) -> DataFrame:
     rows = windows.diff_from_group_mean(
         df, "addr_state", "annual_inc", mean_alias="avg_state_income",
         diff_alias="income_difference", columns=["id", "addr_state", "annual_inc"])
-    return sampling.random_k(rows, k, keys=["id"], seed=seed)
+    return sampling.random_k(rows, k, keys=["id"], seed=seed, by=by)
 
 
 @QUESTIONS.register("q07", "Top 10 states by charged-off share of finished loans (10+ loans)")
@@ -203,12 +230,11 @@ def q08(df: DataFrame) -> DataFrame:
     age = age_years(parse_month("issue_d", DATE_FORMAT), parse_month("earliest_cr_line", DATE_FORMAT))
     rows = (df.filter(F.col("earliest_cr_line").isNotNull() & F.col("issue_d").isNotNull()
                       & F.col("int_rate").isNotNull())
-            .select(_id_key().alias("_row"), age.alias("credit_history_years"), "int_rate")
+            .select("id", age.alias("credit_history_years"), "int_rate")
             .filter(F.col("credit_history_years") >= 0))
-    # the exact n-tile scans its input several times: parse the dates once
-    rows = stage_table(rows, "q08_rows")
+    rows, ties = _with_row_keys(rows, "q08_rows")
     return ntile.quantile_profile(
-        rows, "credit_history_years", 4, ["_row"],
+        rows, "credit_history_years", 4, ties,
         {"min_years": F.min("credit_history_years"), "max_years": F.max("credit_history_years"),
          "avg_interest_rate": F.avg("int_rate"), "loan_count": F.count(F.lit(1))},
         tile_alias="quartile")
@@ -235,10 +261,10 @@ def q10(df: DataFrame) -> DataFrame:
 @QUESTIONS.register("q11", "Repayment success by quartile of open accounts")
 def q11(df: DataFrame) -> DataFrame:
     rows = (df.filter(F.col("open_acc").isNotNull() & F.col("loan_status").isin(list(FINISHED)))
-            .select(_id_key().alias("_row"), "open_acc", "loan_status"))
-    rows = stage_table(rows, "q11_rows")        # scanned several times by the exact n-tile
+            .select("id", "open_acc", "loan_status"))
+    rows, ties = _with_row_keys(rows, "q11_rows")
     out = ntile.quantile_profile(
-        rows, "open_acc", 4, ["_row"],
+        rows, "open_acc", 4, ties,
         {"min_accounts": F.min("open_acc"), "max_accounts": F.max("open_acc"),
          "avg_accounts": F.avg("open_acc"), "total_loans": F.count(F.lit(1)),
          "fully_paid_count": F.count_if(F.col("loan_status") == PAID)},
@@ -261,40 +287,72 @@ def q12(df: DataFrame) -> DataFrame:
 # The three jobs, as functions
 # ---------------------------------------------------------------------------
 
-def cleaning_job(spark: SparkSession, raw_paths, out_path: str, infer: bool = True):
-    """Read the raw file(s) typed, run the cleaning chain, write Parquet.
+def ingest(spark: SparkSession, raw_paths, out_path: str | None = None, splittable: bool = False,
+           casts: dict[str, str] | None = None, infer: bool = False) -> DataFrame:
+    """The raw file(s) as a Parquet table, read as text once; every job works on this table.
+
+    ``casts`` (default: the question measures) happen in the same pass, "13.99%" becoming 13.99. With
+    ``infer`` the file is read with inferred types instead (one more pass over the text). ``splittable`` says that no
+    field holds a line break, so a file is read by many tasks.
+    """
+    out_path = out_path or scratch_path(spark, "loans")
+    if infer:
+        write_table(read_typed(spark, raw_paths, infer=True, options={"multiLine": str(not splittable).lower()}), out_path)
+        return spark.read.parquet(out_path)
+    return ingest_raw(spark, raw_paths, out_path, casts=QUESTION_CASTS if casts is None else casts, strip_chars="%",
+                      nan_as_null=True, multiline=not splittable)
+
+
+def cleaning_job(spark: SparkSession, raw_paths, out_path: str, infer: bool = True, splittable: bool = False):
+    """Ingest the raw file(s), run the cleaning chain on the ingested table, write Parquet.
 
     Returns the fitted facts (sparse columns dropped, means, categories).
     """
-    from ..sources.files import read_typed, write_table
-    cleaned, facts = clean_loans(read_typed(spark, raw_paths, infer=infer))
+    cleaned, facts = clean_loans(ingest(spark, raw_paths, splittable=splittable, infer=infer))
     write_table(cleaned, out_path)
     return facts
 
 
-def questions_job(spark: SparkSession, raw_paths, names=None) -> dict[str, DataFrame]:
-    """Read the raw file(s) as strings, cast the measures, answer the questions."""
-    return QUESTIONS.run(prepare_loans(read_loans(spark, raw_paths)), names)
+def questions_job(spark: SparkSession, raw_paths, names=None, splittable: bool = False) -> dict[str, DataFrame]:
+    """Ingest the raw file(s) with the measures cast, and answer the questions from that table."""
+    return QUESTIONS.run(ingest(spark, raw_paths, splittable=splittable), names)
+
+
+def ml_table(cleaned: DataFrame) -> DataFrame:
+    """Features and labels before any fit: names sanitised, finished loans, features as numbers."""
+    return feat.add_labels(feat.select_rows(sanitize_names(cleaned), LOAN_ML), LOAN_ML)
 
 
 def ml_job(spark: SparkSession, cleaned: DataFrame, tasks=("classification", "regression"),
-           models="all", seed: int = 42):
-    """Sanitise names, build features and labels, split 70/15/15 by a hash of
-    the row, fit imputation and scaling on the training split, train and
-    evaluate the models. Returns (metrics table, {model: importance table})."""
-    from ..functions.columns import sanitize_names
-    from ..ml import features as feat
-    from ..ml import suite
-    from ..operators.sampling import split_rows
-    df = sanitize_names(cleaned)
-    rows = feat.add_labels(feat.select_rows(df, LOAN_ML), LOAN_ML)
+           models="all", seed: int = 42, fit_on: str = "train", by: Column | None = None,
+           save_to: str | None = None):
+    """Build features and labels (staged once for all models), split 70/15/15 by a hash of
+    the row (or a uniform column ``by``), fit imputation and scaling on the training split (``fit_on="all"``:
+    on all rows, before the split), train and evaluate the models.
+
+    ``tasks`` and ``models`` are a name, several, or "all" models. With ``save_to`` every model and its importance
+    table (CSV) are saved below that folder. Returns (metrics table, {task/model: importance table},
+    {task/model: fitted model}). A table without rows raises.
+    """
+    if fit_on not in ("train", "all"):
+        raise ValueError("fit_on must be 'train' or 'all'")
+    rows = ml_table(cleaned)
     numeric, ind = feat.feature_columns(rows, LOAN_ML)
-    keys = numeric + ind + ["loan_status"]
-    train, val, test = split_rows(rows, [0.7, 0.15, 0.15], keys=keys, seed=seed)
-    prep = feat.fit_preparation(train, LOAN_ML)
+    rows = rows.select(*numeric, *ind, feat.LABEL_CLASS, feat.LABEL_REG,
+                       *([by.alias("__u")] if by is not None else [unit_hash(numeric + ind + ["loan_status"], seed).alias("__u")]))
+    rows = stage_table(rows, "ml_rows")
+    if not rows.take(1):
+        raise ValueError("no finished loans with a target to train on")
+    train, val, test = split_rows(rows, [0.7, 0.15, 0.15], by=F.col("__u"))
+    prep = feat.fit_preparation(train if fit_on == "train" else rows, LOAN_ML)
     splits = {"train": prep.transform(train), "validation": prep.transform(val),
               "test": prep.transform(test)}
     metrics, results = suite.train_suite(spark, splits, tasks, models, seed)
-    importance = {f"{r.task}/{r.name}": suite.feature_importance(spark, r.model, prep.feature_names)
-                  for r in results}
-    return metrics, importance
+    names = {f"{r.task}/{r.name}": r.model for r in results}
+    importance = {n: suite.feature_importance(spark, m, prep.feature_names) for n, m in names.items()}
+    if save_to:
+        for n, m in names.items():
+            path = f"{save_to.rstrip('/')}/{n.replace(' ', '_').lower()}"
+            save_model(m, f"{path}/model")
+            write_table(importance[n], f"{path}/importance", fmt="csv")
+    return metrics, importance, names

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,15 +79,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can open a local path (tests only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df):
     """Compute ``df`` once and write it to the shared checkpoint folder
     (reliable ``checkpoint``, not a local one, so it survives executor loss).
@@ -106,17 +96,42 @@ def stage_table(df, name: str):
     return a reader of it: for inputs that an iterative job (imputer,
     scaler, tree fits) scans many times and that are costly to recompute,
     such as a join. Columnar, so later passes read only the columns they use.
+
+    The files stay as long as the application runs, since lazy results may still read
+    them, and are removed when it ends (``remove_staged`` removes them earlier).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _remove_at_end(spark, path)
     return spark.read.parquet(path)
 
 
+def _folder(spark, path: str):
+    """The Hadoop path and its file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _remove_at_end(spark, path: str) -> None:
+    """Have the file system remove ``path`` when the driver ends."""
+    p, fs = _folder(spark, path)
+    fs.deleteOnExit(p)
+
+
+def remove_staged(spark, path: str) -> bool:
+    """Remove a staged folder whose readers are done. Only paths under the checkpoint folder are removed."""
+    if not path.startswith(checkpoint_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path!r} is not under the checkpoint folder")
+    p, fs = _folder(spark, path)
+    return bool(fs.delete(p, True))
+
+
 def sizing_conf(input_bytes: int, total_cores: int,
                 split_bytes: int = 256 * 1024 * 1024,
                 shuffle_bytes_per_partition: int = 512 * 1024 * 1024,
-                max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+                max_shuffle_partitions: int | None = None) -> dict[str, str]:
     """Partition settings sized to the input, for ``build_session(conf=...)``.
 
     * scan splits of ``split_bytes`` (one task reads at most that much);
@@ -126,12 +141,13 @@ def sizing_conf(input_bytes: int, total_cores: int,
     * skew handling: a partition 5x the median and above 1 GB is split.
 
     For 100 TB on 1000 executors x 8 cores this gives 256 MB splits and
-    100,000 initial shuffle partitions, coalesced at run time.
+    186,265 initial shuffle partitions of at most 512 MB, coalesced at run time.
+    ``max_shuffle_partitions`` (off by default) trades larger partitions for fewer shuffle blocks.
     """
     shuffle = max(3 * total_cores, -(-input_bytes // shuffle_bytes_per_partition))
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
-        "spark.sql.shuffle.partitions": str(min(shuffle, max_shuffle_partitions)),
+        "spark.sql.shuffle.partitions": str(min(shuffle, max_shuffle_partitions or shuffle)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),

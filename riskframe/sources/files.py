@@ -17,8 +17,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.joins import row_count_at_most
-
 CSV_DEFAULTS: dict[str, str] = {
     "header": "true",
     "multiLine": "true",     # quoted fields may hold newlines
@@ -96,26 +94,24 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writer.save(path)
 
 
-def write_single_csv(df: DataFrame, path: str, max_rows: int = 5_000_000, header: bool = True,
-                     mode: str = "overwrite") -> None:
-    """Write a small result as a directory holding exactly one CSV part file.
+def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
+    """Write a result as a directory holding exactly one CSV part file.
 
-    One file means one writing task, so the row count is checked first and a
-    larger table raises instead of funnelling through a single task.
-    ``repartition(1)`` (rather than ``coalesce(1)``) keeps the work before it
-    parallel.
+    One file is what the caller asks for, and means one writing task: use ``write_table`` for
+    results that no single file should hold. ``repartition(1)`` (rather than ``coalesce(1)``)
+    keeps the work before it parallel; the input is computed once.
     """
-    if not row_count_at_most(df, max_rows):
-        raise ValueError(f"more than {max_rows} rows: write a partitioned table instead")
     (df.repartition(1).write.mode(mode).option("header", str(header).lower())
      .option("escape", '"').csv(path))
 
 
 def ingest_raw(spark: SparkSession, paths: str | Sequence[str], out_path: str,
                casts: Mapping[str, str] | None = None, partitions: int | None = None,
-               partition_by: Sequence[str] | None = None, **read_kw) -> DataFrame:
-    """Read raw CSV once, cast the listed columns, write Parquet, and return a
-    reader of the Parquet table.
+               partition_by: Sequence[str] | None = None, strip_chars: str | None = None,
+               nan_as_null: bool = False, **read_kw) -> DataFrame:
+    """Read raw CSV once, cast the listed columns in the same pass, write Parquet, and return a
+    reader of the Parquet table. ``strip_chars`` and ``nan_as_null`` as in ``safe_cast``;
+    ``multiline=False`` (no field holds a line break) reads splits of a file in parallel.
 
     A multi-line CSV file is read by one task, so the rows are spread over
     ``partitions`` tasks (a round-robin shuffle) before casting and writing.
@@ -127,6 +123,7 @@ def ingest_raw(spark: SparkSession, paths: str | Sequence[str], out_path: str,
     if partitions:
         df = df.repartition(partitions)
     if casts:
-        df = safe_cast(df, casts)
+        df = safe_cast(df, {c: t for c, t in casts.items() if c in df.columns}, strip_chars=strip_chars,
+                       nan_as_null=nan_as_null)
     write_table(df, out_path, partition_by=partition_by)
     return spark.read.parquet(out_path)

@@ -40,8 +40,7 @@ def test_questions_from_csv(spark, csv_path):
 
 def test_relabel_by_position(spark, csv_path):
     raw = loans.read_loans(spark, csv_path, relabel=True)
-    stats = {r["column"]: r for r in loans.numeric_stats(raw.withColumns(
-        {c: F.col(c).try_cast("double") for c in loans.STATS_COLUMNS})).collect()}
+    stats = {r["column"]: r for r in loans.numeric_stats(raw).collect()}      # text as read
     assert set(stats) == set(loans.STATS_COLUMNS)
     assert stats["loan_amnt"]["count"] == 150
 
@@ -66,7 +65,9 @@ def test_cleaning_then_ml(spark, csv_path):
 
 def test_session_helpers(spark):
     conf = sizing_conf(100 * 10**12, 8000)
-    assert conf["spark.sql.shuffle.partitions"] == "100000"
+    n = int(conf["spark.sql.shuffle.partitions"])
+    assert 100 * 10**12 / n <= 512 * 1024 * 1024
+    assert sizing_conf(100 * 10**12, 8000, max_shuffle_partitions=1000)["spark.sql.shuffle.partitions"] == "1000"
     df = spark.range(100)
     assert materialize(df).count() == 100
     assert stage_table(df, "t").count() == 100
@@ -79,8 +80,15 @@ def test_three_jobs(spark, csv_path):
     assert facts.one_hot_categories
     answers = loans.questions_job(spark, csv_path, ["q01", "q07"])
     assert set(answers) == {"q01", "q07"}
-    metrics, importance = loans.ml_job(spark, spark.read.parquet(out),
-                                       tasks=("classification",), models=["lr"])
+    for df in answers.values():                 # the text was read once, at ingest
+        assert "csv" not in df._jdf.queryExecution().toString().lower()
+    metrics, importance, models = loans.ml_job(spark, spark.read.parquet(out), tasks="classification", models="lr",
+                                               fit_on="all", save_to=scratch_path(spark, "models"))
+    assert list(models) == list(importance)
+    with pytest.raises(ValueError, match="unknown model"):
+        loans.ml_job(spark, spark.read.parquet(out), models="nope")
+    with pytest.raises(ValueError, match="no finished loans"):
+        loans.ml_job(spark, spark.read.parquet(out).limit(0))
     got = {(r["split"], r["metric"]) for r in metrics.collect()}
     assert ("test", "accuracy") in got and len(got) == 12
     assert list(importance) == ["classification/Logistic Regression"]

@@ -7,6 +7,7 @@ import io
 import pytest
 
 import __spark_entry__ as entry
+from riskframe.plans import bindings
 from tests.conftest import SF001
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
@@ -29,9 +30,7 @@ def test_ntile_has_no_single_partition(spark, name):
     assert "Window" not in p
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - {
-    "ml_cls_lr", "ml_cls_rf", "ml_cls_gbt", "ml_reg_lr", "ml_reg_rf", "ml_reg_gbt", "ml_suite",
-    "ml_feature_importance", "ml_model_roundtrip"}))
+@pytest.mark.parametrize("name", sorted(n for n in bindings.REGISTRY if not n.startswith("ml_") and n != "loan_ml_job"))
 def test_no_python_udf(spark, name):
     p = plan(entry.queries()[name](spark, SF001))
     assert not any(n in p for n in PYTHON_NODES)
