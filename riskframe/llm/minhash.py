@@ -7,9 +7,9 @@ suffice. Two sets agree on a coordinate with their Jaccard similarity as probabi
 
 Bands of r coordinates are hashed; documents that share a band are candidates.
 Equal sets are one class first, so exact copies are never compared. Within a bucket
-every class is checked against one representative, then against a second one; classes of a bucket
-that are still in different components are then compared one by one, so no link is
-lost to the shortcut and a group of mutual near copies costs linear work.
+every class is checked against one representative. Buckets whose classes are then still in different
+components are tested as a whole, in blocks that one task holds: every pair across components is counted, but only
+links leave the task. So no link is lost to the shortcut, and no group emits its pairs.
 
 A document's set: its distinct 5-word shingles of A-Z-lower-cased words; with fewer words the whole
 sequence as one; without words, empty and linked with nothing. Links need 100 * |intersection| >=
@@ -36,6 +36,7 @@ SHINGLE, PERCENT = 5, 85
 #: 26 bands of 5 rows: a pair of similarity 0.85 shares no band with probability 2e-7.
 BANDS, ROWS = 26, 5
 _FILTER_BITS = 25                      # 2^25 bits (4 MB): which documents are candidates
+_BLOCK_SHINGLES = 400_000              # of a bucket's block, about (8 bytes each)
 _NO_ID = (1 << 63) - 1
 
 _U = np.uint64
@@ -172,6 +173,57 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+def _links_in(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that join different components among the documents of a unit: every pair across components
+    is counted, and a pair is handed on only if nothing handed on before joins the two."""
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, place, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(place, kind="stable")
+    posting, first = owner[order], np.cumsum(df) - df
+    starts = np.cumsum(sizes) - sizes
+    _, label = np.unique(roots, return_inverse=True)
+    label = label.copy()
+    most = np.bincount(label).argmax()               # pairs inside the largest component need no test
+    links = []
+    for x in np.flatnonzero(label != most).tolist():
+        mine = place[starts[x]:starts[x] + sizes[x]]
+        mine = mine[df[mine] > 1]
+        lengths = df[mine]
+        at = np.repeat(first[mine] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        common = np.bincount(posting[at], minlength=len(sets))
+        linked = 100 * common >= percent * (sizes + sizes[x] - common)
+        while (new := np.flatnonzero(linked & (label != label[x]))).size:
+            links.append((int(ids[x]), int(ids[new[0]])))
+            label[label == label[new[0]]] = label[x]
+    return links
+
+
+def _open_links(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between documents of one bucket that are still in different components (columns key, id, n, root).
+
+    Buckets of the same members are one. A bucket is cut into blocks of about ``_BLOCK_SHINGLES``, and each
+    pair of blocks is a unit that one task tests in memory; only links leave it, never candidate pairs.
+    """
+    sign = F.sum(F.xxhash64("id").cast("decimal(38,0)"))
+    split = held.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("c"),
+                                    F.sum("n").alias("total"), sign.alias("sign"), F.min("id").alias("least"))
+    # two members have been compared already
+    split = split.where("r0 < r1 and c > 2").groupBy("sign", "c", "least").agg(F.min(F.struct("key", "total")).alias("k"))
+    split = split.select("k.key", F.expr(f"int(k.total div {_BLOCK_SHINGLES} + 1)").alias("blocks"))
+    rows = held.join(split, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    units = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("block", "other").alias("u0"), F.greatest("block", "other").alias("u1"), "id", "root")
+    full = units.join(sets, "id").select("key", "u0", "u1", "id", "root", "set")
+
+    def run(table: pa.Table) -> pa.Table:
+        found = _links_in(table.column("id").to_numpy(), table.column("root").to_numpy(),
+                          [np.frombuffer(x.as_buffer(), _U) for x in table.column("set")], percent)
+        return pa.Table.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return full.groupBy("key", "u0", "u1").applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, and copies (documents of the same set)."""
@@ -186,26 +238,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, b
     ids = members.select("id").distinct()
     sets = stage_table(_full_sets(docs, ids, k).join(ids, "id"), "shingle-sets")
 
-    long_enough = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     links = materialize(verified(
         members.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), sets, percent))
-    for last in (False, True):
-        roots = components(links)
-        held = members.join(roots, "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
-        split = held.groupBy("key").agg(
-            F.min("root").alias("r0"), F.max("root").alias("r1"),
-            F.max(F.struct(F.xxhash64("id"), "id", "root", "n")).alias("other")).where("r0 < r1")
-        if last:
-            open_ = materialize(held.join(split.select("key"), "key"))
-            a = open_.withColumnsRenamed({"id": "a", "n": "na", "root": "ra"})
-            b = open_.withColumnsRenamed({"id": "b", "n": "nb", "root": "rb"})
-            pairs = a.join(b, "key").where((F.col("ra") < F.col("rb")) & long_enough)
-        else:
-            pairs = held.join(split.select("key", "other"), "key").where("root != other.root").select(
-                F.col("id").alias("a"), F.col("n").alias("na"), F.col("other.id").alias("b"), F.col("other.n").alias("nb")
-            ).where(long_enough)
-        more = materialize(verified(pairs.select("a", "b").distinct(), sets, percent))
-        links = links.union(more)
+    roots = components(links)
+    held = members.join(roots, "id", "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
+    links = links.union(materialize(_open_links(held, sets, percent)))
     roots = components(links)
     named = classes.join(roots, "id", "left").select(
         "s1", "s2", "copies", F.nullif(F.coalesce("root", "id"), F.lit(_NO_ID)).alias("root"))
