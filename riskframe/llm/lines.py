@@ -9,7 +9,7 @@ cover all lines; the most frequent words are a table of bounded size, and any wo
 all of them and ordered by hash, which is one total order for all lines). Two sets that
 reach the threshold share one of their first n - ceil(percent * n) + 1 words.
 Rows of one word are sorted by size, so the length filter is a window; the positional filter
-and a 64-bit word bitmap bound the overlap from above. What is left is verified on the full sets.
+and 64 parity bits of the words bound the overlap from above. What is left is verified on the full sets.
 
 A line only needs one earlier match. Round one hands on the nearest few candidates
 per line and word; the lines that had more, and are not removed by then, hand on all of theirs in
@@ -31,49 +31,62 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .textarrow import ascii_lower, mix64, raw, seeded, signed, slices, word_bounds, word_hashes
+from ..session import materialize, stage_table
+from .textarrow import ascii_lower, mix64, raw, seeded, signed, slices, sorted_in_groups, word_bounds, word_hashes
 
 PERCENT = 80
 #: The most frequent words whose counts every task gets (16 bytes each).
 FREQUENT_WORDS = 1 << 18
-_NEAREST = 4
+_NEAREST = 8
 _PLACE_BITS = 27                       # bitmap over (document, line): 16 MB at most
 _LAST_ID = (1 << 63) - 1
 _U = np.uint64
 
 
 class LineSets:
-    """The distinct words of the lines of a few documents, as flat arrays sorted by (line, word hash)."""
+    """The distinct words of the lines of a few documents, as flat arrays sorted by (line, word hash).
 
-    def __init__(self, ids: pa.Array, texts: pa.Array):
+    ``wanted``: a bitmap of places; only lines in it are read on.
+    """
+
+    def __init__(self, ids: pa.Array, texts: pa.Array, wanted: np.ndarray | None = None):
         data, offsets = raw(texts)
-        data = ascii_lower(data)
         present = pc.is_valid(texts).to_numpy(zero_copy_only=False)
         newlines = np.flatnonzero(data == 10)
-        line_starts = np.concatenate([offsets[:-1][present], newlines + 1])
+        starts = np.concatenate([offsets[:-1][present], newlines + 1])
         # a document may start where another's trailing line does: order by document, then place
         doc = np.concatenate([np.flatnonzero(present), np.searchsorted(offsets, newlines, "right") - 1])
-        order = np.lexsort((line_starts, doc))
-        self.doc, self.starts = doc[order], line_starts[order]
-        self.per_doc = np.bincount(self.doc, minlength=len(offsets) - 1)
+        order = np.lexsort((starts, doc))
+        doc, bounds = doc[order], np.concatenate([starts[order], [len(data)]])
+        self.per_doc = np.bincount(doc, minlength=len(offsets) - 1)
         first = np.cumsum(self.per_doc) - self.per_doc
-        self.number = np.arange(len(self.doc)) - first[self.doc]
-        self.id = pc.fill_null(ids, _LAST_ID).to_numpy(zero_copy_only=False)[self.doc] if len(self.doc) else np.zeros(0, np.int64)
-        starts, ends, _ = word_bounds(data, offsets)
-        words = word_hashes(data, starts, ends)
-        line = np.searchsorted(self.starts, starts, "right") - 1
-        order = np.lexsort((words, line))
+        self.number = np.arange(len(doc)) - first[doc]
+        self.id = pc.fill_null(ids, _LAST_ID).to_numpy(zero_copy_only=False)[doc] if len(doc) else np.zeros(0, np.int64)
+        with np.errstate(over="ignore"):
+            self.place = (mix64(mix64(self.id.astype(_U)) + self.number.astype(_U)) >> _U(64 - _PLACE_BITS)).astype(np.int64)
+        if wanted is not None:
+            chosen = _in(wanted, self.place)
+            lengths = np.diff(bounds)
+            data = data[np.repeat(chosen, lengths)]
+            bounds = np.concatenate([[0], np.cumsum(lengths[chosen])])
+            self.number, self.id, self.place = self.number[chosen], self.id[chosen], self.place[chosen]
+        data = ascii_lower(data)
+        begin, end, of_line = word_bounds(data, bounds)
+        words = word_hashes(data, begin, end)
+        line = np.repeat(np.arange(len(bounds) - 1), np.diff(of_line))
+        order = sorted_in_groups(words, line)
         words, line = words[order], line[order]
         new = np.ones(len(words), bool)
         new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
         self.words, self.line = words[new], line[new]
-        self.sizes = np.bincount(self.line, minlength=len(self.doc))
+        self.sizes = np.bincount(self.line, minlength=len(bounds) - 1)
         self.ends = np.cumsum(self.sizes)
-        sums = [np.concatenate([[_U(0)], np.cumsum(mix64(self.words ^ s), dtype=_U)]) for s in seeded(2, 53)]
+
+    def signature(self, seed: int) -> np.ndarray:
+        """A 64-bit sum over each line's words."""
         with np.errstate(over="ignore"):
-            self.s1, self.s2 = [c[self.ends] - c[self.ends - self.sizes] for c in sums]
-            self.place = (mix64(mix64(self.id.astype(_U)) + self.number.astype(_U)) >> _U(64 - _PLACE_BITS)).astype(np.int64)
+            c = np.concatenate([[_U(0)], np.cumsum(mix64(self.words ^ seeded(2, 53)[seed]), dtype=_U)])
+            return c[self.ends] - c[self.ends - self.sizes]
 
     def keep(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words and (renumbered) lines of the chosen lines."""
@@ -82,55 +95,56 @@ class LineSets:
         return self.words[take], renumber[self.line[take]]
 
 
-def _over(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, LineSets]]:
+def _over(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None = None) -> Iterator[tuple[pa.RecordBatch, LineSets]]:
     for batch in batches:
         for part in slices(batch, "text"):
-            yield part, LineSets(part.column("doc_id"), part.column("text"))
+            yield part, LineSets(part.column("doc_id"), part.column("text"), wanted)
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """(id, line, n, s1, s2, place): every line that has words, and a row with line -1 and n = number of lines per document."""
-    def run(batches):
-        for part, x in _over(batches):
-            some = x.sizes > 0
-            ids = pc.fill_null(part.column("doc_id"), _LAST_ID).to_numpy(zero_copy_only=False)
-            zeros = np.zeros(len(ids), np.int64)
-            both = lambda a, b: pa.array(np.concatenate([a, b]))
-            yield pa.RecordBatch.from_arrays(
-                [both(ids, x.id[some]), both(zeros - 1, x.number[some]), both(x.per_doc.astype(np.int64), x.sizes[some]),
-                 both(zeros, x.s1[some].view(np.int64)), both(zeros, x.s2[some].view(np.int64)), both(zeros, x.place[some])],
-                names=["id", "line", "n", "s1", "s2", "place"])
+_DOCUMENT, _LINE, _WORD = 0, 1, 2
+
 
-    return docs.mapInArrow(run, "id long, line long, n long, s1 long, s2 long, place long")
+def survey(docs: DataFrame) -> DataFrame:
+    """One pass over the texts, staged: a row per document (kind 0: id, n = lines), per line with words (kind 1: id, line, n = words,
+    s1, s2, place) and, added up per task, per word (kind 2: s1 = word, n = lines that hold it)."""
+    names = ["kind", "id", "line", "n", "s1", "s2", "place"]
 
+    def rows(kind: int, many: int, **columns) -> pa.RecordBatch:
+        zero = pa.array(np.zeros(many, np.int64))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(many, kind, np.int32)), *[pa.array(columns[c]) if c in columns else zero for c in names[1:]]],
+            names=names)
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n): lines that hold each word, over all lines; added up per task first."""
     def merged(parts):
         words, where = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
         return words, np.bincount(where, np.concatenate([c for _, c in parts])).astype(np.int64)
 
     def run(batches):
         parts, held = [], 0
-        for _, x in _over(batches):
+        for part, x in _over(batches):
+            some = x.sizes > 0
+            ids = pc.fill_null(part.column("doc_id"), _LAST_ID).to_numpy(zero_copy_only=False)
+            yield rows(_DOCUMENT, len(ids), id=ids, n=x.per_doc.astype(np.int64))
+            yield rows(_LINE, int(some.sum()), id=x.id[some], line=x.number[some], n=x.sizes[some],
+                       s1=x.signature(0)[some].view(np.int64), s2=x.signature(1)[some].view(np.int64), place=x.place[some])
             parts.append(np.unique(x.words, return_counts=True))
             held += len(parts[-1][0])
             if held > 2_000_000:
                 parts = [merged(parts)]
                 held = len(parts[0][0])
                 if held > 1_000_000:
-                    yield pa.RecordBatch.from_arrays([signed(parts[0][0]), pa.array(parts[0][1])], names=["word", "n"])
+                    yield rows(_WORD, held, s1=parts[0][0].view(np.int64), n=parts[0][1])
                     parts, held = [], 0
         if parts:
             words, counts = merged(parts)
-            yield pa.RecordBatch.from_arrays([signed(words), pa.array(counts)], names=["word", "n"])
+            yield rows(_WORD, len(words), s1=words.view(np.int64), n=counts)
 
-    return docs.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return stage_table(docs.mapInArrow(run, "kind int, id long, line long, n long, s1 long, s2 long, place long"),
+                       "line-survey", partition_by=["kind"])
 
 
-def frequent_words(docs: DataFrame, most: int = FREQUENT_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of at most ``most`` words: all those above a count that is set by a histogram."""
-    counts = materialize(word_counts(docs))
+def frequent_words(counts: DataFrame, most: int = FREQUENT_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) and counts of at most ``most`` words of ``counts`` (word, n): all those above a count that is set by a histogram."""
     level = F.floor(F.log2("n") * 8)
     total, floor = 0, 1 << 30
     for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
@@ -159,60 +173,69 @@ def _in(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bitmap[numbers >> 3] >> (numbers & 7).astype(np.uint8)) & 1 == 1
 
 
-def prefix_rows(docs: DataFrame, firsts, table, percent: int) -> DataFrame:
-    """(word, n, at, s1, bits, id): the prefix words of every class's first line.
+def prefix_rows(docs: DataFrame, firsts, table, shared, percent: int) -> DataFrame:
+    """(word, n, at, s1, parity): the prefix words of every class's first line.
 
-    ``firsts`` is a bitmap of their places. A copy that passes by chance is dropped by its ``s1`` later.
-    Sets of three words or fewer reach 80 % with equal sets only, and so have no rows.
+    ``firsts`` is a bitmap of their places. A copy that passes by chance is dropped by its ``s1`` later. ``shared`` is a bitmap
+    of the words that more than one line holds; the others join nothing. ``word`` is half of the word's hash: a chance agreement
+    only makes one more candidate. ``parity`` has a bit per hash class of words, set if the line has an odd number of them.
     """
     def run(batches):
-        bitmap, (frequent, counts) = firsts.value, table.value
-        for _, x in _over(batches):
+        frequent, counts = table.value
+        for _, x in _over(batches, firsts.value):
+            s1 = x.signature(0)
             # a set of n words meets no other if even n of n + 1 words is too little
-            chosen = (x.sizes * 100 >= percent * (x.sizes + 1)) & _in(bitmap, x.place)
-            index = np.flatnonzero(chosen)
-            _, once = np.unique(x.s1[index], return_index=True)
-            chosen = np.zeros(len(chosen), bool)
+            index = np.flatnonzero(x.sizes * 100 >= percent * (x.sizes + 1))
+            index = index[x.sizes[index] > 0]
+            _, once = np.unique(s1[index], return_index=True)
+            chosen = np.zeros(len(s1), bool)
             chosen[index[once]] = True
             if not chosen.any():
                 continue
             words, line = x.keep(chosen)
-            n = x.sizes[chosen]
+            n, s1 = x.sizes[chosen], s1[chosen]
             starts = np.cumsum(n) - n
-            bits = np.bitwise_or.reduceat(_U(1) << (words >> _U(58)), starts)
+            parity = np.bitwise_xor.reduceat(_U(1) << (words & _U(63)), starts)
             if len(frequent):
                 near = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
                 count = np.where(frequent[near] == words, counts[near], 0)
             else:
                 count = np.zeros(len(words), np.int64)
-            order = np.lexsort((count, line))             # stable: ties stay in hash order
+            # by rarity, ties in hash order: words are sorted by hash within a line, and both sorts are stable
+            order = np.argsort(count, kind="stable")
+            order = order[np.argsort(line[order].astype(np.uint16) if len(n) < 1 << 16 else line[order], kind="stable")]
             words = words[order]
             at = np.arange(len(words)) - starts[line]
             take = at < (n - (percent * n + 99) // 100 + 1)[line]
+            take[take] = _in(shared.value, (words[take] >> _U(64 - _PLACE_BITS)).astype(np.int64))
             line = line[take]
             yield pa.RecordBatch.from_arrays(
-                [signed(words[take]), pa.array(n[line].astype(np.int32)), pa.array(at[take].astype(np.int32)),
-                 signed(x.s1[chosen][line]), signed(bits[line]), pa.array(x.id[chosen][line])],
-                names=["word", "n", "at", "s1", "bits", "id"])
+                [pa.array((words[take] >> _U(32)).astype(np.uint32).view(np.int32)), pa.array(n[line].astype(np.int32)),
+                 pa.array(at[take].astype(np.int32)), signed(s1[line]), signed(parity[line])],
+                names=["word", "n", "at", "s1", "parity"])
 
-    return docs.mapInArrow(run, "word long, n int, at int, s1 long, bits long, id long")
+    return docs.mapInArrow(run, "word int, n int, at int, s1 long, parity long")
 
 
 def _nearest(pairs: list[tuple], most: int) -> tuple:
-    """The ``most`` nearest earlier lines per (word row, later line), and which later lines had more."""
+    """Of the candidate pairs those among the ``most`` nearest of either line, and the lines that had more."""
     x, y, gap = (np.concatenate(c) for c in zip(*pairs))
-    order = np.lexsort((gap, y))
-    x, y, gap = x[order], y[order], gap[order]
-    starts = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]])) if len(y) else np.zeros(0, np.int64)
-    rank = np.arange(len(y)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(y)]])))
-    return x[rank < most], y[rank < most], gap[rank < most], np.unique(y[rank == most])
-
-
-def _pairs_in(word, n, at, s1, bits, ids, new_from: int, percent: int, most: int | None, wanted):
+    keep, more = np.zeros(len(x), bool), []
+    for side in (x, y):
+        order = np.lexsort((gap, side))
+        owner = side[order]
+        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        rank = np.arange(len(owner)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(owner)]])))
+        keep[order[rank < most]] = True
+        more.append(owner[rank == most])
+    return x[keep], y[keep], gap[keep], np.unique(np.concatenate(more))
+
+
+def _pairs_in(word, n, at, s1, parity, new_from: int, percent: int, most: int | None, wanted):
     """Candidate pairs among rows sorted by (word, n); only pairs whose later row is at ``new_from`` or beyond.
 
     Compares each row with the one ``lag`` before it, for growing lags, while words
-    agree and the length filter holds. Returns (earlier, later, later lines that had more).
+    agree and the length filter holds. Returns (row, row, rows that had more).
     """
     here = np.arange(new_from, len(word))
     lag, found, held, more = 0, [], 0, []
@@ -226,20 +249,15 @@ def _pairs_in(word, n, at, s1, bits, ids, new_from: int, percent: int, most: int
             break
         both = n[a].astype(np.int64) + n[here]
         need = (percent * both + 99 + percent) // (100 + percent)
-        room = 1 + np.minimum(n[a] - at[a], n[here] - at[here]) - 1
-        gap = np.bitwise_count(bits[a] ^ bits[here]).astype(np.int64)
+        # words from the common one on; words that only one of the two has flip a parity bit each
+        room = np.minimum(n[a] - at[a], n[here] - at[here])
+        gap = np.bitwise_count(parity[a] ^ parity[here]).astype(np.int64)
         ok = (room >= need) & ((both - gap) // 2 >= need) & (s1[a] != s1[here])
-        p, q = a[ok], here[ok]
-        swap = (ids[p] > ids[q]) | ((ids[p] == ids[q]) & (s1[p] > s1[q]))
-        x, y = np.where(swap, q, p), np.where(swap, p, q)
         if wanted is not None:
-            go = wanted[y] | wanted[x]
-            x, y, gap = x[go], y[go], gap[ok][go]
-        else:
-            gap = gap[ok]
-        if len(x):
-            found.append((x, y, gap))
-            held += len(x)
+            ok &= wanted[a] | wanted[here]
+        if ok.any():
+            found.append((a[ok], here[ok], gap[ok]))
+            held += int(ok.sum())
         if most is not None and held > 4_000_000:
             *kept, rest = _nearest(found, most)
             found, held = [tuple(kept)], len(kept[0])
@@ -260,21 +278,21 @@ def candidates(rows: DataFrame, percent: int, most: int | None, wanted=None) ->
     def run(batches):
         held = None
         for batch in batches:
-            fresh = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "n", "at", "s1", "bits", "id")]
+            fresh = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "n", "at", "s1", "parity")]
             old = 0
             if held is not None:
                 old = len(held[0])
                 fresh = [np.concatenate([a, b]) for a, b in zip(held, fresh)]
-            word, n, at, s1, bits, ids = fresh
+            word, n, at, s1, parity = fresh
             if not len(word):
                 continue
             flags = None
             if wanted is not None:
                 flags = _in(wanted.value, (mix64(s1) >> _U(64 - _PLACE_BITS)).astype(np.int64))
-            x, y, more = _pairs_in(word, n, at, s1, bits.view(_U), ids, old, percent, most, flags)
+            x, y, more = _pairs_in(word, n, at, s1, parity.view(_U), old, percent, most, flags)
             if len(x) or len(more):
-                a, b = np.concatenate([s1[x], s1[more]]), np.concatenate([s1[y], s1[more]])
-                pair = np.unique(np.stack([a, b], axis=1), axis=0)
+                low, high = np.minimum(s1[x], s1[y]), np.maximum(s1[x], s1[y])
+                pair = np.unique(np.stack([np.concatenate([low, s1[more]]), np.concatenate([high, s1[more]])], axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
             # rows that a later one may still meet: this word, and long enough
             stay = (word == word[-1]) & (n.astype(np.int64) * 100 >= percent * int(n[-1]))
@@ -291,16 +309,16 @@ def _matching(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: in
     bitmap = spark.sparkContext.broadcast(bitmap_of(needed, "place", _PLACE_BITS))
 
     def sets(batches):
-        for _, x in _over(batches):
-            chosen = (x.sizes > 0) & _in(bitmap.value, x.place)
+        for _, x in _over(batches, bitmap.value):
+            chosen = x.sizes > 0
             if chosen.any():
                 body = x.words.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [signed(x.s1[chosen]), pa.array([body[(e - s) * 8:e * 8] for e, s in zip(
+                    [signed(x.signature(0)[chosen]), pa.array([body[(e - s) * 8:e * 8] for e, s in zip(
                         x.ends[chosen].tolist(), x.sizes[chosen].tolist())], pa.binary())], names=["s1", "words"])
 
-    held = docs.mapInArrow(sets, "s1 long, words binary").join(needed.select("s1"), "s1", "left_semi")
-    held = held.groupBy("s1").agg(F.first("words").alias("words"))
+    # copies may pass the bitmap by chance: one row per class
+    held = docs.mapInArrow(sets, "s1 long, words binary").join(needed.select("s1"), "s1", "left_semi").dropDuplicates(["s1"])
     both = (pairs.join(held.select(F.col("s1").alias("a"), F.col("words").alias("wa")), "a")
             .join(held.select(F.col("s1").alias("b"), F.col("words").alias("wb")), "b").select("a", "b", "wa", "wb"))
 
@@ -321,13 +339,17 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_lines, removed): per document its number of lines and the numbers (from 0) of those that go."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = materialize(line_table(docs))
+    seen = survey(docs)
+    lines = seen.where(F.col("kind") == _LINE).select("id", "line", "n", "s1", "s2", "place")
     place = F.struct("id", "line", "place")
-    classes = materialize(lines.where("line >= 0").groupBy("s1", "s2").agg(F.min(place).alias("first"))
+    classes = materialize(lines.groupBy("s1", "s2").agg(F.min(place).alias("first"))
                           .select("s1", "s2", "first.id", "first.line", "first.place"))
-    firsts = spark.sparkContext.broadcast(bitmap_of(classes, "place", _PLACE_BITS))
-    table = spark.sparkContext.broadcast(frequent_words(docs))
-    rows = prefix_rows(docs, firsts, table, percent)
+    counts = stage_table(seen.where(F.col("kind") == _WORD).groupBy(F.col("s1").alias("word")).agg(F.sum("n").alias("n"))
+                         .where("n > 1"), "line-words")
+    share = spark.sparkContext.broadcast
+    firsts = share(bitmap_of(classes, "place", _PLACE_BITS))
+    shared = share(bitmap_of(counts.select(F.shiftrightunsigned("word", 64 - _PLACE_BITS).alias("p")), "p", _PLACE_BITS))
+    rows = prefix_rows(docs, firsts, share(frequent_words(counts)), shared, percent)
     order = classes.select("s1", F.struct("id", "line").alias("o"))
 
     def later(matches: DataFrame) -> DataFrame:
@@ -356,9 +378,9 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         gone = gone.union(later(_matching(docs, materialize(rest), classes, percent))).distinct()
     near = classes.join(gone.withColumn("near", F.lit(True)), "s1", "left").select(
         "s1", "s2", F.col("id").alias("first_id"), F.col("line").alias("first_line"), "near")
-    marked = lines.where("line >= 0").join(near, ["s1", "s2"]).where(
+    marked = lines.join(near, ["s1", "s2"]).where(
         F.coalesce("near", F.lit(False)) | (F.struct("id", "line") > F.struct("first_id", "first_line")))
-    per = lines.where("line < 0").select("id", "n", F.lit(None).cast("long").alias("line")).union(
+    per = seen.where(F.col("kind") == _DOCUMENT).select("id", "n", F.lit(None).cast("long").alias("line")).union(
         marked.select("id", F.lit(None).cast("long").alias("n"), "line"))
     return per.groupBy("id").agg(F.max("n").alias("n_lines"), F.sort_array(F.collect_set("line")).alias("removed")).select(
         F.nullif("id", F.lit(_LAST_ID)).alias("doc_id"), "n_lines", "removed")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, stage_table
+from ..session import materialize
 from .lines import bitmap_of
 from .textarrow import gram_hashes, mix64, raw, signed, slices, word_bounds, word_hashes
 
@@ -170,7 +170,8 @@ def passages(docs: DataFrame, least: int = LEAST_WORDS, window: int = WINDOW) ->
         F.collect_set(F.struct("at", "other_at")).alias("anchors")))
     rows = materialize(pairs.select(F.explode(F.array("row", "other_row")).alias("row")).distinct())
     names = docs.select("row", "doc_id").join(rows, "row", "left_semi").groupBy("row").agg(F.min("doc_id").alias("doc_id"))
-    words = stage_table(_needed_words(docs.select("row", "text"), rows).dropDuplicates(["row"]), "suffix-words")
+    # both joins below read one exchange of these rows
+    words = _needed_words(docs.select("row", "text"), rows).dropDuplicates(["row"])
     both = (pairs.join(words.select("row", F.col("words").alias("x")), "row")
             .join(words.select(F.col("row").alias("other_row"), F.col("words").alias("y")), "other_row")
             .select("row", "other_row", "anchors", "x", "y"))
