@@ -91,7 +91,7 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def stage_table(df, name: str):
+def stage_table(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return a reader of it: for inputs that an iterative job (imputer,
     scaler, tree fits) scans many times and that are costly to recompute,
@@ -102,7 +102,7 @@ def stage_table(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
     _remove_at_end(spark, path)
     return spark.read.parquet(path)
 
