@@ -220,11 +220,14 @@ def fit_scorer(docs: DataFrame, labels: DataFrame) -> Scorer:
     return Scorer(None, models, calibrations, Logistic.fit(np.stack(logits, axis=1), y[aside]))
 
 
+ADDED = {"quality_text": "double", "quality_page": "double", "quality": "double", "kept": "boolean"}
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` with quality_text, quality_page, quality (combined) and kept (quality >= threshold); clashing columns are replaced."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(fit_scorer(docs, labels))
-    added = {"quality_text": "double", "quality_page": "double", "quality": "double", "kept": "boolean"}
+    added = ADDED
     keep = [c for c in docs.columns if c not in added]
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("source").cast("string").alias("__source"),
                       F.col("lang").cast("string").alias("__lang"))
@@ -246,8 +249,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that are not rejected, in ``docs``'s columns."""
     columns = docs.columns
-    marked = score_documents(docs, labels, threshold).where("kept")
-    return marked.select(*[F.col(f"`{c}`") for c in columns])
+    # columns named like the scores step aside meanwhile
+    aside = {c: f"__own_{c}" for c in columns if c in ADDED}
+    marked = score_documents(docs.withColumnsRenamed(aside), labels, threshold).where("kept")
+    return marked.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in columns])
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
