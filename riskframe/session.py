@@ -104,7 +104,8 @@ def stage_table(df, name: str, partition_by: list[str] | None = None):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
     _remove_at_end(spark, path)
-    return spark.read.parquet(path)
+    # an empty partitioned table leaves no file to read the schema from
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _folder(spark, path: str):
