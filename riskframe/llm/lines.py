@@ -37,12 +37,20 @@ from .textarrow import ascii_lower, mix64, raw, seeded, signed, slices, sorted_i
 PERCENT = 80
 #: The most frequent words whose counts every task gets (16 bytes each).
 FREQUENT_WORDS = 1 << 18
+#: The most copied lines whose first place every task gets (16 bytes each).
+COPIED_LINES = 1 << 16
 _NEAREST = 8
 _PLACE_BITS = 27                       # bitmap over (document, line): 16 MB at most
 _LAST_ID = (1 << 63) - 1
 _U = np.uint64
 
 
+def _place(ids: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The bit of a line (document id, line number) in a bitmap."""
+    with np.errstate(over="ignore"):
+        return (mix64(mix64(ids.astype(_U)) + number.astype(_U)) >> _U(64 - _PLACE_BITS)).astype(np.int64)
+
+
 class LineSets:
     """The distinct words of the lines of a few documents, as flat arrays sorted by (line, word hash).
 
@@ -62,8 +70,7 @@ class LineSets:
         first = np.cumsum(self.per_doc) - self.per_doc
         self.number = np.arange(len(doc)) - first[doc]
         self.id = pc.fill_null(ids, _LAST_ID).to_numpy(zero_copy_only=False)[doc] if len(doc) else np.zeros(0, np.int64)
-        with np.errstate(over="ignore"):
-            self.place = (mix64(mix64(self.id.astype(_U)) + self.number.astype(_U)) >> _U(64 - _PLACE_BITS)).astype(np.int64)
+        self.place = _place(self.id, self.number)
         if wanted is not None:
             chosen = _in(wanted, self.place)
             lengths = np.diff(bounds)
@@ -143,8 +150,8 @@ def survey(docs: DataFrame) -> DataFrame:
                        "line-survey", partition_by=["kind"])
 
 
-def frequent_words(counts: DataFrame, most: int = FREQUENT_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of at most ``most`` words of ``counts`` (word, n): all those above a count that is set by a histogram."""
+def most_frequent(counts: DataFrame, key: str, other: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """``key`` (sorted, as hashes) and ``other`` of at most ``most`` rows of ``counts``: all those above a count ``n`` that a histogram sets."""
     level = F.floor(F.log2("n") * 8)
     total, floor = 0, 1 << 30
     for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
@@ -152,10 +159,19 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT_WORDS) -> tuple[np.nd
         if total > most:
             break
         floor = r["level"]
-    rows = counts.where(level >= floor).toPandas()
-    words = rows["word"].to_numpy(np.int64).view(_U)
-    order = np.argsort(words)
-    return words[order], rows["n"].to_numpy(np.int64)[order]
+    rows = counts.where(level >= floor).select(key, other).toPandas()
+    keys = rows[key].to_numpy(np.int64).view(_U)
+    order = np.argsort(keys)
+    return keys[order], rows[other].to_numpy(np.int64)[order]
+
+
+def _look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, absent: int) -> np.ndarray:
+    """The table's values of ``keys``, or ``absent``."""
+    known, values = table
+    if not len(known):
+        return np.full(len(keys), absent)
+    near = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[near] == keys, values[near], absent)
 
 
 def bitmap_of(numbers: DataFrame, column: str, bits: int) -> np.ndarray:
@@ -173,69 +189,60 @@ def _in(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bitmap[numbers >> 3] >> (numbers & 7).astype(np.uint8)) & 1 == 1
 
 
-def prefix_rows(docs: DataFrame, firsts, table, shared, percent: int) -> DataFrame:
-    """(word, n, at, s1, parity): the prefix words of every class's first line.
+def prefix_rows(docs: DataFrame, firsts, copied, table, shared, percent: int, words_wanted=None) -> DataFrame:
+    """(word, n, at, id, line, parity): the prefix words of every class's first line.
 
-    ``firsts`` is a bitmap of their places. A copy that passes by chance is dropped by its ``s1`` later. ``shared`` is a bitmap
-    of the words that more than one line holds; the others join nothing. ``word`` is half of the word's hash: a chance agreement
-    only makes one more candidate. ``parity`` has a bit per hash class of words, set if the line has an odd number of them.
+    ``firsts`` is a bitmap of their places; the most copied classes are also in the table ``copied``, so their
+    copies never pass. Another copy that passes by chance only makes candidates. ``shared`` is a bitmap
+    of the words that more than one line holds; the others join nothing; ``words_wanted`` one of the halved hashes to keep. ``word`` is half of
+    the word's hash: a chance agreement only makes one more candidate. ``parity`` has a bit per hash class of
+    words, set if the line has an odd number of them.
     """
     def run(batches):
-        frequent, counts = table.value
         for _, x in _over(batches, firsts.value):
-            s1 = x.signature(0)
+            first = _look_up(copied.value, x.signature(0), -1)
             # a set of n words meets no other if even n of n + 1 words is too little
-            index = np.flatnonzero(x.sizes * 100 >= percent * (x.sizes + 1))
-            index = index[x.sizes[index] > 0]
-            _, once = np.unique(s1[index], return_index=True)
-            chosen = np.zeros(len(s1), bool)
-            chosen[index[once]] = True
+            chosen = (x.sizes * 100 >= percent * (x.sizes + 1)) & (x.sizes > 0) & ((first < 0) | (first == x.place))
             if not chosen.any():
                 continue
             words, line = x.keep(chosen)
-            n, s1 = x.sizes[chosen], s1[chosen]
+            n = x.sizes[chosen]
             starts = np.cumsum(n) - n
             parity = np.bitwise_xor.reduceat(_U(1) << (words & _U(63)), starts)
-            if len(frequent):
-                near = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
-                count = np.where(frequent[near] == words, counts[near], 0)
-            else:
-                count = np.zeros(len(words), np.int64)
             # by rarity, ties in hash order: words are sorted by hash within a line, and both sorts are stable
-            order = np.argsort(count, kind="stable")
+            order = np.argsort(_look_up(table.value, words, 0), kind="stable")
             order = order[np.argsort(line[order].astype(np.uint16) if len(n) < 1 << 16 else line[order], kind="stable")]
             words = words[order]
             at = np.arange(len(words)) - starts[line]
             take = at < (n - (percent * n + 99) // 100 + 1)[line]
             take[take] = _in(shared.value, (words[take] >> _U(64 - _PLACE_BITS)).astype(np.int64))
+            if words_wanted is not None:
+                take[take] = _in(words_wanted.value, (words[take] >> _U(64 - _PLACE_BITS)).astype(np.int64))
             line = line[take]
             yield pa.RecordBatch.from_arrays(
                 [pa.array((words[take] >> _U(32)).astype(np.uint32).view(np.int32)), pa.array(n[line].astype(np.int32)),
-                 pa.array(at[take].astype(np.int32)), signed(s1[line]), signed(parity[line])],
-                names=["word", "n", "at", "s1", "parity"])
+                 pa.array(at[take].astype(np.int32)), pa.array(x.id[chosen][line]),
+                 pa.array(x.number[chosen][line].astype(np.int32)), signed(parity[line])],
+                names=["word", "n", "at", "id", "line", "parity"])
 
-    return docs.mapInArrow(run, "word int, n int, at int, s1 long, parity long")
+    return docs.mapInArrow(run, "word int, n int, at int, id long, line int, parity long")
 
 
 def _nearest(pairs: list[tuple], most: int) -> tuple:
-    """Of the candidate pairs those among the ``most`` nearest of either line, and the lines that had more."""
+    """Of the (earlier, later) candidate pairs the ``most`` nearest of each later line, and the later lines that had more."""
     x, y, gap = (np.concatenate(c) for c in zip(*pairs))
-    keep, more = np.zeros(len(x), bool), []
-    for side in (x, y):
-        order = np.lexsort((gap, side))
-        owner = side[order]
-        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        rank = np.arange(len(owner)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(owner)]])))
-        keep[order[rank < most]] = True
-        more.append(owner[rank == most])
-    return x[keep], y[keep], gap[keep], np.unique(np.concatenate(more))
+    order = np.lexsort((gap, y))
+    x, y, gap = x[order], y[order], gap[order]
+    starts = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]]))
+    rank = np.arange(len(y)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(y)]])))
+    return x[rank < most], y[rank < most], gap[rank < most], y[rank == most]
 
 
-def _pairs_in(word, n, at, s1, parity, new_from: int, percent: int, most: int | None, wanted):
-    """Candidate pairs among rows sorted by (word, n); only pairs whose later row is at ``new_from`` or beyond.
+def _pairs_in(word, n, at, ids, line, parity, new_from: int, percent: int, most: int | None, wanted):
+    """Candidate pairs (earlier, later in the corpus) among rows sorted by (word, n), for the rows from ``new_from`` on.
 
     Compares each row with the one ``lag`` before it, for growing lags, while words
-    agree and the length filter holds. Returns (row, row, rows that had more).
+    agree and the length filter holds. Returns (earlier, later, later lines that had more).
     """
     here = np.arange(new_from, len(word))
     lag, found, held, more = 0, [], 0, []
@@ -252,12 +259,16 @@ def _pairs_in(word, n, at, s1, parity, new_from: int, percent: int, most: int |
         # words from the common one on; words that only one of the two has flip a parity bit each
         room = np.minimum(n[a] - at[a], n[here] - at[here])
         gap = np.bitwise_count(parity[a] ^ parity[here]).astype(np.int64)
-        ok = (room >= need) & ((both - gap) // 2 >= need) & (s1[a] != s1[here])
+        ok = (room >= need) & ((both - gap) // 2 >= need)
+        p, q, gap = a[ok], here[ok], gap[ok]
+        swap = (ids[p] > ids[q]) | ((ids[p] == ids[q]) & (line[p] > line[q]))
+        x, y = np.where(swap, q, p), np.where(swap, p, q)
+        go = (ids[x] != ids[y]) | (line[x] != line[y])
         if wanted is not None:
-            ok &= wanted[a] | wanted[here]
-        if ok.any():
-            found.append((a[ok], here[ok], gap[ok]))
-            held += int(ok.sum())
+            go &= wanted[y]
+        if go.any():
+            found.append((x[go], y[go], gap[go]))
+            held += int(go.sum())
         if most is not None and held > 4_000_000:
             *kept, rest = _nearest(found, most)
             found, held = [tuple(kept)], len(kept[0])
@@ -271,41 +282,45 @@ def _pairs_in(word, n, at, s1, parity, new_from: int, percent: int, most: int |
     return x, y, np.unique(np.concatenate([rest, *more]))
 
 
+_PAIR = ["a_id", "a_line", "a_place", "b_id", "b_line", "b_place"]
+
+
 def candidates(rows: DataFrame, percent: int, most: int | None, wanted=None) -> DataFrame:
-    """(a, b) of classes that pass all filters; (b, b) marks a class that had more than ``most`` nearest."""
+    """Pairs of an earlier line a and a later line b (id, line, place each) that pass all filters. A row of b with itself marks
+    a line that had more than ``most`` candidates; ``wanted`` is a bitmap of the places of the only later lines asked for."""
     parts = rows.repartition("word").sortWithinPartitions("word", "n")
 
     def run(batches):
         held = None
         for batch in batches:
-            fresh = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "n", "at", "s1", "parity")]
+            fresh = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "n", "at", "id", "line", "parity")]
             old = 0
             if held is not None:
                 old = len(held[0])
                 fresh = [np.concatenate([a, b]) for a, b in zip(held, fresh)]
-            word, n, at, s1, parity = fresh
+            word, n, at, ids, line, parity = fresh
             if not len(word):
                 continue
-            flags = None
-            if wanted is not None:
-                flags = _in(wanted.value, (mix64(s1) >> _U(64 - _PLACE_BITS)).astype(np.int64))
-            x, y, more = _pairs_in(word, n, at, s1, parity.view(_U), old, percent, most, flags)
+            flags = _in(wanted.value, _place(ids, line)) if wanted is not None else None
+            x, y, more = _pairs_in(word, n, at, ids, line, parity.view(_U), old, percent, most, flags)
             if len(x) or len(more):
-                low, high = np.minimum(s1[x], s1[y]), np.maximum(s1[x], s1[y])
-                pair = np.unique(np.stack([np.concatenate([low, s1[more]]), np.concatenate([high, s1[more]])], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+                x, y = np.concatenate([x, more]), np.concatenate([y, more])
+                pair = np.unique(np.stack([ids[x], line[x], ids[y], line[y]], axis=1), axis=0)
+                sides = [(pair[:, i], pair[:, i + 1], _place(pair[:, i], pair[:, i + 1])) for i in (0, 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for side in sides for c in side], names=_PAIR)
             # rows that a later one may still meet: this word, and long enough
             stay = (word == word[-1]) & (n.astype(np.int64) * 100 >= percent * int(n[-1]))
             held = [c[stay] for c in fresh]
 
-    return parts.mapInArrow(run, "a long, b long").distinct()
+    return parts.mapInArrow(run, ", ".join(f"{c} long" for c in _PAIR)).distinct()
 
 
-def _matching(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs that reach the threshold on their full sets."""
+def _matching(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The later lines (id, line) of the pairs that reach the threshold on their full sets."""
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("s1")).distinct()
-    needed = materialize(classes.select("s1", "place").join(ids, "s1"))
+    needed = materialize(pairs.select(F.explode(F.array(*[
+        F.struct(*[F.col(f"{side}_{c}").alias(c) for c in ("id", "line", "place")]) for side in "ab"])).alias("s"))
+        .select("s.id", "s.line", "s.place").distinct())
     bitmap = spark.sparkContext.broadcast(bitmap_of(needed, "place", _PLACE_BITS))
 
     def sets(batches):
@@ -314,25 +329,29 @@ def _matching(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: in
             if chosen.any():
                 body = x.words.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [signed(x.signature(0)[chosen]), pa.array([body[(e - s) * 8:e * 8] for e, s in zip(
-                        x.ends[chosen].tolist(), x.sizes[chosen].tolist())], pa.binary())], names=["s1", "words"])
-
-    # copies may pass the bitmap by chance: one row per class
-    held = docs.mapInArrow(sets, "s1 long, words binary").join(needed.select("s1"), "s1", "left_semi").dropDuplicates(["s1"])
-    both = (pairs.join(held.select(F.col("s1").alias("a"), F.col("words").alias("wa")), "a")
-            .join(held.select(F.col("s1").alias("b"), F.col("words").alias("wb")), "b").select("a", "b", "wa", "wb"))
+                    [pa.array(x.id[chosen]), pa.array(x.number[chosen]), pa.array([body[(e - s) * 8:e * 8] for e, s in zip(
+                        x.ends[chosen].tolist(), x.sizes[chosen].tolist())], pa.binary())], names=["id", "line", "words"])
+
+    # a repeated document gives its lines repeatedly: one row each
+    held = docs.mapInArrow(sets, "id long, line long, words binary").join(
+        needed.select("id", "line"), ["id", "line"], "left_semi").dropDuplicates(["id", "line"])
+    both = pairs
+    for side in "ab":
+        both = both.join(held.select(F.col("id").alias(f"{side}_id"), F.col("line").alias(f"{side}_line"),
+                                     F.col("words").alias(f"{side}_words")), [f"{side}_id", f"{side}_line"])
+    both = both.select("b_id", "b_line", "a_words", "b_words")
 
     def check(batches):
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("wa"), batch.column("wb"))):
+            for i, (x, y) in enumerate(zip(batch.column("a_words"), batch.column("b_words"))):
                 x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
                 both = np.sort(np.concatenate([x, y]))
                 common = int((both[1:] == both[:-1]).sum())
                 keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["b_id", "b_line"]).rename_columns(["id", "line"]).filter(pa.array(keep))
 
-    return both.mapInArrow(check, "a long, b long")
+    return both.mapInArrow(check, "id long, line long").distinct()
 
 
 def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -342,41 +361,32 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     seen = survey(docs)
     lines = seen.where(F.col("kind") == _LINE).select("id", "line", "n", "s1", "s2", "place")
     place = F.struct("id", "line", "place")
-    classes = materialize(lines.groupBy("s1", "s2").agg(F.min(place).alias("first"))
-                          .select("s1", "s2", "first.id", "first.line", "first.place"))
+    classes = materialize(lines.groupBy("s1", "s2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                          .select("s1", "s2", "first.id", "first.line", "first.place", "n"))
     counts = stage_table(seen.where(F.col("kind") == _WORD).groupBy(F.col("s1").alias("word")).agg(F.sum("n").alias("n"))
                          .where("n > 1"), "line-words")
     share = spark.sparkContext.broadcast
     firsts = share(bitmap_of(classes, "place", _PLACE_BITS))
+    copied = share(most_frequent(classes.where("n > 1"), "s1", "place", COPIED_LINES))
+    table = share(most_frequent(counts, "word", "n", FREQUENT_WORDS))
     shared = share(bitmap_of(counts.select(F.shiftrightunsigned("word", 64 - _PLACE_BITS).alias("p")), "p", _PLACE_BITS))
-    rows = prefix_rows(docs, firsts, share(frequent_words(counts)), shared, percent)
-    order = classes.select("s1", F.struct("id", "line").alias("o"))
-
-    def later(matches: DataFrame) -> DataFrame:
-        """Of every matching pair the class whose first line comes later."""
-        o = matches.join(order.select(F.col("s1").alias("a"), F.col("o").alias("oa")), "a").join(
-            order.select(F.col("s1").alias("b"), F.col("o").alias("ob")), "b")
-        return o.select(F.when(F.col("oa") > F.col("ob"), F.col("a")).otherwise(F.col("b")).alias("s1")).distinct()
+    rows = prefix_rows(docs, firsts, copied, table, shared, percent)
 
+    alone = (F.col("a_id") == F.col("b_id")) & (F.col("a_line") == F.col("b_line"))
     found = materialize(candidates(rows, percent, _NEAREST))
-    gone = materialize(later(_matching(docs, found.where("a != b"), classes, percent)))
-    open_ = materialize(found.where("a = b").select(F.col("a").alias("s1")).join(gone, "s1", "left_anti"))
+    gone = materialize(_matching(docs, found.where(~alone), percent))
+    open_ = materialize(found.where(alone).select(F.col("b_id").alias("id"), F.col("b_line").alias("line"), F.col("b_place").alias("place"))
+                        .join(gone, ["id", "line"], "left_anti"))
     if open_.take(1):
-        def placed(batches):
-            for batch in batches:
-                s1 = batch.column("s1").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array((mix64(s1) >> _U(64 - _PLACE_BITS)).astype(np.int64))], names=["at"])
-
-        wanted = spark.sparkContext.broadcast(bitmap_of(open_.mapInArrow(placed, "at long"), "at", _PLACE_BITS))
-        rest = candidates(rows, percent, None, wanted)
-        # of these only pairs with a line that is still open can change anything
-        rest = rest.join(found, ["a", "b"], "left_anti")
-        flag = open_.select("s1", F.lit(True).alias("is_open"))
-        rest = (rest.join(flag.select(F.col("s1").alias("a"), F.col("is_open").alias("fa")), "a", "left")
-                .join(flag.select(F.col("s1").alias("b"), F.col("is_open").alias("fb")), "b", "left")
-                .where("fa or fb").select("a", "b"))
-        gone = gone.union(later(_matching(docs, materialize(rest), classes, percent))).distinct()
-    near = classes.join(gone.withColumn("near", F.lit(True)), "s1", "left").select(
+        # only words of open lines can bring more
+        opened = share(bitmap_of(open_, "place", _PLACE_BITS))
+        words = prefix_rows(docs, opened, copied, table, shared, percent).select("word").distinct().select(
+            F.shiftrightunsigned(F.col("word").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 32 - _PLACE_BITS).alias("p"))
+        wanted = share(bitmap_of(words, "p", _PLACE_BITS))
+        rest = materialize(candidates(prefix_rows(docs, firsts, copied, table, shared, percent, wanted), percent, None, opened)
+                           .join(found, ["a_id", "a_line", "b_id", "b_line"], "left_anti").select(*_PAIR))
+        gone = gone.union(_matching(docs, rest, percent)).distinct()
+    near = classes.join(gone.withColumn("near", F.lit(True)), ["id", "line"], "left").select(
         "s1", "s2", F.col("id").alias("first_id"), F.col("line").alias("first_line"), "near")
     marked = lines.join(near, ["s1", "s2"]).where(
         F.coalesce("near", F.lit(False)) | (F.struct("id", "line") > F.struct("first_id", "first_line")))
