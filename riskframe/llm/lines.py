@@ -39,7 +39,7 @@ PERCENT = 80
 FREQUENT_WORDS = 1 << 18
 #: The most copied lines whose first place every task gets (16 bytes each).
 COPIED_LINES = 1 << 16
-_NEAREST = 8
+_NEAREST = 2
 _PLACE_BITS = 27                       # bitmap over (document, line): 16 MB at most
 _LAST_ID = (1 << 63) - 1
 _U = np.uint64
@@ -228,10 +228,11 @@ def prefix_rows(docs: DataFrame, firsts, copied, table, shared, percent: int, wo
     return docs.mapInArrow(run, "word int, n int, at int, id long, line int, parity long")
 
 
-def _nearest(pairs: list[tuple], most: int) -> tuple:
-    """Of the (earlier, later) candidate pairs the ``most`` nearest of each later line, and the later lines that had more."""
+def _nearest(pairs: list[tuple], ids, line, most: int) -> tuple:
+    """Of the (earlier, later) candidate pairs the ``most`` nearest of each later line (the earliest of equals, so that
+    the words of a line agree on them), and the later lines that had more."""
     x, y, gap = (np.concatenate(c) for c in zip(*pairs))
-    order = np.lexsort((gap, y))
+    order = np.lexsort((line[x], ids[x], gap, y))
     x, y, gap = x[order], y[order], gap[order]
     starts = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]]))
     rank = np.arange(len(y)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(y)]])))
@@ -270,7 +271,7 @@ def _pairs_in(word, n, at, ids, line, parity, new_from: int, percent: int, most:
             found.append((x[go], y[go], gap[go]))
             held += int(go.sum())
         if most is not None and held > 4_000_000:
-            *kept, rest = _nearest(found, most)
+            *kept, rest = _nearest(found, ids, line, most)
             found, held = [tuple(kept)], len(kept[0])
             more.append(rest)
     if not found:
@@ -278,7 +279,7 @@ def _pairs_in(word, n, at, ids, line, parity, new_from: int, percent: int, most:
         return e, e, e
     if most is None:
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), np.zeros(0, np.int64)
-    x, y, _, rest = _nearest(found, most)
+    x, y, _, rest = _nearest(found, ids, line, most)
     return x, y, np.unique(np.concatenate([rest, *more]))
 
 
@@ -418,4 +419,36 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of all documents that repeat an earlier line."""
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet")).select("doc_id", "text")
-    return repeated_lines(docs).select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+    return repeated_lines(docs).select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+                                       F.array_join("removed", ",").alias("removed"))
+
+
+# The same lines: candidates share a prefix word in rarity order, and are counted on all words.
+OP8_SQL = """
+with l as (
+  select doc_id, unnest(string_split(text, chr(10))) as line, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) as k
+  from documents where text is not null),
+t as (
+  select doc_id, k, list_sort(list_distinct(regexp_extract_all(
+           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'))) as words
+  from l),
+sets as (
+  select words, min((doc_id, k)) as first, len(words) as n, row_number() over (order by min((doc_id, k))) as id
+  from t where len(words) > 0 group by words),
+u as (select id, n, unnest(words) as word from sets),
+df as (select word, count(*) as df from u group by word),
+ranked as (select u.id, u.n, u.word, row_number() over (partition by u.id order by df.df, u.word) as pos from u join df using (word)),
+prefix as (select * from ranked where pos <= n - (80 * n + 99) // 100 + 1),
+pairs as (select distinct a.id as x, b.id as y, a.n as nx, b.n as ny from prefix a join prefix b on a.word = b.word and a.id < b.id
+          where least(a.n, b.n) * 100 >= 80 * greatest(a.n, b.n)),
+gone as (select distinct y from (
+  select x, y, nx, ny, count(*) as common from pairs join u a on a.id = x join u b on b.id = y and b.word = a.word group by all)
+  where 100 * common >= 80 * (nx + ny - common)),
+marked as (
+  select t.doc_id, t.k from t join sets using (words) left join gone on gone.y = sets.id
+  where gone.y is not null or (t.doc_id, t.k) > sets.first),
+r as (select doc_id, count(*) as n_removed, string_agg(k::varchar, ',' order by k) as removed from marked group by doc_id),
+c as (select doc_id, count(*) as n_lines from l group by doc_id)
+select d.doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed, coalesce(removed, '') as removed
+from (select distinct doc_id from documents) d left join c using (doc_id) left join r using (doc_id)
+"""

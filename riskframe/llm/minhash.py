@@ -262,3 +262,25 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return near_duplicates(spark.read.parquet(os.path.join(sf_dir, "documents.parquet")).select("doc_id", "text"))
+
+
+# The same groups from an inverted index of all shingles and the reachable documents.
+OP5_SQL = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') as words
+  from documents),
+s as (
+  select distinct doc_id, array_to_string(list_slice(words, i, i + 4), ' ') as g
+  from (select doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) as i from w where len(words) > 0)),
+n as (select doc_id, count(*) as n, md5(string_agg(g, '|' order by g)) as same from s group by doc_id),
+c as (select same, count(*) as copies from n group by same),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as common from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * common >= 85 * (nx.n + ny.n - common)),
+pair as (select x, y from e union all select y, x from e),
+r as (select doc_id, doc_id as reach from w union select r.doc_id, pair.y from r join pair on r.reach = pair.x),
+m as (select doc_id, min(reach) as component_id from r group by doc_id)
+select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, component_id = w.doc_id as kept,
+       coalesce(copies, 1)::bigint as copies
+from w join m using (doc_id) left join n using (doc_id) left join c using (same)
+"""

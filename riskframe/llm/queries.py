@@ -22,4 +22,6 @@ QUERIES = {
 
 SQL = {
     "op2_chat_format": chat.OP2_SQL,
+    "op5_minhash": minhash.OP5_SQL,
+    "op8_line_dedup": lines.OP8_SQL,
 }
