@@ -114,7 +114,8 @@ def neighbours(docs: DataFrame, least: int = LEAST_WORDS, window: int = WINDOW)
 
 
 def _needed_words(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(row, words): word hashes, as bytes, of the documents in ``rows``; a bitmap of fixed size tells which texts to read on."""
+    """(row, words): half of each word's hash, as bytes, of the documents in ``rows``; a bitmap of fixed size tells which
+    texts to read on. Extension compares words by these 32 bits (two different words agree once in four billion)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(
         bitmap_of(rows.select(F.pmod("row", F.lit(1 << _FILTER_BITS)).alias("p")), "p", _FILTER_BITS))
@@ -125,9 +126,9 @@ def _needed_words(docs: DataFrame, rows: DataFrame) -> DataFrame:
             p = batch.column("row").to_numpy(zero_copy_only=False) & ((1 << _FILTER_BITS) - 1)
             passed = batch.filter(pa.array((bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1))
             for part, words, bounds, _, _ in _texts([passed]):
-                body = words.tobytes()
+                body = (words >> _U(32)).astype(np.uint32).tobytes()
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(
-                    [body[a * 8:b * 8] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())],
+                    [body[a * 4:b * 4] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())],
                     names=["row", "words"])
 
     return docs.mapInArrow(run, "row long, words binary").join(rows, "row", "left_semi")
@@ -181,7 +182,7 @@ def passages(docs: DataFrame, least: int = LEAST_WORDS, window: int = WINDOW) ->
             found = []
             for r, o, anchors, x, y in zip(batch.column("row").to_pylist(), batch.column("other_row").to_pylist(),
                                            batch.column("anchors").to_pylist(), batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
+                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
                 pts = [(p["at"], p["other_at"]) for p in anchors]
                 for a, b, n in _extend(x, y, pts, least):
                     found.append((r, a, n, o, b))
