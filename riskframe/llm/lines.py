@@ -11,9 +11,9 @@ reach the threshold share one of their first n - ceil(percent * n) + 1 words.
 Rows of one word are sorted by size, so the length filter is a window; the positional filter
 and 64 parity bits of the words bound the overlap from above. What is left is verified on the full sets.
 
-A line only needs one earlier match. Round one hands on the nearest few candidates
-per line and word; the lines that had more, and are not removed by then, hand on all of theirs in
-round two. So no candidate is lost, and a group of mutual near copies does not emit all its pairs.
+A line only needs one earlier match, so its few nearest candidates per word are compared first. Lines that had more
+candidates, and are not removed by then, are tested against all lines of their word groups inside tasks,
+in blocks; only removed lines leave these. So no candidate is lost, and no group of near copies emits its pairs.
 
 Lines without words are never removed. NULL text has no lines. Documents with a NULL id come last and
 count as one document; rows with one doc_id count as one document. Other columns are only carried.
@@ -39,7 +39,10 @@ PERCENT = 80
 FREQUENT_WORDS = 1 << 18
 #: The most copied lines whose first place every task gets (16 bytes each).
 COPIED_LINES = 1 << 16
-_NEAREST = 2
+#: Candidates of a line and word that are compared at once, and those held for lines that these leave open.
+_NEAREST, _HELD = 2, 4
+_LONG = 64                             # words from which a line has a second parity
+_BLOCK_LINES = 1_500
 _PLACE_BITS = 27                       # bitmap over (document, line): 16 MB at most
 _LAST_ID = (1 << 63) - 1
 _U = np.uint64
@@ -189,14 +192,15 @@ def _in(bitmap: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bitmap[numbers >> 3] >> (numbers & 7).astype(np.uint8)) & 1 == 1
 
 
-def prefix_rows(docs: DataFrame, firsts, copied, table, shared, percent: int, words_wanted=None) -> DataFrame:
-    """(word, n, at, id, line, parity): the prefix words of every class's first line.
+def prefix_rows(docs: DataFrame, firsts, copied, table, shared, percent: int, words_wanted=None, with_words: bool = False) -> DataFrame:
+    """(word, n, at, id, line, parity, parity2): the prefix words of every class's first line; with ``with_words`` the hashes of
+    all its words, as bytes, besides.
 
     ``firsts`` is a bitmap of their places; the most copied classes are also in the table ``copied``, so their
     copies never pass. Another copy that passes by chance only makes candidates. ``shared`` is a bitmap
     of the words that more than one line holds; the others join nothing; ``words_wanted`` one of the halved hashes to keep. ``word`` is half of
     the word's hash: a chance agreement only makes one more candidate. ``parity`` has a bit per hash class of
-    words, set if the line has an odd number of them.
+    words, set if the line has an odd number of them; ``parity2`` the same by other classes for lines of ``_LONG`` words.
     """
     def run(batches):
         for _, x in _over(batches, firsts.value):
@@ -209,6 +213,8 @@ def prefix_rows(docs: DataFrame, firsts, copied, table, shared, percent: int, wo
             n = x.sizes[chosen]
             starts = np.cumsum(n) - n
             parity = np.bitwise_xor.reduceat(_U(1) << (words & _U(63)), starts)
+            parity2 = np.where(n >= _LONG, np.bitwise_xor.reduceat(_U(1) << ((words >> _U(6)) & _U(63)), starts), _U(0))
+            body = words.tobytes() if with_words else b""
             # by rarity, ties in hash order: words are sorted by hash within a line, and both sorts are stable
             order = np.argsort(_look_up(table.value, words, 0), kind="stable")
             order = order[np.argsort(line[order].astype(np.uint16) if len(n) < 1 << 16 else line[order], kind="stable")]
@@ -222,28 +228,31 @@ def prefix_rows(docs: DataFrame, firsts, copied, table, shared, percent: int, wo
             yield pa.RecordBatch.from_arrays(
                 [pa.array((words[take] >> _U(32)).astype(np.uint32).view(np.int32)), pa.array(n[line].astype(np.int32)),
                  pa.array(at[take].astype(np.int32)), pa.array(x.id[chosen][line]),
-                 pa.array(x.number[chosen][line].astype(np.int32)), signed(parity[line])],
-                names=["word", "n", "at", "id", "line", "parity"])
+                 pa.array(x.number[chosen][line].astype(np.int32)), signed(parity[line]), signed(parity2[line]),
+                 *([pa.array([body[starts[i] * 8:(starts[i] + n[i]) * 8] for i in line.tolist()], pa.binary())] if with_words else [])],
+                names=["word", "n", "at", "id", "line", "parity", "parity2"] + ["words"] * with_words)
 
-    return docs.mapInArrow(run, "word int, n int, at int, id long, line int, parity long")
+    return docs.mapInArrow(run, "word int, n int, at int, id long, line int, parity long, parity2 long"
+                           + ", words binary" * with_words)
 
 
-def _nearest(pairs: list[tuple], ids, line, most: int) -> tuple:
-    """Of the (earlier, later) candidate pairs the ``most`` nearest of each later line (the earliest of equals, so that
-    the words of a line agree on them), and the later lines that had more."""
+def _nearest(pairs: list[tuple], ids, line) -> tuple:
+    """Of the (earlier, later) candidate pairs the ``_HELD`` nearest of each later line (the earliest of equals, so that
+    the words of a line agree on them) with their rank, and the later lines that had more."""
     x, y, gap = (np.concatenate(c) for c in zip(*pairs))
     order = np.lexsort((line[x], ids[x], gap, y))
     x, y, gap = x[order], y[order], gap[order]
     starts = np.flatnonzero(np.concatenate([[True], y[1:] != y[:-1]]))
     rank = np.arange(len(y)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(y)]])))
-    return x[rank < most], y[rank < most], gap[rank < most], y[rank == most]
+    near = rank < _HELD
+    return x[near], y[near], gap[near], rank[near], y[rank == _HELD]
 
 
-def _pairs_in(word, n, at, ids, line, parity, new_from: int, percent: int, most: int | None, wanted):
+def _pairs_in(word, n, at, ids, line, parity, parity2, new_from: int, percent: int):
     """Candidate pairs (earlier, later in the corpus) among rows sorted by (word, n), for the rows from ``new_from`` on.
 
     Compares each row with the one ``lag`` before it, for growing lags, while words
-    agree and the length filter holds. Returns (earlier, later, later lines that had more).
+    agree and the length filter holds. Returns (earlier, later, rank, later lines that had more).
     """
     here = np.arange(new_from, len(word))
     lag, found, held, more = 0, [], 0, []
@@ -260,60 +269,100 @@ def _pairs_in(word, n, at, ids, line, parity, new_from: int, percent: int, most:
         # words from the common one on; words that only one of the two has flip a parity bit each
         room = np.minimum(n[a] - at[a], n[here] - at[here])
         gap = np.bitwise_count(parity[a] ^ parity[here]).astype(np.int64)
-        ok = (room >= need) & ((both - gap) // 2 >= need)
-        p, q, gap = a[ok], here[ok], gap[ok]
+        gap2 = np.where(np.minimum(n[a], n[here]) >= _LONG, np.bitwise_count(parity2[a] ^ parity2[here]), 0)
+        ok = (room >= need) & ((both - np.maximum(gap, gap2)) // 2 >= need)
+        p, q, gap = a[ok], here[ok], (gap + gap2)[ok]
         swap = (ids[p] > ids[q]) | ((ids[p] == ids[q]) & (line[p] > line[q]))
         x, y = np.where(swap, q, p), np.where(swap, p, q)
         go = (ids[x] != ids[y]) | (line[x] != line[y])
-        if wanted is not None:
-            go &= wanted[y]
         if go.any():
             found.append((x[go], y[go], gap[go]))
             held += int(go.sum())
-        if most is not None and held > 4_000_000:
-            *kept, rest = _nearest(found, ids, line, most)
+        if held > 4_000_000:
+            *kept, _, rest = _nearest(found, ids, line)
             found, held = [tuple(kept)], len(kept[0])
             more.append(rest)
     if not found:
         e = np.zeros(0, np.int64)
-        return e, e, e
-    if most is None:
-        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), np.zeros(0, np.int64)
-    x, y, _, rest = _nearest(found, ids, line, most)
-    return x, y, np.unique(np.concatenate([rest, *more]))
+        return e, e, e, e
+    x, y, _, rank, rest = _nearest(found, ids, line)
+    return x, y, rank, np.unique(np.concatenate([rest, *more]))
 
 
 _PAIR = ["a_id", "a_line", "a_place", "b_id", "b_line", "b_place"]
 
 
-def candidates(rows: DataFrame, percent: int, most: int | None, wanted=None) -> DataFrame:
-    """Pairs of an earlier line a and a later line b (id, line, place each) that pass all filters. A row of b with itself marks
-    a line that had more than ``most`` candidates; ``wanted`` is a bitmap of the places of the only later lines asked for."""
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of an earlier line a and a later line b (id, line, place each) that pass all filters, with ``late`` (0 for
+    those among the ``_NEAREST``, 1 for the others held). A row of b with itself marks a line that had more."""
     parts = rows.repartition("word").sortWithinPartitions("word", "n")
+    names = ["word", "n", "at", "id", "line", "parity", "parity2"]
 
     def run(batches):
         held = None
         for batch in batches:
-            fresh = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("word", "n", "at", "id", "line", "parity")]
+            fresh = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
             old = 0
             if held is not None:
                 old = len(held[0])
                 fresh = [np.concatenate([a, b]) for a, b in zip(held, fresh)]
-            word, n, at, ids, line, parity = fresh
+            word, n, at, ids, line, parity, parity2 = fresh
             if not len(word):
                 continue
-            flags = _in(wanted.value, _place(ids, line)) if wanted is not None else None
-            x, y, more = _pairs_in(word, n, at, ids, line, parity.view(_U), old, percent, most, flags)
+            x, y, rank, more = _pairs_in(word, n, at, ids, line, parity.view(_U), parity2.view(_U), old, percent)
             if len(x) or len(more):
+                late = np.concatenate([rank >= _NEAREST, np.zeros(len(more), bool)])
                 x, y = np.concatenate([x, more]), np.concatenate([y, more])
-                pair = np.unique(np.stack([ids[x], line[x], ids[y], line[y]], axis=1), axis=0)
+                pair = np.unique(np.stack([ids[x], line[x], ids[y], line[y], late], axis=1), axis=0)
                 sides = [(pair[:, i], pair[:, i + 1], _place(pair[:, i], pair[:, i + 1])) for i in (0, 2)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for side in sides for c in side], names=_PAIR)
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for side in sides for c in side], pa.array(pair[:, 4])],
+                                                 names=[*_PAIR, "late"])
             # rows that a later one may still meet: this word, and long enough
             stay = (word == word[-1]) & (n.astype(np.int64) * 100 >= percent * int(n[-1]))
             held = [c[stay] for c in fresh]
 
-    return parts.mapInArrow(run, ", ".join(f"{c} long" for c in _PAIR)).distinct()
+    found = parts.mapInArrow(run, ", ".join(f"{c} long" for c in [*_PAIR, "late"]))
+    return found.groupBy(*_PAIR).agg(F.min("late").alias("late"))
+
+
+def _removed_in(ids, line, is_open, words: list[np.ndarray], percent: int) -> np.ndarray:
+    """Of a unit's open lines those with an earlier line that reaches the threshold, counted on all words."""
+    sizes = np.array([len(x) for x in words])
+    owner = np.repeat(np.arange(len(words)), sizes)
+    _, place, df = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+    posting, first = owner[np.argsort(place, kind="stable")], np.cumsum(df) - df
+    starts = np.cumsum(sizes) - sizes
+    gone = np.zeros(len(words), bool)
+    for y in np.flatnonzero(is_open).tolist():
+        mine = place[starts[y]:starts[y] + sizes[y]]
+        lengths = df[mine]
+        at = np.repeat(first[mine] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        common = np.bincount(posting[at], minlength=len(words))
+        earlier = (ids < ids[y]) | ((ids == ids[y]) & (line < line[y]))
+        gone[y] = (earlier & (100 * common >= percent * (sizes + sizes[y] - common))).any()
+    return gone
+
+
+def _open_lines(rows: DataFrame, open_: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The open lines (id, line) that go: every word group that holds one is cut into blocks, and each pair of
+    blocks is a unit that one task tests in memory; only lines leave it. ``sizes``: (word, lines) of the groups, from above."""
+    blocks = sizes.select("word", F.expr(f"int(lines div {_BLOCK_LINES} + 1)").alias("blocks"))
+    marked = rows.join(open_.select(F.col("id").alias("oid"), F.col("line").alias("oline")),
+                       (F.col("id") == F.col("oid")) & (F.col("line") == F.col("oline")), "left")
+    marked = marked.join(blocks, "word").withColumn("block", F.pmod(F.xxhash64("id", "line"), F.col("blocks")).cast("int"))
+    units = marked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "word", F.least("block", "other").alias("u0"), F.greatest("block", "other").alias("u1"), "id", "line",
+        F.col("oid").isNotNull().alias("is_open"), "words")
+
+    def run(unit: pa.Table) -> pa.Table:
+        gone = np.zeros(unit.num_rows, bool)
+        is_open = unit.column("is_open").to_numpy()
+        if is_open.any():
+            gone = _removed_in(unit.column("id").to_numpy(), unit.column("line").to_numpy(), is_open,
+                               [np.frombuffer(x.as_buffer(), _U) for x in unit.column("words")], percent)
+        return unit.select(["id", "line"]).filter(pa.array(gone))
+
+    return units.groupBy("word", "u0", "u1").applyInArrow(run, "id long, line int").distinct()
 
 
 def _matching(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -374,19 +423,24 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = prefix_rows(docs, firsts, copied, table, shared, percent)
 
     alone = (F.col("a_id") == F.col("b_id")) & (F.col("a_line") == F.col("b_line"))
-    found = materialize(candidates(rows, percent, _NEAREST))
-    gone = materialize(_matching(docs, found.where(~alone), percent))
-    open_ = materialize(found.where(alone).select(F.col("b_id").alias("id"), F.col("b_line").alias("line"), F.col("b_place").alias("place"))
-                        .join(gone, ["id", "line"], "left_anti"))
+    later = F.struct(F.col("b_id").alias("id"), F.col("b_line").alias("line"), F.col("b_place").alias("place"))
+    found = materialize(candidates(rows, percent))
+    gone = materialize(_matching(docs, found.where(~alone & (F.col("late") == 0)), percent))
+    left = materialize(found.where("late = 1").join(gone.select(F.col("id").alias("b_id"), F.col("line").alias("b_line")),
+                                                    ["b_id", "b_line"], "left_anti").select(*_PAIR))
+    if left.take(1):
+        gone = materialize(gone.union(_matching(docs, left, percent)).distinct())
+    open_ = materialize(found.where(alone).select(later.alias("s")).select("s.*").join(gone, ["id", "line"], "left_anti"))
     if open_.take(1):
-        # only words of open lines can bring more
+        # only words of open lines can bring more; a group has no more lines than hold its words
         opened = share(bitmap_of(open_, "place", _PLACE_BITS))
-        words = prefix_rows(docs, opened, copied, table, shared, percent).select("word").distinct().select(
-            F.shiftrightunsigned(F.col("word").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 32 - _PLACE_BITS).alias("p"))
-        wanted = share(bitmap_of(words, "p", _PLACE_BITS))
-        rest = materialize(candidates(prefix_rows(docs, firsts, copied, table, shared, percent, wanted), percent, None, opened)
-                           .join(found, ["a_id", "a_line", "b_id", "b_line"], "left_anti").select(*_PAIR))
-        gone = gone.union(_matching(docs, rest, percent)).distinct()
+        half = F.shiftright(F.col("word"), 32).cast("int")
+        mine = prefix_rows(docs, opened, copied, table, shared, percent).select("word").distinct()
+        sizes = materialize(counts.select(half.alias("word"), "n").join(mine, "word").groupBy("word").agg(F.sum("n").alias("lines")))
+        wanted = share(bitmap_of(sizes.select(F.shiftrightunsigned(
+            F.col("word").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)), 32 - _PLACE_BITS).alias("p")), "p", _PLACE_BITS))
+        held = prefix_rows(docs, firsts, copied, table, shared, percent, wanted, with_words=True)
+        gone = materialize(gone.union(_open_lines(held, open_, sizes, percent)).distinct())
     near = classes.join(gone.withColumn("near", F.lit(True)), ["id", "line"], "left").select(
         "s1", "s2", F.col("id").alias("first_id"), F.col("line").alias("first_line"), "near")
     marked = lines.join(near, ["s1", "s2"]).where(

@@ -195,9 +195,11 @@ def test_op7_against_the_library(spark, docs):
         assert got[i]["decoded_sha256"] == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("nearest", [1, 2])
+@pytest.mark.parametrize("nearest", [0, 2])
 def test_op8_lines(spark, docs, monkeypatch, nearest):
-    monkeypatch.setattr(lines, "_NEAREST", nearest)           # with 1, the second round has work to do
+    monkeypatch.setattr(lines, "_HELD", 2 * nearest + 1)          # with few held, the later rounds have work to do
+    monkeypatch.setattr(lines, "_NEAREST", nearest)
+    monkeypatch.setattr(lines, "_BLOCK_LINES", 3 * nearest + 2)
     truth = later_lines([(i, t) for i, t, _, _ in docs])
     got = {r["doc_id"]: r["removed"] for r in run(spark, "op8_line_dedup")}
     assert got == {i: ",".join(map(str, truth[i])) for i, _, _, _ in docs}
