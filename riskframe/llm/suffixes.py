@@ -106,6 +106,8 @@ def neighbours(docs: DataFrame, least: int = LEAST_WORDS, window: int = WINDOW)
     held = materialize(sparse_suffixes(docs, least, window, bitmap).join(counted.select("key"), "key", "left_semi"))
     heads = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("head"))
     near = held.join(heads, "key").withColumn("salt", F.pmod(F.xxhash64("row", "at"), F.expr(f"n div {_SALT_ROWS} + 1")))
+    # dealt by key and salt: the join's own dealing by key would satisfy the window and keep a hot key in one task
+    near = near.repartition("key", "salt")
     order = Window.partitionBy("key", "salt").orderBy("next", "row", "at")
     # the first of a sub-group is compared with the key's least suffix
     other = F.coalesce(F.lag(place).over(order), F.col("head"))
