@@ -1,6 +1,9 @@
 """Every operator and pipeline stage over the awkward table and the empty one."""
 
+import collections
 import hashlib
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +118,50 @@ def test_langid(awkward, nothing):
     assert langid.predict_languages(nothing, awkward).count() == 0
 
 
+def test_langid_whole_models(spark, monkeypatch):
+    """Every gram of every language counts, in models of many parts, and a language without letters is no candidate."""
+    rng = random.Random(4)
+    texts = [(i, " ".join(rng.choice(["haus", "hund", "baum", "und", "der"]) for _ in range(40)), "de") for i in range(30)]
+    texts += [(100 + i, " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)), "en") for i in range(60)]
+    texts += [(200, "piiri ja talo", "fi"), (201, "123 - 456", "zz"), (202, "...", "zz")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+
+    counts = collections.defaultdict(collections.Counter)
+    for _, t, lang in texts[:-2]:
+        padded = "   " + t + " "
+        counts[lang].update(padded[i - 3:i + 1] for i in range(3, len(padded)))
+    alphabet = {g[3] for c in counts.values() for g in c}
+
+    def entropy(lang, text):
+        level, levels = counts[lang], []
+        for _ in range(4):
+            levels.append(level)
+            level = collections.Counter(g[1:] for g in level)
+        padded, total = "   " + text + " ", 0.0
+        for i in range(3, len(padded)):
+            p = 1 / (len(alphabet) + 1)
+            for k, level in zip((1, 2, 3, 4), reversed(levels)):
+                ones, twos = (sum(n == m for n in level.values()) for m in (1, 2))
+                d = min(max(ones / (ones + 2 * twos), 0.05), 0.95) if ones + twos else 0.5
+                gram = padded[i + 1 - k:i + 1]
+                after = [n for g, n in level.items() if g[:-1] == gram[:-1]]
+                if after:
+                    p = max(level[gram] - d, 0) / sum(after) + d * len(after) / sum(after) * p
+            total -= math.log(p)
+        return total / (len(padded) - 3)
+
+    whole = {r["doc_id"]: r for r in langid.predict_languages(docs, docs).collect()}
+    assert {i: r["lang_pred"] for i, r in whole.items()} == {i: "und" if lang == "zz" else lang for i, _, lang in texts}
+    monkeypatch.setattr(langid, "PART_GRAMS", 200)
+    monkeypatch.setattr(langid, "HELD_BYTES", 5_000)
+    parts = {r["doc_id"]: r for r in langid.predict_languages(docs, docs).collect()}
+    for i in (0, 29, 100, 159, 200):
+        want = entropy(whole[i]["lang_pred"], next(t for j, t, _ in texts if j == i))
+        assert whole[i]["cross_entropy"] == pytest.approx(want, rel=1e-4)
+    assert {i: r["lang_pred"] for i, r in parts.items()} == {i: r["lang_pred"] for i, r in whole.items()}
+    assert all(r["cross_entropy"] == pytest.approx(whole[i]["cross_entropy"]) for i, r in parts.items())
+
+
 def test_simhash(awkward, nothing, spark):
     got = simhash.fingerprint_documents(awkward).collect()
     assert len(got) == len(ROWS) and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
