@@ -4,12 +4,15 @@ Only suffixes that start at content-selected positions are kept: the minimisers
 every window of ``window`` consecutive word pairs (the position of the least hash). A passage
 of ``least`` words that stands in two places selects the same position
 within its first ``window`` words in both, and ``least - window`` words follow it there. Suffixes are keyed by
-the hash of their first ``least - window`` words, refined by the words after, and sorted;
-each is compared with its neighbour, and matching neighbours are extended to the left and right, word by word,
-over the whole texts.
+the hash of their first ``least - window`` words and carry the hashes of all passages of ``least`` words that selected
+them. Suffixes of a key are sorted by the words after it; for each passage, every suffix that holds it is
+linked with the one before that holds it too, and links are extended to the left and right, word by word,
+over the whole texts. So every passage of ``least`` words that stands in two places is met at each of them, however
+many other texts share a part of it.
 
 A key that many suffixes share is counted first (partial counts per task) and its suffixes are spread
-over salted sub-groups, each led by the key's least suffix, so no task sorts a hot key alone.
+over salted sub-groups; the first holder of each passage in a sub-group is linked with those of the others in a second
+step, dealt by passage. So no task sorts a hot key alone.
 
 Words are case-sensitive runs of other than space and control bytes 9 to 13; white space does not matter. NULL
 text has no words; documents shorter than ``least`` words repeat no passage. Rows with one doc_id (or NULL
@@ -37,9 +40,8 @@ _FILTER_BITS = 27
 _U = np.uint64
 
 
-def minimisers(hashes: np.ndarray, window: int, valid: np.ndarray) -> np.ndarray:
-    """Positions (ascending) that hold the least hash of ``window`` consecutive ones (the last of
-    equals), for the windows whose start is in ``valid``."""
+def minimisers(hashes: np.ndarray, window: int) -> np.ndarray:
+    """For every start of ``window`` consecutive ones, the position of the least hash (the last of equals)."""
     if len(hashes) < window:
         return np.zeros(0, np.int64)
     best, at = hashes, np.arange(len(hashes))
@@ -51,7 +53,7 @@ def minimisers(hashes: np.ndarray, window: int, valid: np.ndarray) -> np.ndarray
         at = np.where(right, at[step:], at[:m])
         best = np.where(right, best[step:], best[:m])
         span += step
-    return np.unique(at[valid[:len(at)]])
+    return at
 
 
 def _texts(batches: Iterator[pa.RecordBatch]):
@@ -62,57 +64,141 @@ def _texts(batches: Iterator[pa.RecordBatch]):
             yield part, word_hashes(data, starts, ends), words, starts, ends
 
 
-def sparse_suffixes(docs: DataFrame, least: int = LEAST_WORDS, window: int = WINDOW, repeated=None) -> DataFrame:
-    """(row, at, key, next): the kept suffixes; ``key`` hashes their first ``least - window`` words, ``next`` as
-    many more. ``repeated``: a broadcast bitmap of key prefixes; suffixes outside it are left out."""
+def _in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = (keys >> _U(64 - _FILTER_BITS)).astype(np.int64)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def sparse_suffixes(docs: DataFrame, least: int = LEAST_WORDS, window: int = WINDOW, repeated=None, hot=None,
+                    salts: int = 1) -> DataFrame:
+    """(key): hashes of the first ``least - window`` words of the kept suffixes.
+
+    With ``repeated``, a broadcast bitmap of key prefixes, (row, at, key, salt, next, passages) of the suffixes inside
+    it: ``next`` hashes as many more words, ``passages`` the ``least`` words from each start that selected
+    the suffix on, and ``salt`` is above 0 for keys inside the bitmap ``hot``.
+    """
     k = least - window
 
     def run(batches):
         for part, words, bounds, _, _ in _texts(batches):
-            pairs, keys = gram_hashes(words, 2), gram_hashes(words, k)
-            row = part.column("row").to_numpy(zero_copy_only=False)
             sizes = np.diff(bounds)
             doc = np.repeat(np.arange(len(sizes)), sizes)
-            inside = np.zeros(len(words), bool)
-            if len(words) > window:             # window pairs take window + 1 words of one document
-                inside[:len(words) - window] = doc[window:] == doc[:-window]
-            inside &= (sizes >= least)[doc]
-            at = minimisers(pairs, window, inside)
-            at = at[at + k <= bounds[doc[at] + 1]]
+            starts = np.flatnonzero(np.arange(len(words)) + least <= bounds[doc + 1])
+            if not len(starts):
+                continue
+            keys = gram_hashes(words, k)
+            chosen = minimisers(gram_hashes(words, 2), window)[starts]
             if repeated is not None:
-                place = (keys[at] >> _U(64 - _FILTER_BITS)).astype(np.int64)
-                at = at[(repeated.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
-            if not len(at):
+                inside = _in(repeated.value, keys[chosen])
+                starts, chosen = starts[inside], chosen[inside]
+                if not len(starts):
+                    continue
+            # starts that select one position follow each other
+            first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+            at = chosen[first]
+            if repeated is None:
+                yield pa.RecordBatch.from_arrays([signed(keys[at])], names=["key"])
                 continue
             d = doc[at]
+            row = part.column("row").to_numpy(zero_copy_only=False)[d]
+            place = (at - bounds[d]).astype(np.int32)
             rest = np.where(at + 2 * k <= bounds[d + 1], keys[np.minimum(at + k, len(keys) - 1)], _U(0))
+            salt = np.zeros(len(at), np.int64)
+            if hot is not None:
+                many = _in(hot.value, keys[at])
+                salt[many] = (mix64(row.view(_U) ^ mix64(place.astype(_U)))[many] % _U(salts)).astype(np.int64) + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row[d]), pa.array((at - bounds[d]).astype(np.int32)), signed(keys[at]), signed(rest)],
-                names=["row", "at", "key", "next"])
+                [pa.array(row), pa.array(place), signed(keys[at]), pa.array(salt), signed(rest), pa.ListArray.from_arrays(
+                    pa.array(np.append(first, len(starts)).astype(np.int32)), signed(gram_hashes(words, least)[starts]))],
+                names=["row", "at", "key", "salt", "next", "passages"])
 
-    return docs.mapInArrow(run, "row long, at int, key long, next long")
+    return docs.mapInArrow(run, "key long" if repeated is None else
+                           "row long, at int, key long, salt long, next long, passages array<long>")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str], rows: int = 50_000) -> Iterator[pa.Table]:
+    """The rows of sorted batches in tables that cut no group of the columns ``by``."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        columns = [table.column(c).to_numpy() for c in by]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0))
+        if len(cuts):
+            yield table.slice(0, cuts[-1] + 1)
+            table = table.slice(cuts[-1] + 1)
+        held, n = table.to_batches(), 0             # a group that goes on waits for as many rows again
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _chained(group: list[np.ndarray], holder: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Holders of the same group values one after the other (x before y, each pair once), and the places
+    of every group's first holder. ``holder`` ascends."""
+    order = np.lexsort((holder, *group))
+    same = np.ones(len(order) - 1, bool) if len(order) else np.zeros(0, bool)
+    for g in group:
+        same &= g[order][1:] == g[order][:-1]
+    pairs = np.unique(np.stack([holder[order][:-1][same], holder[order][1:][same]]), axis=1)
+    return pairs[0], pairs[1], order[np.flatnonzero(np.concatenate([[True], ~same]))] if len(order) else order
+
+
+def _links(row: np.ndarray, at: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[pa.Array]:
+    apart = (row[x] != row[y]) | (at[x] != at[y])
+    x, y = x[apart], y[apart]
+    return [pa.array(c) for c in (row[x], at[x], row[y], at[y])]
 
 
 def neighbours(docs: DataFrame, least: int = LEAST_WORDS, window: int = WINDOW) -> DataFrame:
-    """(row, at, other_row, other_at): every suffix whose key repeats, with its neighbour in sorted order.
+    """(row, at, other_row, other_at): suffixes that hold the same passage of ``least`` words, so that the holders of
+    every passage are joined by links.
 
     The first pass over the texts only counts keys; the second gives the suffixes of those that repeat.
     """
     spark = docs.sparkSession
-    place = F.struct("row", "at")
-    counted = materialize(sparse_suffixes(docs, least, window).select("key").groupBy("key").count().where("count > 1")
-                          .select("key", F.shiftrightunsigned("key", 64 - _FILTER_BITS).alias("p")))
+    counted = materialize(sparse_suffixes(docs, least, window).groupBy("key").count().where("count > 1")
+                          .select("key", "count", F.shiftrightunsigned("key", 64 - _FILTER_BITS).alias("p")))
     bitmap = spark.sparkContext.broadcast(bitmap_of(counted, "p", _FILTER_BITS))
-    held = materialize(sparse_suffixes(docs, least, window, bitmap).join(counted.select("key"), "key", "left_semi"))
-    heads = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("head"))
-    near = held.join(heads, "key").withColumn("salt", F.pmod(F.xxhash64("row", "at"), F.expr(f"n div {_SALT_ROWS} + 1")))
-    # dealt by key and salt: the join's own dealing by key would satisfy the window and keep a hot key in one task
-    near = near.repartition("key", "salt")
-    order = Window.partitionBy("key", "salt").orderBy("next", "row", "at")
-    # the first of a sub-group is compared with the key's least suffix
-    other = F.coalesce(F.lag(place).over(order), F.col("head"))
-    return near.withColumn("o", other).where(F.col("o") != place).select(
-        "row", "at", F.col("o.row").alias("other_row"), F.col("o.at").alias("other_at"))
+    most = counted.agg(F.max("count")).first()[0] or 0
+    hot = None
+    if most > _SALT_ROWS:
+        hot = spark.sparkContext.broadcast(bitmap_of(counted.where(F.col("count") > _SALT_ROWS), "p", _FILTER_BITS))
+    held = sparse_suffixes(docs, least, window, bitmap, hot, most // _SALT_ROWS + 1)
+
+    def within(batches):
+        for table in _whole_groups(batches, ["key", "salt"]):
+            row, at, salt = (table.column(c).to_numpy() for c in ("row", "at", "salt"))
+            passages = table.column("passages").combine_chunks()
+            holder = np.repeat(np.arange(len(row)), passages.value_lengths().to_numpy())
+            passage = passages.flatten().to_numpy()
+            x, y, first = _chained([passage, salt[holder]], holder)
+            links = _links(row, at, x, y)
+            lead = first[salt[holder[first]] > 0]
+            n, m = len(links[0]), len(lead)
+            out = [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(passage[lead])]),
+                   pa.concat_arrays([links[0], pa.array(row[holder[lead]])]),
+                   pa.concat_arrays([links[1], pa.array(at[holder[lead]])]),
+                   pa.concat_arrays([links[2], pa.nulls(m, pa.int64())]), pa.concat_arrays([links[3], pa.nulls(m, pa.int32())])]
+            yield pa.RecordBatch.from_arrays(out, names=["passage", "row", "at", "other_row", "other_at"])
+
+    def across(batches):
+        for table in _whole_groups(batches, ["passage"]):
+            row, at = table.column("row").to_numpy(), table.column("at").to_numpy()
+            x, y, _ = _chained([table.column("passage").to_numpy()], np.arange(len(row)))
+            yield pa.RecordBatch.from_arrays(_links(row, at, x, y), names=["row", "at", "other_row", "other_at"])
+
+    found = (held.repartition("key", "salt").sortWithinPartitions("key", "salt", "next", "row", "at")
+             .mapInArrow(within, "passage long, row long, at int, other_row long, other_at int"))
+    if hot is None:
+        return found.drop("passage")
+    found = materialize(found)
+    leads = found.where("passage is not null").select("passage", "row", "at")
+    return found.where("passage is null").drop("passage").union(
+        leads.repartition("passage").sortWithinPartitions("passage", "row", "at")
+        .mapInArrow(across, "row long, at int, other_row long, other_at int"))
 
 
 def _needed_words(docs: DataFrame, rows: DataFrame) -> DataFrame:

@@ -51,6 +51,28 @@ def test_passages(spark, awkward, nothing):
     assert spans == {(1, 0, 55), (2, 1, 55)} or spans == {(1, 0, 55), (2, 1, 55), (1, 0, 60)}
 
 
+@pytest.mark.parametrize("salt_rows", [suffixes._SALT_ROWS, 7])
+def test_passages_of_a_shared_key(spark, monkeypatch, salt_rows):
+    """Fifty texts hold a boilerplate; pairs of them share a few words more on its right, its left or both sides."""
+    monkeypatch.setattr(suffixes, "_SALT_ROWS", salt_rows)
+    for seed in range(3):
+        rng = random.Random(seed)
+        own = lambda n: [f"o{rng.random()}" for _ in range(n)]
+        shared, texts, want = own(45), {}, {}
+        for i in range(50):
+            texts[i] = (own(30), own(30))
+        for x, y, left, right in ((3, 31, 0, 10), (8, 44, 10, 0), (12, 27, 2, 3), (15, 40, 4, 4)):
+            a, b = own(left), own(right)
+            for i in (x, y):
+                before, after = texts[i]
+                texts[i] = (before[:30 - left] + a, b + after)
+                want[i] = (30 - left, 45 + left + right)
+        docs = spark.createDataFrame([(i, " ".join(before + shared + after)) for i, (before, after) in texts.items()],
+                                     "doc_id long, text string")
+        got = {r["doc_id"]: (r["first_word"], r["n_words"]) for r in suffixes.passages(docs).collect()}
+        assert got == want
+
+
 def test_mixing(awkward, nothing):
     got = mixing.taken_words(mixing.mix(awkward.select("doc_id", "source", "text"))).collect()
     assert len(got) == len(ROWS) and all(0 <= r["taken"] <= 2 * r["size"] for r in got)
