@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from riskframe.llm import bpe, lines, minhash, mixing, quality
 from riskframe.session import stage_table
 
+#: The near-dedup stage links documents of similarity 0.8 or more (op5 has its own contract of 0.85); a pair
+#: of similarity 0.8 shares none of 34 bands of 5 rows with probability 1e-6.
+NEAR_PERCENT, NEAR_BANDS = 80, 34
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
@@ -25,8 +29,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
-    return minhash.keep_one_of_each(docs)
+    """One document of each near-duplicate group, by links of similarity 0.8 or more."""
+    return minhash.keep_one_of_each(docs, percent=NEAR_PERCENT, bands=NEAR_BANDS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

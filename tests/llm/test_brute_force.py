@@ -252,6 +252,20 @@ def test_pipeline_stages_against_brute_force(spark):
     assert last.count() == read.count()
 
 
+def test_near_stage_between_80_and_85(spark):
+    """Copies whose shingles agree to 80 to 85 percent go, and those just below 80 percent stay."""
+    texts, want = [], set()
+    for i in range(40):
+        words = [f"t{i}x{j}" for j in range(104)]        # 100 shingles
+        # the last words replaced: 100 - n of 100 shingles agree, of 100 + n
+        n = (9, 10, 11, 12)[i % 4]
+        assert (100 * (100 - n) >= 80 * (100 + n)) == (n <= 11) and 100 * (100 - n) < 85 * (100 + n)
+        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-n] + [f"u{i}x{j}" for j in range(n)]))]
+        want |= {2 * i} if n <= 11 else {2 * i, 2 * i + 1}
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, SF001).collect()} == want
+
+
 def test_registered():
     assert {n.split("_")[0] for n in queries.QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
     assert set(queries.SQL) <= set(queries.QUERIES) and corpus_pipeline.ORACLE_SQL is None
