@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import ann, bpe, chat, langid, lines, minhash, mixing, quality, simhash, suffixes
+from . import ann, bpe, chat, langid, lines, minhash, mixing, quality, simhash, spelling, substrings, suffixes, whitening
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_langid": langid.op9_langid,
     "op10_simhash": simhash.op10_simhash,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_substrings": substrings.op13_substrings,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +27,5 @@ SQL = {
     "op2_chat_format": chat.OP2_SQL,
     "op5_minhash": minhash.OP5_SQL,
     "op8_line_dedup": lines.OP8_SQL,
+    "op13_substrings": substrings.OP13_SQL,
 }
