@@ -267,7 +267,7 @@ def test_near_stage_between_80_and_85(spark):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in queries.QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.SQL) <= set(queries.QUERIES) and corpus_pipeline.ORACLE_SQL is None
 
 
