@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import safe_cast
 from ..session import scratch_path
 from ..sources import files
+from ..sources.multiline import read_multiline
 from .star import _r, query, table
 
 ORACLE_IO: dict[str, str] = {}
@@ -43,6 +44,16 @@ SELECT p_partkey, p_name, p_brand, p_type, p_size, round(p_retailprice, 6) AS p_
 FROM part
 """
 
+@query
+def src_raw_csv_parallel(spark, sf_dir):
+    """One CSV file with line breaks, commas and quotes inside quoted fields, read by as many tasks as it has blocks."""
+    path = scratch_path(spark, "src_raw_csv_parallel")
+    files.write_single_csv(_part_with_note(spark, sf_dir), path)
+    return _r(safe_cast(read_multiline(spark, path), _PART_TYPES))
+
+
+ORACLE_IO["src_raw_csv_parallel"] = ORACLE_IO["src_raw_csv"]
+
 _CUSTOMER_DDL = ("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
                  "c_mktsegment STRING")
 

@@ -5,9 +5,10 @@ the options that keep quoted multi-line fields intact. It is then cast and
 written as Parquet, which the analyses read: filters reach row-group
 statistics and only the used columns are read.
 
-A multi-line CSV file cannot be split, so each file is read by one task.
-Large raw inputs should therefore arrive as many files (a directory or a
-glob), and ``read_raw`` accepts any number of paths.
+Spark reads a multi-line CSV file in one task, so with ``read_raw`` large raw
+inputs should arrive as many files (a directory or a glob; any number of paths is
+accepted). ``multiline.read_multiline`` reads one file by many tasks, and
+``ingest_raw(parallel=True)`` uses it.
 """
 
 from __future__ import annotations
@@ -15,8 +16,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import FLOAT_TEXT
+
 CSV_DEFAULTS: dict[str, str] = {
     "header": "true",
     "multiLine": "true",     # quoted fields may hold newlines
@@ -71,6 +75,37 @@ def read_typed(spark: SparkSession, paths: str | Sequence[str], schema: T.Struct
     return reader.load(list(paths) if not isinstance(paths, str) else paths)
 
 
+# The text forms that type inference tells apart, narrowest first.
+_TYPE_TEXTS = [("int", r"^[+-]?[0-9]{1,10}$"), ("bigint", r"^[+-]?[0-9]{1,19}$"), ("double", FLOAT_TEXT),
+               ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+               ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?$"),
+               ("boolean", r"(?i)^(true|false)$")]
+
+
+def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
+    """The narrowest type that all non-NULL texts of a column have, for the columns that are not plain text; one aggregate
+    over ``df``, one counter per column and type.
+
+    Types are tried as INT, BIGINT, DOUBLE, DATE, TIMESTAMP, BOOLEAN; whole numbers past BIGINT are DOUBLE. A column of NULLs is text.
+    """
+    columns = list(columns or df.columns)
+    bad = []
+    for i, name in enumerate(columns):
+        c = F.col(f"`{name}`")
+        for t, pattern in _TYPE_TEXTS:
+            # the cast is tried on well-formed text only: a failed one is costly
+            fits = F.when(c.rlike(pattern), c.try_cast(t).isNotNull()).otherwise(False)
+            bad.append(F.count_if(c.isNotNull() & ~fits).alias(f"{i}_{t}"))
+        bad.append(F.count(c).alias(f"{i}_n"))
+    r = df.agg(*bad).first()
+    out = {}
+    for i, name in enumerate(columns):
+        fitting = [t for t, _ in _TYPE_TEXTS if r[f"{i}_{t}"] == 0]
+        if r[f"{i}_n"] and fitting:
+            out[name] = fitting[0]
+    return out
+
+
 def apply_header(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Relabel columns by position; the count must match exactly."""
     if len(names) != len(df.columns):
@@ -108,18 +143,23 @@ def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str =
 def ingest_raw(spark: SparkSession, paths: str | Sequence[str], out_path: str,
                casts: Mapping[str, str] | None = None, partitions: int | None = None,
                partition_by: Sequence[str] | None = None, strip_chars: str | None = None,
-               nan_as_null: bool = False, **read_kw) -> DataFrame:
+               nan_as_null: bool = False, parallel: bool = False, **read_kw) -> DataFrame:
     """Read raw CSV once, cast the listed columns in the same pass, write Parquet, and return a
     reader of the Parquet table. ``strip_chars`` and ``nan_as_null`` as in ``safe_cast``;
     ``multiline=False`` (no field holds a line break) reads splits of a file in parallel.
 
-    A multi-line CSV file is read by one task, so the rows are spread over
-    ``partitions`` tasks (a round-robin shuffle) before casting and writing.
+    ``parallel=True`` reads a file whose fields hold line breaks by many tasks
+    (``multiline.read_multiline``). Otherwise a multi-line CSV file is read by one task, and the rows may be
+    spread over ``partitions`` tasks (a round-robin shuffle) before casting and writing.
     Every later pass then reads columnar, splittable, statistics-bearing
     files instead of re-parsing text.
     """
     from ..functions.columns import safe_cast
-    df = read_raw(spark, paths, **read_kw)
+    if parallel:
+        from .multiline import read_multiline
+        df = read_multiline(spark, paths, **{k: v for k, v in read_kw.items() if k != "multiline"})
+    else:
+        df = read_raw(spark, paths, **read_kw)
     if partitions:
         df = df.repartition(partitions)
     if casts:
