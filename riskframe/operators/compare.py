@@ -33,6 +33,14 @@ def compare_to_overall(df: DataFrame, key: str, value: ColumnOrName, hit: Column
                    F.avg(v).alias(avg_alias), F.sum(v).alias("_sum"), F.count(v).alias("_cnt"),
                    *[c.alias(n) for n, c in (extra_aggs or {}).items()]))
     groups = materialize(groups)      # one scan of the source feeds both uses below
+    return overall_from_groups(groups, key, k, total_alias, hit_alias, rate_alias, avg_alias, ratio_alias, list(extra_aggs or {}))
+
+
+def overall_from_groups(groups: DataFrame, key: str, k: int | None = 5, total_alias: str = "total", hit_alias: str = "hit_count",
+                        rate_alias: str = "rate_pct", avg_alias: str = "avg_value", ratio_alias: str = "vs_overall_ratio",
+                        extra: Sequence[str] = ()) -> DataFrame:
+    """``compare_to_overall`` from its per-group table, which is already computed: key, total, hits, mean, and the
+    sum ``_sum`` and count ``_cnt`` that the mean is made of."""
     # overall mean = sum of group sums / sum of group counts, read off the
     # small checkpointed table and attached as a literal
     overall = groups.agg(ratio(F.sum("_sum"), F.sum("_cnt")).alias("o")).collect()[0]["o"]
@@ -40,7 +48,7 @@ def compare_to_overall(df: DataFrame, key: str, value: ColumnOrName, hit: Column
            .withColumn(rate_alias, percent(hit_alias, total_alias))
            .withColumn(ratio_alias, ratio(avg_alias, F.lit(overall).cast("double")))
            .select(key, total_alias, hit_alias, rate_alias, avg_alias, ratio_alias,
-                   *(extra_aggs or {}).keys()))
+                   *extra))
     ordered = out.orderBy(F.col(rate_alias).desc(), F.col(key).asc())
     return ordered.limit(k) if k is not None else ordered
 
@@ -67,6 +75,14 @@ def compare_to_subgroup(df: DataFrame, fine: Sequence[str], coarse: Sequence[str
                    F.avg(m).alias(measure_alias), F.count_if(hit).alias("_hit"),
                    F.sum(m).alias("_sum"), F.count(m).alias("_cnt")))
     fine_t = materialize(fine_t)      # one scan of the source feeds both uses below
+    return subgroup_from_groups(fine_t, fine, coarse, list(aggs or {}), count_alias, measure_alias, rate_alias, diff_alias)
+
+
+def subgroup_from_groups(fine_t: DataFrame, fine: Sequence[str], coarse: Sequence[str], extra: Sequence[str] = (),
+                         count_alias: str = "count", measure_alias: str = "avg_measure", rate_alias: str = "rate_pct",
+                         diff_alias: str = "measure_vs_coarse") -> DataFrame:
+    """``compare_to_subgroup`` from its per-group table, which is already computed: keys, count, further aggregates, mean, the
+    hits ``_hit``, and the sum ``_sum`` and count ``_cnt`` that the mean is made of."""
     coarse_t = (fine_t.groupBy(*coarse)
                 .agg(ratio(F.sum("_sum"), F.sum("_cnt")).alias("_coarse"))
                 .select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(coarse)], "_coarse"))
@@ -81,5 +97,5 @@ def compare_to_subgroup(df: DataFrame, fine: Sequence[str], coarse: Sequence[str
     return (joined
             .withColumn(rate_alias, percent("_hit", count_alias))
             .withColumn(diff_alias, F.col(measure_alias) - F.col("_coarse"))
-            .select(*fine, count_alias, *(aggs or {}).keys(), measure_alias, rate_alias, diff_alias)
+            .select(*fine, count_alias, *extra, measure_alias, rate_alias, diff_alias)
             .orderBy(*fine))

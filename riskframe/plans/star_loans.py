@@ -303,6 +303,15 @@ def loan_questions_from_csv(spark, sf_dir):
     return _r(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
+@query
+def loan_questions_all(spark, sf_dir):
+    """All twelve answers from raw CSV: ingested once by many tasks, nine of them and q06's state means from one scan."""
+    path = scratch_path(spark, "loan_csv")
+    write_table(loan_text_table(spark, sf_dir), path, fmt="csv")
+    answers = loans.questions_job(spark, path, by=uniform("id"))
+    return _r(loans.long_answers({n: _r(a, money=("total_late_fees",) if n == "q04" else ()) for n, a in answers.items()}))
+
+
 @query
 def loan_summary_boxes(spark, sf_dir):
     """Box figures of amount, rate and instalment."""
@@ -331,6 +340,29 @@ UNION ALL SELECT 'q02', CAST(count(*) AS DOUBLE) FROM L WHERE num_accts_ever_120
 UNION ALL SELECT 'q03', round({_pct("delinq_2yrs > 0")}, 6) FROM L WHERE fico_range_low < 650
 """
 
+def _long_sql() -> str:
+    """The answers' oracles, one row per figure."""
+    parts = []
+    for n, title in _TITLES.items():
+        sql = ORACLE_LOANS[f"loan_{n}_{title}"]
+        keys = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in loans.ANSWER_KEYS.get(n, [])) or "''"
+        for c in _FIGURES[n]:
+            parts.append(f"SELECT '{n}' AS question, {keys} AS row_key, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM ({sql})")
+    return " UNION ALL ".join(parts)
+
+
+_FIGURES = {
+    "q01": ["avg_loan_amount"], "q02": ["count"], "q03": ["delinquency_rate_pct"], "q04": ["avg_dti", "total_late_fees"],
+    "q05": ["avg_credit_limit", "num_clients"], "q06": ["annual_inc", "avg_state_income", "income_difference"],
+    "q07": ["total_loans", "charged_off_count", "default_rate_pct"],
+    "q08": ["min_years", "max_years", "avg_interest_rate", "loan_count"],
+    "q09": ["avg_loan_amount", "avg_interest_rate", "total_applications", "fully_paid_count", "full_payment_rate_pct"],
+    "q10": ["total_loans", "delinquent_loans", "delinquency_rate_pct", "avg_delinquencies", "vs_overall_ratio"],
+    "q11": ["min_accounts", "max_accounts", "avg_accounts", "total_loans", "fully_paid_count", "success_rate_pct"],
+    "q12": ["loan_count", "avg_loan_amount", "avg_interest_rate", "default_rate_pct", "rate_vs_avg"],
+}
+ORACLE_LOANS["loan_questions_all"] = _long_sql()
+
 # Means of the named columns are over all rows, those of the floating columns over the kept ones.
 _CLEAN_SQL = LOAN_SQL + """
 , P AS (SELECT L.*, CASE WHEN id % 17 = 0 THEN NULL ELSE loan_amnt END AS amount,

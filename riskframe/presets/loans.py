@@ -17,17 +17,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import safe_cast, sanitize_names
-from ..functions.exprs import age_years, parse_month, try_number, unit_hash
+from ..functions.exprs import age_years, parse_month, percent, try_number, unit_hash
 from ..ml import features as feat
 from ..ml import suite
 from ..ml.features import FeatureSpec
-from ..operators import compare, measures, ntile, sampling, windows
+from ..operators import compare, measures, ntile, sampling, shared, windows
 from ..operators.distribution import box_summary, describe_table, histogram, histogram_first, numeric_columns
 from ..operators.sampling import split_rows
 from ..plans.cleaning import CleaningSpec, clean_table
 from ..plans.questions import QuestionRegistry
 from ..session import scratch_path, stage_table
-from ..sources.files import apply_header, ingest_raw, read_raw, read_typed, string_schema, write_table
+from ..sources.files import apply_header, infer_types, ingest_raw, read_raw, string_schema, write_table
 from ..sources.models import save_model
 
 # ---------------------------------------------------------------------------
@@ -283,24 +283,114 @@ def q12(df: DataFrame) -> DataFrame:
         diff_alias="rate_vs_avg")
 
 
+# ---------------------------------------------------------------------------
+# The same answers from one scan
+# ---------------------------------------------------------------------------
+
+def _shared_requests() -> dict[str, shared.Request]:
+    """What the questions need per group; q06 needs its state means only."""
+    charged_off, paid = F.col("loan_status") == CHARGED_OFF, F.col("loan_status") == PAID
+    late = F.col("delinq_2yrs") > 0
+    mean, total, rows, R = shared.mean_of, shared.sum_of, shared.rows_where, shared.Request
+    return {
+        "q01": R([], {"avg_loan_amount": mean("loan_amnt")}, (F.col("home_ownership") == "OWN") & (F.col("annual_inc") > 100000)),
+        "q02": R([], {"count": rows()}, (F.col("num_accts_ever_120_pd") > 0) & (F.col("purpose") == "debt_consolidation")),
+        "q03": R([], {"_n": rows(), "_hit": rows(late)}, F.col("fico_range_low") < 650),
+        "q04": R(["addr_state"], {"avg_dti": mean("dti"), "total_late_fees": total("total_rec_late_fee")}),
+        "q05": R(["emp_title"], {"avg_credit_limit": mean("tot_hi_cred_lim"), "num_clients": rows()}, drop_null_keys=True),
+        "q06": R(["addr_state"], {"avg_state_income": mean("annual_inc")}),
+        "q07": R(["addr_state"], {"total_loans": rows(), "charged_off_count": rows(charged_off)}, F.col("loan_status").isin(list(FINISHED))),
+        "q09": R(["application_type"], {"avg_loan_amount": mean("loan_amnt"), "avg_interest_rate": mean("int_rate"),
+                                        "total_applications": rows(), "fully_paid_count": rows(paid)},
+                 F.col("application_type").isin(list(APPLICATION_TYPES))),
+        "q10": R(["purpose"], {"total_loans": rows(), "delinquent_loans": rows(late), "avg_delinquencies": mean("delinq_2yrs"),
+                               "_sum": total("delinq_2yrs"), "_cnt": rows(F.col("delinq_2yrs").isNotNull())}, drop_null_keys=True),
+        "q12": R(["verification_status", "grade"], {"loan_count": rows(), "avg_loan_amount": mean("loan_amnt"),
+                                                    "avg_interest_rate": mean("int_rate"), "_hit": rows(charged_off),
+                                                    "_sum": total("int_rate"), "_cnt": rows(F.col("int_rate").isNotNull())},
+                 F.col("verification_status").isNotNull() & F.col("grade").isNotNull()),
+    }
+
+
+def shared_answers(df: DataFrame, names=None, k: int = 10, seed: int = 42, by: Column | None = None) -> dict[str, DataFrame]:
+    """The answers of ``QUESTIONS.run``, where all that aggregate by fixed keys come from one scan of ``df``.
+
+    Only q08 and q11 (quartiles) and the choice of q06's rows, which join the state means afterwards, scan again.
+    ``k``, ``seed`` and ``by`` are those of q06.
+    """
+    names = list(names or QUESTIONS.names())
+    requests = {n: r for n, r in _shared_requests().items() if n in names}
+    got = shared.shared_groups(df, requests) if requests else {}
+
+    def finished(n: str) -> DataFrame:
+        if n not in got:
+            return QUESTIONS.answer(n, df)
+        g = got[n]
+        if n == "q03":
+            return g.select(percent("_hit", "_n").alias("delinquency_rate_pct"))
+        if n == "q04":
+            return g.orderBy(F.col("total_late_fees").desc())
+        if n == "q05":
+            return g.orderBy(F.col("num_clients").desc(), "emp_title").limit(10)
+        if n == "q06":
+            chosen = sampling.random_k(df.select("id", "addr_state", "annual_inc"), k, keys=["id"], seed=seed, by=by)
+            means = g.withColumnRenamed("addr_state", "_state")
+            return chosen.join(means, F.col("addr_state").eqNullSafe(F.col("_state"))).drop("_state").withColumn(
+                "income_difference", F.col("annual_inc") - F.col("avg_state_income"))
+        if n == "q07":
+            rated = g.withColumn("default_rate_pct", percent("charged_off_count", "total_loans")).where(F.col("total_loans") >= 10)
+            return rated.orderBy(F.col("default_rate_pct").desc(), F.col("addr_state").asc_nulls_first()).limit(10)
+        if n == "q09":
+            return g.withColumn("full_payment_rate_pct", percent("fully_paid_count", "total_applications")).orderBy("application_type")
+        if n == "q10":
+            return compare.overall_from_groups(g, "purpose", 5, "total_loans", "delinquent_loans", "delinquency_rate_pct",
+                                               "avg_delinquencies", "vs_overall_ratio")
+        if n == "q12":
+            return compare.subgroup_from_groups(g, ["verification_status", "grade"], ["grade"], ["avg_loan_amount"], "loan_count",
+                                                "avg_interest_rate", "default_rate_pct", "rate_vs_avg")
+        return g
+
+    return {n: finished(n) for n in names}
+
+
+# The columns that tell an answer's rows apart.
+ANSWER_KEYS = {"q04": ["addr_state"], "q05": ["emp_title"], "q06": ["id", "addr_state"], "q07": ["addr_state"], "q08": ["quartile"],
+               "q09": ["application_type"], "q10": ["purpose"], "q11": ["accounts_quartile"], "q12": ["verification_status", "grade"]}
+
+
+def long_answers(answers: dict[str, DataFrame]) -> DataFrame:
+    """All answers as one table (question, row_key, column, value): a row per figure."""
+    parts = []
+    for n, a in answers.items():
+        keys = ANSWER_KEYS.get(n, [])
+        figures = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in a.columns if c not in keys]
+        parts.append(a.select(F.lit(n).alias("question"), F.concat_ws("|", *[F.col(c).cast("string") for c in keys]).alias("row_key"),
+                              F.explode(F.array(*figures)).alias("f")).select("question", "row_key", "f.column", "f.value"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # The three jobs, as functions
 # ---------------------------------------------------------------------------
 
 def ingest(spark: SparkSession, raw_paths, out_path: str | None = None, splittable: bool = False,
            casts: dict[str, str] | None = None, infer: bool = False) -> DataFrame:
-    """The raw file(s) as a Parquet table, read as text once; every job works on this table.
+    """The raw file(s) as a Parquet table, parsed once; every job works on this table.
 
     ``casts`` (default: the question measures) happen in the same pass, "13.99%" becoming 13.99. With
-    ``infer`` the file is read with inferred types instead (one more pass over the text). ``splittable`` says that no
-    field holds a line break, so a file is read by many tasks.
+    ``infer`` the text columns are written first, their types told by one aggregate over them, and cast. Files are read by many
+    tasks also where fields hold line breaks; ``splittable`` says that none does, which saves the pass that finds them.
     """
     out_path = out_path or scratch_path(spark, "loans")
     if infer:
-        write_table(read_typed(spark, raw_paths, infer=True, options={"multiLine": str(not splittable).lower()}), out_path)
+        text = ingest_raw(spark, raw_paths, scratch_path(spark, "loans-text"), multiline=not splittable, parallel=not splittable)
+        write_table(safe_cast(text, infer_types(text)), out_path)
         return spark.read.parquet(out_path)
     return ingest_raw(spark, raw_paths, out_path, casts=QUESTION_CASTS if casts is None else casts, strip_chars="%",
-                      nan_as_null=True, multiline=not splittable)
+                      nan_as_null=True, multiline=not splittable, parallel=not splittable)
 
 
 def cleaning_job(spark: SparkSession, raw_paths, out_path: str, infer: bool = True, splittable: bool = False):
@@ -313,9 +403,10 @@ def cleaning_job(spark: SparkSession, raw_paths, out_path: str, infer: bool = Tr
     return facts
 
 
-def questions_job(spark: SparkSession, raw_paths, names=None, splittable: bool = False) -> dict[str, DataFrame]:
-    """Ingest the raw file(s) with the measures cast, and answer the questions from that table."""
-    return QUESTIONS.run(ingest(spark, raw_paths, splittable=splittable), names)
+def questions_job(spark: SparkSession, raw_paths, names=None, splittable: bool = False, by: Column | None = None) -> dict[str, DataFrame]:
+    """Ingest the raw file(s) with the measures cast, and answer the questions from that table, those that can
+    from one scan. ``by`` chooses q06's rows."""
+    return shared_answers(ingest(spark, raw_paths, splittable=splittable), names, by=by)
 
 
 def ml_table(cleaned: DataFrame) -> DataFrame:
