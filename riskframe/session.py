@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -91,7 +92,7 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def stage_table(df, name: str, partition_by: list[str] | None = None):
+def stage_table(df, name: str, partition_by: list[str] | None = None, path: str | None = None):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return a reader of it: for inputs that an iterative job (imputer,
     scaler, tree fits) scans many times and that are costly to recompute,
@@ -101,7 +102,7 @@ def stage_table(df, name: str, partition_by: list[str] | None = None):
     them, and are removed when it ends (``remove_staged`` removes them earlier).
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
     _remove_at_end(spark, path)
     # an empty partitioned table leaves no file to read the schema from
@@ -129,6 +130,16 @@ def remove_staged(spark, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def release_shuffles(spark) -> None:
+    """Have Spark's cleaner remove the shuffle files of finished jobs whose DataFrames are gone.
+
+    The cleaner acts when the driver's JVM collects garbage, which on an idle driver may take long; between the
+    steps of a job with large shuffles the files would add up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def sizing_conf(input_bytes: int, total_cores: int,
                 split_bytes: int = 256 * 1024 * 1024,
                 shuffle_bytes_per_partition: int = 512 * 1024 * 1024,
