@@ -9,12 +9,13 @@ and is built as a DataFrame.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark import StorageLevel
+from pyspark import InheritableThread, StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -98,11 +99,15 @@ def chosen(wanted: Sequence[str] | str, known: Sequence[str], what: str) -> list
 def train_suite(spark: SparkSession, splits: dict[str, DataFrame],
                 tasks: Sequence[str] | str = (CLASSIFICATION, REGRESSION),
                 models: Sequence[str] | str = "all", seed: int = 42,
-                persist: bool = True) -> tuple[DataFrame, list[TrainResult]]:
+                persist: bool = True, side_by_side: int = 1) -> tuple[DataFrame, list[TrainResult]]:
     """Train and evaluate the selected models of each task (a name, several, or "all").
 
     Returns the long metrics table (task, model, split, metric, value,
-    duration_s) and the fitted results. A training split without rows raises before any fit.
+    duration_s) and the fitted results, in the order of the catalog. A training split without rows raises before any fit.
+
+    ``side_by_side`` models are fitted at a time, over the same persisted splits, each from its own thread and, under the fair
+    scheduler, its own pool: the small jobs of one model (tree levels, gradient steps) fill the cores that another leaves idle. The
+    fits are the same as one after the other; the first error, in that order, is raised when all threads have ended.
     """
     tasks = chosen(tasks, (CLASSIFICATION, REGRESSION), "task")
     picked = {task: chosen(models, list(model_catalog(task, seed)), "model") for task in tasks}
@@ -112,9 +117,13 @@ def train_suite(spark: SparkSession, splits: dict[str, DataFrame],
               for k, v in splits.items()}
     results = []
     try:
-        for task in tasks:
-            for key in picked[task]:
-                results.append(train_and_evaluate(task, key, cached, seed))
+        wanted = [(task, key) for task in tasks for key in picked[task]]
+        if side_by_side <= 1:
+            results += [train_and_evaluate(task, key, cached, seed) for task, key in wanted]
+        else:
+            for split in cached.values():
+                split.count()                        # persisted once, before several fits read it
+            results += _side_by_side(spark, wanted, cached, seed, side_by_side)
     finally:
         if persist:
             for v in cached.values():
@@ -125,6 +134,34 @@ def train_suite(spark: SparkSession, splits: dict[str, DataFrame],
     return spark.createDataFrame(rows, schema), results
 
 
+def _side_by_side(spark: SparkSession, wanted: Sequence[tuple[str, str]], splits: dict[str, DataFrame], seed: int, threads: int) -> list[TrainResult]:
+    """The results of the (task, key) pairs, fitted by ``threads`` threads, in the pairs' order."""
+    left, done, errors, lock = list(enumerate(wanted)), {}, {}, threading.Lock()
+
+    def work() -> None:
+        while True:
+            with lock:
+                if not left or errors:
+                    return
+                i, (task, key) = left.pop(0)
+            try:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{task}-{key}")
+                done[i] = train_and_evaluate(task, key, splits, seed)
+            except Exception as e:  # noqa: BLE001 - raised again below
+                errors[i] = e
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    workers = [InheritableThread(target=work) for _ in range(min(threads, len(wanted)))]
+    for w in workers:
+        w.start()
+    for w in workers:
+        w.join()
+    if errors:
+        raise errors[min(errors)]
+    return [done[i] for i in range(len(wanted))]
+
+
 def vector_names(df: DataFrame, vector: str = FEATURES) -> list[str] | None:
     """Names of a vector column's entries from its ML attributes, in vector order (None without names)."""
     groups = (df.schema[vector].metadata or {}).get("ml_attr", {}).get("attrs", {})
