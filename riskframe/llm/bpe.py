@@ -15,6 +15,7 @@ version go through the file's own normaliser and splitter.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import os
 import re
@@ -57,6 +58,8 @@ def _byte_symbols() -> list[str]:
             free += 1
     return out
 
+_SHORT = 48                            # symbols up to which a plain search for the next merge is faster than a heap
+
 
 class _Remembered(dict):
     """A table filled on demand; it starts anew when ``most`` entries are held."""
@@ -120,6 +123,8 @@ class ForcedBoundaryBpe:
         ids = [self.byte_id[b] for b in fragment]
         if last:
             ids[-1] = self.last_id[fragment[-1]]
+        if len(ids) > _SHORT:
+            return self._merge_long(ids)
         merge, none = self.merge, 1 << 60
         order = [merge.get(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
         while order:
@@ -135,6 +140,28 @@ class ForcedBoundaryBpe:
                 order[i - 1] = merge.get(ids[i - 1] << 20 | new, none)
         return ids
 
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same merges by a heap of pairs over a linked list, in n log n steps: best rank first, then leftmost."""
+        n, merge = len(ids), self.merge
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(m, i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (m := merge.get(a << 20 | b)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            m, i = heapq.heappop(heap)
+            j = after[i]
+            # an entry counts only while its pair is still there
+            if ids[i] < 0 or j >= n or merge.get(ids[i] << 20 | ids[j]) != m:
+                continue
+            ids[i], ids[j] = m & 0xFFFFF, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (new := merge.get(ids[i] << 20 | ids[k])) is not None:
+                    heapq.heappush(heap, (new, i))
+            if (h := before[i]) >= 0 and (new := merge.get(ids[h] << 20 | ids[i])) is not None:
+                heapq.heappush(heap, (new, h))
+        return [x for x in ids if x >= 0]
+
     def _encode_word(self, word: str) -> str:
         pieces = self.cut(word.encode("utf-8"))
         out = []
