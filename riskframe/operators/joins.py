@@ -113,7 +113,7 @@ def split_join(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str
                            .select(*[f"__h{i}" for i in range(len(keys))], F.coalesce("__met", F.lit(False)).alias("__met"), *payload))
         if fits_broadcast(side, max_broadcast_rows, max_broadcast_bytes, ask_plan=False):
             break
-        heavy_rows *= 4
+        heavy_rows = max(4 * heavy_rows, 1)
     joined = rows.join(renamed, _null_safe(rows, keys, "__k"), how).select(*[rows[c] for c in rows.columns], *payload)
     if not side.take(1):
         return joined
