@@ -254,9 +254,21 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, b
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that have a near copy of smaller id (columns as they are)."""
-    kept = near_duplicates(docs.select("doc_id", "text"), **options).where("not kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the documents that have a near copy of smaller id (columns as they are).
+
+    Documents with a NULL id come last, in the order of their texts' hashes; of rows that agree in id and text one stays.
+    """
+    text = F.xxhash64("text")
+    # ids past 2^62 stand for the documents without one
+    own = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), text.bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))))
+    marked = materialize(near_duplicates(own.select(F.col("__id").alias("doc_id"), "text"), **options).select("doc_id", "kept"))
+    gone = marked.where("not kept").select(F.col("doc_id").alias("__id")).distinct()
+    left = own.join(gone, "__id", "left_anti")
+    again = materialize(marked.where("kept").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id"))
+    if again.take(1):
+        some = left.join(again, "__id", "left_semi").withColumn("__text", text).dropDuplicates(["__id", "__text"]).drop("__text")
+        left = left.join(again, "__id", "left_anti").unionByName(some)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
