@@ -16,8 +16,8 @@ step, dealt by passage. So no task sorts a hot key alone.
 
 Words are case-sensitive runs of other than space and control bytes 9 to 13; white space does not matter. NULL
 text has no words; documents shorter than ``least`` words repeat no passage. Rows with one doc_id (or NULL
-ids) are one document, read in text-hash order; repeated rows match each other. Other columns are not read; an empty
-table gives no rows.
+ids) are one document, read in text-hash order; rows that agree in id and text are one text and no partners of each
+other. Other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
