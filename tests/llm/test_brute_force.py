@@ -3,14 +3,16 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
-from riskframe.llm import lines, minhash, mixing, queries
+from riskframe.llm import lines, minhash, mixing, quality, queries
 from tests.conftest import SF001
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -26,7 +28,7 @@ def run(spark, name):
     return queries.QUERIES[name](spark, SF001).collect()
 
 
-def components(texts):
+def components(texts, percent=85):
     """(set size, least reachable id) of every document, by an inverted index of its shingles."""
     sets = {}
     for i, t in texts:
@@ -44,7 +46,7 @@ def components(texts):
         return a
 
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             a, b = sorted((root(a), root(b)))
             parent[b] = a
     return {i: (len(s), root(i)) for i, s in sets.items()}
@@ -107,8 +109,7 @@ def test_op3_covers_every_repeat(spark, docs):
         mine[r["doc_id"]].update(range(r["first_word"], r["first_word"] + r["n_words"]))
     assert set(mine) == set(must)
     assert not any(mine[i] - must[i] for i in mine)
-    # a stretch's left end may come from one partner of several: nearly all words are covered
-    assert sum(len(must[i] - mine[i]) for i in must) <= 0.01 * sum(map(len, must.values()))
+    assert not any(must[i] - mine[i] for i in must)
 
 
 def test_op4_targets(spark, docs):
@@ -195,16 +196,53 @@ def test_op7_against_the_library(spark, docs):
         assert got[i]["decoded_sha256"] == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("nearest", [0, 2])
-def test_op8_lines(spark, docs, monkeypatch, nearest):
-    monkeypatch.setattr(lines, "_HELD", 2 * nearest + 1)          # with few held, the later rounds have work to do
-    monkeypatch.setattr(lines, "_NEAREST", nearest)
-    monkeypatch.setattr(lines, "_BLOCK_LINES", 3 * nearest + 2)
+@pytest.mark.parametrize("held,hot,block", [(0, 5, 2), (1, 40, 5), (lines._HELD, lines.HOT_LINES, lines._BLOCK_LINES)])
+def test_op8_lines(spark, docs, monkeypatch, held, hot, block):
+    """Also with few candidates held, so that the later rounds have work to do, many hot words, and small blocks."""
+    monkeypatch.setattr(lines, "_HELD", held)
+    monkeypatch.setattr(lines, "HOT_LINES", hot)
+    monkeypatch.setattr(lines, "KEY_BLOCK", 3 * hot)
+    monkeypatch.setattr(lines, "_BLOCK_LINES", block)
     truth = later_lines([(i, t) for i, t, _, _ in docs])
     got = {r["doc_id"]: r["removed"] for r in run(spark, "op8_line_dedup")}
     assert got == {i: ",".join(map(str, truth[i])) for i, _, _, _ in docs}
 
 
+@pytest.mark.parametrize("held,hot,block", [(0, 3, 2), (lines._HELD, 30, 20), (lines._HELD, lines.HOT_LINES, lines._BLOCK_LINES)])
+def test_op8_near_threshold_groups(spark, monkeypatch, held, hot, block):
+    """Groups of lines at, just below and above the threshold, over few words and few lengths; long lines."""
+    monkeypatch.setattr(lines, "_HELD", held)
+    monkeypatch.setattr(lines, "HOT_LINES", hot)
+    monkeypatch.setattr(lines, "KEY_BLOCK", 4 * hot)
+    monkeypatch.setattr(lines, "_BLOCK_LINES", block)
+    rng, rows = np.random.default_rng(4), []
+    for g in range(12):
+        size = [5, 9, 10, 18, 45, 150][g % 6]
+        core = [f"g{g if g < 6 else 99}w{j}" for j in range(size)]
+        for _ in range(25):
+            words = list(core)
+            for _ in range(rng.integers(0, size // 5 + 2)):
+                words[rng.integers(size)] = f"x{rng.integers(40)}"
+            rows.append(" ".join(words[:size - rng.integers(0, 2)]))
+    rng.shuffle(rows)
+    texts = [(i, "\n".join(rows[3 * i:3 * i + 3])) for i in range(100)]
+    truth = later_lines(texts)
+    got = {r["doc_id"]: r["removed"] for r in lines.repeated_lines(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()}
+    assert got == {i: truth[i] for i, _ in texts}
+
+
+@pytest.mark.parametrize("own,template", [(1, 4), (2, 6), (3, 30)])
+def test_op8_many_lines_of_one_template(spark, own, template):
+    """20,000 lines of words of their own and common words: a group that no pair comes from, or where all but one go."""
+    common = " ".join(f"t{i}" for i in range(template))
+    texts = [(i, "\n".join(" ".join(f"o{i}x{k}x{j}" for j in range(own)) + " " + common for k in range(20))) for i in range(1_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+    start = time.time()
+    gone = sum(len(r["removed"]) for r in lines.repeated_lines(docs).collect())
+    assert gone == (0 if 100 * template < 80 * (template + 2 * own) else 19_999)
+    assert time.time() - start < 120
+
+
 def test_op9_held_out(spark, docs):
     got = {r["doc_id"]: r for r in run(spark, "op9_langid")}
     assert all(got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2) for i, _, _, _ in docs)
@@ -245,11 +283,30 @@ def test_pipeline_stages_against_brute_force(spark):
                     want[i] = "\n".join(left)
             assert {r["doc_id"]: r["text"] for r in out.collect()} == want
         if name == "MinHash near-dedup":
-            assert {r["doc_id"] for r in out.collect()} == {i for i, (_, root) in components(rows).items() if i == root}
+            assert {r["doc_id"] for r in out.collect()} == {i for i, (_, root) in components(rows, 80).items() if i == root}
+        if name == "quality classifier":
+            scored = {r["doc_id"]: r["kept"] for r in quality.score_documents(read, spark.read.parquet(f"{SF001}/labels.parquet")).collect()}
+            assert {r["doc_id"] for r in out.collect()} == {i for i, k in scored.items() if k}
+            assert {r["doc_id"]: r["text"] for r in out.collect()}.items() <= {r["doc_id"]: r["text"] for r in read.collect()}.items()
+        if name == "source mixing":
+            # each source gives its target, to the word, from its own documents' words in order
+            got, by_source, texts = out.collect(), collections.Counter(), {r["doc_id"]: WORD.findall(r["text"] or "") for r in read.collect()}
+            source = {r["doc_id"]: r["source"] for r in read.collect()}
+            for r in got:
+                words = WORD.findall(r["text"])
+                by_source[r["source"]] += len(words)
+                assert r["source"] == source[r["doc_id"]] and not collections.Counter(words) - collections.Counter(texts[r["doc_id"]])
+            target = {r["source"]: r["target"] for r in mixing.source_targets(mixing.document_sizes(read)).collect()}
+            assert set(target) == set(source.values()) and all(abs(by_source[s] - t) <= 1 for s, t in target.items())
         assert out.columns == docs.columns
         read = out
     last = corpus_pipeline.STAGES[-1][1](spark, read, SF001)
-    assert last.count() == read.count()
+    from tokenizers import Tokenizer
+    from riskframe.llm import bpe
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    want = sorted((r["doc_id"], hashlib.sha256(" ".join(map(str, library.encode(r["text"] or "", add_special_tokens=False).ids)).encode()).hexdigest())
+                  for r in read.collect())
+    assert sorted((r["doc_id"], r["ids_sha256"]) for r in last.collect()) == want
 
 
 def test_near_stage_between_80_and_85(spark):
@@ -275,3 +332,124 @@ def test_registered():
 def test_sql(spark, name):
     from scripts.check_oracle import compare, duck
     assert not compare(spark, duck(SF001), queries.QUERIES[name], queries.SQL[name], SF001)
+
+
+def noisy_pages(spark, n=3_000, seed=6):
+    """Documents whose text is clearly good or bad, whose source says so often, and whose labels are few."""
+    rng = np.random.default_rng(seed)
+    rows, truth = [], {}
+    for i in range(n):
+        good = rng.random() < 0.6
+        words = [f"w{rng.integers(300)}" for _ in range(rng.integers(20, 60))]
+        if not good:
+            words = [w if rng.random() < 0.8 else rng.choice(["!!!", "BUY", "$$$", words[0]]) for w in words]
+        source = f"s{rng.integers(3) + (0 if good ^ (rng.random() < 0.15) else 3)}"
+        rows.append((i, " ".join(words), "en", source))
+        truth[i] = int(good)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    labels = spark.createDataFrame([(i, truth[i]) for i in range(0, n, 20)], "doc_id long, quality int")
+    return docs, labels, truth
+
+
+def test_op1_exchange_helps(spark):
+    """Held-out accuracy after the rounds is at least that of none, for the combination and both views."""
+    from riskframe.llm import quality
+    docs, labels, truth = noisy_pages(spark)
+    right = {}
+    for rounds in (0, quality.ROUNDS):
+        got = quality.score_documents(docs, labels, rounds=rounds).where("doc_id % 20 > 0").collect()
+        right[rounds] = [np.mean([(r[c] >= 0.5) == truth[r["doc_id"]] for r in got]) for c in ("quality", "quality_text", "quality_page")]
+    assert all(b >= a - 0.002 for a, b in zip(right[0], right[quality.ROUNDS])) and right[quality.ROUNDS][0] > 0.95
+
+
+def test_op1_one_round_by_brute_force(spark):
+    """The models after one round equal those of a plain computation over all unlabelled documents at once."""
+    from riskframe.llm import quality
+    docs, labels, truth = noisy_pages(spark, 600, 7)
+    feats = quality._features(quality._inputs(docs)).orderBy("id").toPandas()
+    a, b = (np.stack(feats[c].tolist()).astype(float) for c in ("a", "b"))
+    known = np.arange(0, 600, 20)
+    y = np.array([truth[i] for i in known], float)
+    train, aside = quality.split_aside(y)
+    free = np.setdiff1d(np.arange(600), known)
+    views, far = [a[known][train], b[known][train]], [a[known][aside], b[known][aside]]
+    pool = quality.Pool(spark.createDataFrame([(a[i].tolist(), b[i].tolist()) for i in free], "a array<float>, b array<float>").repartition(5))
+    got = quality.co_train(views, y[train], far, y[aside], pool, 1, sure=0.8)
+    models = [quality.Logistic.fit(x, y[train], spread=(u[free].mean(axis=0), u[free].std(axis=0))) for x, u in zip(views, (a, b))]
+    p = [quality.Logistic.fit(m.logit(x)[:, None], y[aside]).probability(m.logit(u[free])[:, None]) for m, x, u in zip(models, far, (a, b))]
+    share = y[train].mean()
+    for v, other in ((0, 1), (1, 0)):
+        level = np.minimum((p[other] * 1000).astype(int), 999)
+        order = np.sort(level)
+        most = {0: quality.MOST_PSEUDO * (1 - share) * len(free), 1: quality.MOST_PSEUDO * share * len(free)}
+        bad = [q for q in range(1000) if (order <= q).sum() <= most[0] and q < round((1 - 0.8) * 1000)]
+        good = [q for q in range(1000) if (order >= q).sum() <= most[1] and q >= 800]
+        taken_bad = level <= max(bad) if bad else np.zeros(len(free), bool)
+        taken_good = level >= min(good) if good else np.zeros(len(free), bool)
+        taken, t = taken_bad | taken_good, taken_good.astype(float)
+        assert taken.any()
+        m, u = models[v], (a, b)[v][free][taken]
+        z = [np.concatenate([np.clip((x - m.mean) / m.scale, -8, 8), np.ones((len(x), 1))], axis=1) for x in (views[v], u)]
+        w, penalty = m.weights.copy(), np.append(np.ones(len(m.weights) - 1), 1e-6)
+        weight = quality.PSEUDO_WEIGHT * len(train) / taken.sum()
+        for _ in range(2):
+            q = [1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) for x in z]
+            grad = z[0].T @ (q[0] - y[train]) + weight * z[1].T @ (q[1] - t[taken]) + penalty * w
+            curve = sum(f * (x * (r * (1 - r) + 1e-6)[:, None]).T @ x for f, x, r in zip((1, weight), z, q)) + np.diag(penalty)
+            move = np.linalg.solve(curve, grad)
+            w = w - move * min(1.0, 5.0 / np.abs(move).max())
+        new = quality.Logistic(m.mean, m.scale, w)
+        kept = new if new.loss(far[v], y[aside]) <= m.loss(far[v], y[aside]) else m
+        assert np.allclose(got[v].weights, kept.weights, atol=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["clusters", "wide clusters", "gaussian"])
+def test_op6_prunes_with_recall(spark, kind):
+    """Registered parameters on 50,000 vectors: recall against brute force, and the share of vectors verified."""
+    from riskframe.llm import ann
+    rng = np.random.default_rng(8)
+    n, d = 50_000, 64
+    centres = rng.standard_normal((200, d))
+    x = rng.standard_normal((n, d)) if kind == "gaussian" else centres[rng.integers(200, size=n)] + {"clusters": 0.1, "wide clusters": 0.3}[kind] * rng.standard_normal((n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": list(x)}), "vec_id long, embedding array<double>").repartition(8)
+    asked = np.arange(0, n, 250)
+    got = collections.defaultdict(dict)
+    verified = {}
+    for r in ann.nearest(table, table.where("vec_id % 250 = 0")).collect():
+        got[r["query_id"]][r["rank"]] = r["vec_id"]
+        verified[r["query_id"]] = r["verified"]
+    hits = 0
+    for i in asked.tolist():
+        s = x @ x[i]
+        s[i] = -np.inf
+        best = np.argpartition(-s, 20)[:20]
+        hits += len(set(best.tolist()) & set(got[i].values()))
+        assert sorted(got[i]) == list(range(1, 21))
+    recall, share = hits / (20 * len(asked)), np.mean(list(verified.values())) / n
+    print(kind, "recall", recall, "share verified", share)
+    assert recall >= 0.9 and share < {"clusters": 0.05, "wide clusters": 0.2, "gaussian": 1.0}[kind]
+
+
+def test_op7_very_long_words(spark):
+    """A word of 200,000 letters, and long fragments of every kind, as the library encodes them, within seconds."""
+    from tokenizers import Tokenizer
+    from riskframe.llm import bpe
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list(letters), size)) for letters, size in (("abcdefghijklmnopqrstuvwxyz", 200_000), ("ab", 3_000), ("a", 20_001), ("the", 5_000))]
+    own = bpe.ForcedBoundaryBpe(bpe.vocabulary_path())
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    start = time.time()
+    for w in words:
+        assert own.encode(w) == " ".join(map(str, library.encode(w, add_special_tokens=False).ids))
+    assert time.time() - start < 60
+    for _ in range(300):
+        ids = [own.byte_id[b] for b in "".join(rng.choice(list("aeinorst"), 60)).encode()]
+        plain, order = list(ids), None
+        while True:
+            order = [(own.merge[a << 20 | b], i) for i, (a, b) in enumerate(zip(plain, plain[1:])) if a << 20 | b in own.merge]
+            if not order:
+                break
+            m, i = min(order)
+            plain[i:i + 2] = [m & 0xFFFFF]
+        assert own._merge_long(list(ids)) == plain

@@ -48,7 +48,7 @@ def test_passages(spark, awkward, nothing):
     twice = spark.createDataFrame([(1, " ".join(f"a{i}" for i in range(60))), (1, " ".join(f"a{i}" for i in range(60))),
                                    (2, "x " + " ".join(f"a{i}" for i in range(55)) + " y"), (3, None), (None, "")], "doc_id long, text string")
     spans = {(r["doc_id"], r["first_word"], r["n_words"]) for r in suffixes.passages(twice).collect()}
-    assert spans == {(1, 0, 55), (2, 1, 55)} or spans == {(1, 0, 55), (2, 1, 55), (1, 0, 60)}
+    assert spans == {(1, 0, 55), (2, 1, 55)}          # the repeated row is no partner of itself
 
 
 @pytest.mark.parametrize("salt_rows", [suffixes._SALT_ROWS, 7])
@@ -130,6 +130,15 @@ def test_lines(awkward, nothing):
     assert lines.repeated_lines(nothing).count() == 0
 
 
+def test_near_stage_without_ids_and_with_repeated_rows(spark):
+    """Of copies one stays, also where ids are NULL or rows repeat."""
+    words = [" ".join(f"a{k}x{i}" for i in range(60)) for k in range(4)]
+    rows = [(None, words[0], 1), (None, words[0], 2), (3, words[0] + " more", 3), (3, words[0] + " more", 4), (7, words[1], 5), (7, words[1], 6),
+            (None, words[2], 7), (None, words[2], 8), (None, words[2] + " end", 9), (None, words[3], 10), (None, None, 11), (None, None, 12), (8, "", 13)]
+    got = minhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string, n int"), percent=80, bands=34).collect()
+    assert sorted((r["doc_id"] or 0, (r["text"] or "")[:3]) for r in got) == [(0, ""), (0, "a2x"), (0, "a3x"), (3, "a0x"), (7, "a1x"), (8, "")]
+
+
 def test_langid(awkward, nothing):
     got = langid.predict_languages(awkward, awkward).collect()
     by = {r["doc_id"]: r for r in got}
