@@ -4,10 +4,11 @@ Vectors get one more coordinate, sqrt(M^2 - |x|^2) with M the largest norm, and
 are scaled to length M: then the nearest vector has the largest inner product. A Gaussian
 (2-stable) projection to ``dims`` dimensions turns a squared distance r^2 into r^2 times a chi-square variable. The
 projected vectors are indexed by a kd-tree (split points from a bounded sample; every vector is in a
-leaf, every leaf has its exact bounding box). A query first verifies the vectors of the leaves nearest to its projection, on the
-original vectors. With d_k, its k-th distance so far, a leaf at projected distance b may be left out once
-chi2_cdf(b^2 / d_k^2) >= ``sure``: each true neighbour is lost with probability 1 - ``sure`` at most. All leaves short of
-that are verified in the second round.
+leaf, every leaf has its exact bounding box). A query visits the leaves in the order of their distance from its projection, a few first,
+then more, then the rest, and verifies vectors on the original ones. With d_k, its k-th distance so far, a leaf or a vector at projected
+distance b is left out once chi2_cdf(b^2 / d_k^2) >= ``sure``: each true neighbour is lost with probability 1 - ``sure``
+at most. d_k is renewed from round to round, and inside a leaf after the vectors nearest in projection are verified; no
+product is formed with a vector that fails the test.
 
 Leaves with many vectors or queries (a vector that a third of all rows share) are split into chunks, each
 chunk of vectors meeting each chunk of queries.
@@ -34,11 +35,13 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 DIMS, SURE = 8, 0.97
-LEAF_ROWS, MOST_LEAVES = 1024, 2048
+LEAF_ROWS, MOST_LEAVES = 512, 8192
 CHUNK_VECTORS, CHUNK_QUERIES = 4096, 2048
 #: Vectors that the split points are read from, at most, and their bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 32_768, 64 << 20
-_FIRST_LEAVES = 3
+#: Leaves, by nearness, up to which the rounds go (the last one takes all).
+ROUNDS = (3, 16, MOST_LEAVES)
+_DENSE = 0.25                          # share of products from which a whole matrix product is cheaper
 
 
 def chi_square_cdf(x: float, dims: int) -> float:
@@ -141,36 +144,57 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def _meet(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    """The best k candidates (above the query's floor) of a chunk of vectors for each query of a chunk."""
-    names, kinds = ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()]
-    found: list[list[np.ndarray]] = [[], [], []]
+def _meet(left: pa.Table, right: pa.Table, k: int, index: Index, stop: float) -> pa.Table:
+    """The best k candidates (above the query's floor) of a chunk of vectors for each query of a chunk; and per query a row
+    without vec_id that says how many vectors were verified."""
+    names, kinds = ["query_id", "vec_id", "score", "verified"], [pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+    found: list[list] = [[], [], [], []]
     if left.num_rows and right.num_rows:
         ids, v = left.column("vec_id").to_numpy(), _matrix(left.column("vec"))
         qids, floors = right.column("query_id").to_numpy(), right.column("floor").to_numpy()
         q = _matrix(right.column("vec"))
+        pv, pq = index.project(v, False), index.project(q, True)
+        size = (pv * pv).sum(axis=1)
+        scale = index.norm / np.sqrt((q * q).sum(axis=1))
         for at in range(0, len(q), 256):
-            part, own = q[at:at + 256], qids[at:at + 256]
-            scores = part @ v.T
-            scores[own[:, None] == ids[None, :]] = -np.inf
-            least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(part), -np.inf)
-            least = np.maximum(least, floors[at:at + 256])
+            part, own, floor = q[at:at + 256], qids[at:at + 256], floors[at:at + 256].copy()
+            gaps = np.maximum((pq[at:at + 256] ** 2).sum(axis=1)[:, None] + size - 2 * (pq[at:at + 256] @ pv.T), 0)
+            gaps[own[:, None] == ids[None, :]] = np.inf
+            verified = np.zeros(len(part), np.int64)
+            few = min(len(ids), 2 * k)
+            if len(ids) > few:                      # the vectors nearest in projection give a first d_k
+                close = np.argpartition(gaps, few - 1, axis=1)[:, :few]
+                scores = np.einsum("id,ijd->ij", part, v[close])
+                scores[~np.isfinite(np.take_along_axis(gaps, close, axis=1))] = -np.inf
+                floor = np.maximum(floor, np.partition(scores, few - k, axis=1)[:, few - k])
+                verified += few
+            with np.errstate(invalid="ignore"):
+                reach = np.where(np.isfinite(floor), np.maximum(2 * index.norm ** 2 - 2 * scale[at:at + 256] * floor, 0) * stop, np.inf)
+            # rounding must not lose a vector at the query's own place
+            due = np.isfinite(gaps) & (gaps <= reach[:, None] + 1e-9 * index.norm ** 2)
+            rows, cols = np.nonzero(due)
+            verified = np.maximum(verified, np.bincount(rows, minlength=len(part)))
             # products of one matrix product may differ in the last bits for equal vectors: keep a margin, then score anew
-            margin = 1e-9 * np.maximum(1, np.abs(np.where(np.isfinite(least), least, 0)))
-            rows, cols = np.nonzero((scores >= (least - margin)[:, None]) & np.isfinite(scores))
+            if len(rows) > _DENSE * due.size:
+                scores = np.where(due, part @ v.T, -np.inf)
+                least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(part), -np.inf)
+                least = np.maximum(least, floor)
+                margin = 1e-9 * np.maximum(1, np.abs(np.where(np.isfinite(least), least, 0)))
+                rows, cols = np.nonzero((scores >= (least - margin)[:, None]) & due)
             exact = np.concatenate([(part[rows[i:i + 65536]] * v[cols[i:i + 65536]]).sum(axis=1)
                                     for i in range(0, len(rows), 65536)] or [np.zeros(0)])
             order = np.lexsort((ids[cols], -exact, rows))
             rows, cols, exact = rows[order], cols[order], exact[order]
-            first = np.searchsorted(rows, rows)
-            best = np.arange(len(rows)) - first < k
-            for held, new in zip(found, (own[rows[best]], ids[cols[best]], exact[best])):
-                held.append(new)
-    return pa.Table.from_arrays([pa.array(np.concatenate(f) if f else [], kind) for f, kind in zip(found, kinds)], names=names)
+            best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+            none = [None] * len(part)
+            for held, new in zip(found, ([*own[rows[best]].tolist(), *own.tolist()], [*ids[cols[best]].tolist(), *none],
+                                         [*exact[best].tolist(), *none], [0] * int(best.sum()) + verified.tolist())):
+                held += new
+    return pa.Table.from_arrays([pa.array(f, kind) for f, kind in zip(found, kinds)], names=names)
 
 
-def _round(vectors: DataFrame, visits: DataFrame, index: Index, k: int) -> DataFrame:
-    """Candidates (query_id, vec_id, score) of all ``visits`` (query_id, vec, floor, leaf)."""
+def _round(vectors: DataFrame, visits: DataFrame, index: Index, shared, k: int, stop: float) -> DataFrame:
+    """Candidates (query_id, vec_id, score, verified) of all ``visits`` (query_id, vec, floor, leaf)."""
     spark = vectors.sparkSession
     asked = {r["leaf"]: r["count"] for r in visits.groupBy("leaf").count().collect()}       # one row per leaf at most
     plan = spark.createDataFrame(
@@ -183,17 +207,20 @@ def _round(vectors: DataFrame, visits: DataFrame, index: Index, k: int) -> DataF
     keys = ["leaf", "vp", "qp"]
     v = salted(vectors, "vp", "v_parts", "qp", "q_parts").groupBy(*keys)
     q = salted(visits, "qp", "q_parts", "vp", "v_parts").groupBy(*keys)
-    return v.cogroup(q).applyInArrow(lambda a, b: _meet(a, b, k), "query_id long, vec_id long, score double")
+    return v.cogroup(q).applyInArrow(lambda a, b: _meet(a, b, k, shared.value, stop), "query_id long, vec_id long, score double, verified long")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query, and its count of verified vectors on its rows."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = found.where("vec_id is not null").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.drop("verified").join(found.groupBy("query_id").agg(F.sum("verified").alias("verified")), "query_id")
 
 
 def nearest(base: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding",
             dims: int = DIMS, sure: float = SURE) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's ``k`` nearest found among ``base`` (but its own id), best first."""
+    """(query_id, rank, vec_id, score, verified): each query's ``k`` nearest found among ``base`` (but its own id), best first, and
+    on how many original vectors the query was verified."""
     spark = base.sparkSession
     vectors = _usable(base, vec_id, vector)
     asked = _usable(queries, vec_id, vector).groupBy("vec_id").agg(F.min("vec").alias("vec"))
@@ -204,8 +231,8 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec
     parts = [_nearest_of(vectors.where(F.size("vec") == d), asked.where(F.size("vec") == d), d, sizes[d]["n"],
                          math.sqrt(sizes[d]["norm"]), k, dims, sure) for d in sorted(wanted) if d in sizes]
     if not parts:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    return reduce(DataFrame.unionByName, parts).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, verified long")
+    return reduce(DataFrame.unionByName, parts).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "verified")
 
 
 def _nearest_of(vectors: DataFrame, asked: DataFrame, d: int, n: int, norm: float, k: int, dims: int, sure: float) -> DataFrame:
@@ -214,7 +241,7 @@ def _nearest_of(vectors: DataFrame, asked: DataFrame, d: int, n: int, norm: floa
     place = F.pmod(F.xxhash64("vec_id"), F.lit(1_000_003))
     sample = vectors.where(place < max(1, min(1.0, 1.5 * most / n) * 1_000_003)).orderBy(place, "vec_id").limit(most)
     points = np.array([r["vec"] for r in sample.select("vec").toLocalIterator()], float).reshape(-1, d)
-    index = Index.build(points if len(points) else np.zeros((1, d)), norm, min(MOST_LEAVES, -(-n // LEAF_ROWS), max(1, len(points) // 16)), dims)
+    index = Index.build(points if len(points) else np.zeros((1, d)), norm, min(MOST_LEAVES, -(-n // LEAF_ROWS), max(1, len(points) // 4)), dims)
     shared = spark.sparkContext.broadcast(index)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +264,8 @@ def _nearest_of(vectors: DataFrame, asked: DataFrame, d: int, n: int, norm: floa
     boxed = spark.sparkContext.broadcast(index)
     stop = chi_square_point(sure, dims)
 
-    def visits(first: bool):
+    def visits(first: int, last: int):
+        """The leaves of the query, from the ``first`` up to the ``last`` by nearness, that its d_k so far leaves due."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = boxed.value
             for whole in batches:
@@ -245,34 +273,36 @@ def _nearest_of(vectors: DataFrame, asked: DataFrame, d: int, n: int, norm: floa
                     batch = whole.slice(start, 2048)
                     q = _matrix(batch.column("vec"))
                     gaps = x.box_distances(x.project(q, True))
-                    nearest_first = np.argsort(gaps, axis=1, kind="stable")[:, :_FIRST_LEAVES]
-                    near = np.zeros(gaps.shape, bool)
-                    np.put_along_axis(near, nearest_first, True, axis=1)
-                    floor = np.full(len(q), -np.inf)
-                    if not first:
-                        kth = batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
-                        scale = x.norm / np.sqrt((q * q).sum(axis=1))
-                        # d_k^2 of the scaled query; without k candidates every leaf is due
-                        reach = np.where(np.isnan(kth), np.inf, np.maximum(2 * x.norm ** 2 - 2 * scale * kth, 0) * stop)
-                        near = ~near & (gaps <= reach[:, None])
-                        floor = np.where(np.isnan(kth), -np.inf, kth)
-                    near &= np.isfinite(gaps)
+                    place = np.argsort(np.argsort(gaps, axis=1, kind="stable"), axis=1, kind="stable")
+                    kth = batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
+                    scale = x.norm / np.sqrt((q * q).sum(axis=1))
+                    # d_k^2 of the scaled query; without k candidates every leaf is due
+                    reach = np.where(np.isnan(kth), np.inf, np.maximum(2 * x.norm ** 2 - 2 * scale * kth, 0) * stop + 1e-9 * x.norm ** 2)
+                    near = (place >= first) & (place < last) & np.isfinite(gaps) & (gaps <= reach[:, None])
                     rows, leaves = np.nonzero(near)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("vec_id").take(pa.array(rows)), batch.column("vec").take(pa.array(rows)),
-                         pa.array(floor[rows]), pa.array(leaves.astype(np.int32))], names=["query_id", "vec", "floor", "leaf"])
+                         pa.array(np.where(np.isnan(kth), -np.inf, kth)[rows]), pa.array(leaves.astype(np.int32))],
+                        names=["query_id", "vec", "floor", "leaf"])
         return run
 
     out = "query_id long, vec array<double>, floor double, leaf int"
     slim = held.select("vec_id", "vec", "leaf")
-    one = materialize(_best(_round(slim, asked.mapInArrow(visits(True), out), index, k), k))
-    kth = one.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
-    again = asked.join(kth, "vec_id", "left").mapInArrow(visits(False), out)
-    two = _round(slim, again, index, k)
-    return _best(one.drop("rank").unionByName(two), k)
+    due, met, first = asked.withColumn("kth", F.lit(None).cast("double")), None, 0
+    for last in ROUNDS:
+        found = _round(slim, due.mapInArrow(visits(first, last), out), index, boxed, k, stop)
+        met = found if met is None else met.drop("rank").unionByName(found)
+        if last >= index.leaves:
+            break
+        first, met = last, materialize(_best(met, k))
+        # the rows of a query carry its count: kept once
+        met = met.withColumn("verified", F.when(F.col("rank") == 1, F.col("verified")).otherwise(F.lit(0)))
+        kth = met.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
+        due = asked.join(kth, "vec_id", "left").select("vec_id", "vec", "kth")
+    return _best(met, k)
 
 
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     vectors = spark.read.parquet(os.path.join(sf_dir, "embeddings.parquet")).select("vec_id", "embedding")
-    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0)).drop("verified")
