@@ -6,8 +6,8 @@ contexts and discounts of the lower orders follow from them in Spark. Models are
 per character) with the languages that hold each, searched by bisection; they are cut by ranges of contexts into
 parts of about ``PART_GRAMS``, and a task reads one part after the other. A text's language is
 the one of lowest cross-entropy per character. The score is a softmax of the differences at a
-temperature fitted on a sample of each language's learning texts; ``accepted`` is false where the cross-entropy is above
-nearly all of the learning texts of the predicted language.
+temperature fitted on all learning texts; ``accepted`` is false where the cross-entropy is above the exact
+``REJECT_ABOVE`` quantile of all learning texts of the predicted language, plus a margin.
 
 NULL texts and texts without letters are ``und`` with score 0. Without learning texts, all are. Languages whose
 learning texts hold no letters are never predicted. Ties go to the first language by name. Rows without language or id are not learned from; other columns are not read; repeated rows
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ntile import exact_quantiles
 from ..session import materialize
 from .textarrow import slices
 
@@ -33,10 +34,6 @@ ORDER = 4
 PART_GRAMS = 1_000_000
 #: Parts that a task keeps in memory, in bytes together; it reads the others again for every group of texts.
 HELD_BYTES = 256 << 20
-#: Learning texts of each language, at most and about, that calibrate the score and the rejection, and the
-#: cross-entropies that they may have together.
-CALIBRATION_TEXTS = 1_000
-CALIBRATION_CELLS = 4_000_000
 _CELLS = 1_000_000                     # grams times languages that are worked on at once
 _GROUP_GRAMS = 16_000_000              # characters of a group of texts
 REJECT_ABOVE = 0.999
@@ -280,20 +277,23 @@ def _entropies(texts: DataFrame, model: KneserNey, keep: dict[str, str]) -> Data
         run, ", ".join(f"`{c}` {k}" for c, k in keep.items()) + (", " if keep else "") + "ce array<double>")
 
 
-def _calibrate(sample, languages: list[str]) -> tuple[float, np.ndarray]:
-    """Temperature at which the mean score of right answers is likeliest, and the rejection level per language."""
-    levels = np.full(len(languages), np.inf)
-    if not len(sample):
-        return 20.0, levels
-    ce = np.array(sample["ce"].tolist())
-    truth = sample["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
-    for i in range(len(languages)):
-        if (truth == i).any():
-            levels[i] = np.quantile(ce[truth == i, i], REJECT_ABOVE) + 0.05
-    def loss(t: float) -> float:
-        z = -(ce - ce.min(axis=1, keepdims=True)) * t
-        return float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), truth]))
-    return min((2.0 ** e for e in np.arange(0, 9, 0.5)), key=loss), levels
+def _calibrate(scored: DataFrame, languages: list[str]) -> tuple[float, list[float]]:
+    """Temperature at which the mean score of right answers is likeliest, and the rejection level per language, from
+    the cross-entropies ``ce`` of all learning texts and their ``lang``."""
+    truth = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")).cast("int")
+    rows = materialize(scored.where("ce is not null").select("ce", F.array_min("ce").alias("best"), truth.alias("truth"))
+                       .where("truth > 0").withColumn("own", F.element_at("ce", F.col("truth"))))
+    temperatures = [float(2.0 ** e) for e in np.arange(0, 9, 0.5)]
+
+    def loss(t: float):
+        total = F.aggregate("ce", F.lit(0.0), lambda a, c: a + F.exp((F.col("best") - c) * t))
+        return F.avg(F.log(total) + (F.col("own") - F.col("best")) * t)
+    losses = rows.agg(*[loss(t).alias(f"t{i}") for i, t in enumerate(temperatures)]).first()
+    if losses[0] is None:
+        return 20.0, [float("inf")] * len(languages)
+    levels = exact_quantiles(rows, [F.when(F.col("truth") == i + 1, F.col("own")) for i in range(len(languages))], [REJECT_ABOVE])
+    return (min(zip(losses, temperatures))[1],
+            [float("inf") if level is None or level[0] is None else level[0] + 0.05 for level in levels])
 
 
 def predict_languages(docs: DataFrame, learn: DataFrame) -> DataFrame:
@@ -301,25 +301,18 @@ def predict_languages(docs: DataFrame, learn: DataFrame) -> DataFrame:
     ``learn`` (doc_id, text, lang)."""
     learn = learn.where("lang is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    found = sorted((r["lang"], r["count"]) for r in learn.groupBy("lang").count().collect())
-    languages = [x for x, _ in found]
+    languages = sorted(r["lang"] for r in learn.select("lang").distinct().collect())
     kind = {"doc_id": docs.schema["doc_id"].dataType.simpleString()}
     model = train(learn, languages) if languages else None
     if model is None:
         return docs.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(False).alias("accepted"), F.lit(None).cast("double").alias("cross_entropy"))
     languages = model.names
-    texts = min(CALIBRATION_TEXTS, max(1, CALIBRATION_CELLS // len(languages) ** 2))
-    counted = dict(found)
-    shares = F.map_from_arrays(F.array(*[F.lit(x) for x in languages]),
-                               F.array(*[F.lit(int(min(1.0, texts / counted[x]) * 10**9) + 1) for x in languages]))
-    sample = learn.where(F.pmod(F.xxhash64("doc_id"), F.lit(10**9)) < F.element_at(shares, F.col("lang")))
-    rows = _entropies(sample, model, {"lang": "string"}).where("ce is not null").toPandas()
-    temperature, levels = _calibrate(rows, languages)
+    temperature, levels = _calibrate(_entropies(learn, model, {"lang": "string"}), languages)
     best = F.array_min("ce")
     place = F.array_position("ce", best).cast("int")
     scored = _entropies(docs, model, kind).withColumn("best", best).withColumn("place", place)
-    names, most = F.array(*[F.lit(x) for x in languages]), F.array(*[F.lit(float(x)) for x in levels])
+    names, most = F.array(*[F.lit(x) for x in languages]), F.array(*[F.lit(x) for x in levels])
     total = F.aggregate("ce", F.lit(0.0), lambda a, c: a + F.exp((F.col("best") - c) * temperature))
     some = F.col("ce").isNotNull()
     return scored.select(

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,6 +194,21 @@ def test_langid_whole_models(spark, monkeypatch):
     assert all(r["cross_entropy"] == pytest.approx(whole[i]["cross_entropy"]) for i, r in parts.items())
 
 
+def test_langid_calibrates_on_all_learning_texts(spark):
+    """The rejection level is the quantile of all texts of a language, the rare odd ones included."""
+    rng = random.Random(9)
+    texts = [(i, " ".join(rng.choice(["house", "tree", "river", "stone"]) for _ in range(rng.randint(5, 20))), "en") for i in range(4_000)]
+    texts += [(5_000 + i, " ".join(["house"] * (12 - i) + ["".join(rng.choice("qxzjkvw") for _ in range(9)) for _ in range(3 + i)]), "en") for i in range(8)]
+    texts += [(6_000 + i, " ".join(rng.choice(["haus", "baum", "fluss", "stein"]) for _ in range(9)), "de") for i in range(1_500)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(4)
+    got = langid.predict_languages(docs, docs).collect()
+    for lang in ("en", "de"):
+        mine = [r for r in got if r["lang_pred"] == lang]
+        assert len(mine) == sum(x == lang for _, _, x in texts)
+        level = np.quantile([r["cross_entropy"] for r in mine], langid.REJECT_ABOVE) + 0.05
+        assert [r["accepted"] for r in mine] == [r["cross_entropy"] <= level for r in mine]
+
+
 def test_simhash(awkward, nothing, spark):
     got = simhash.fingerprint_documents(awkward).collect()
     assert len(got) == len(ROWS) and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
