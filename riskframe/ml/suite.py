@@ -12,7 +12,7 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import InheritableThread, StorageLevel
@@ -72,20 +72,29 @@ class TrainResult:
     model: Any
     duration_s: float
     metrics: list[tuple[str, str, float]]   # (split, metric, value)
+    scored: dict[str, DataFrame] = field(default_factory=dict)   # split -> (label, prediction), if kept
 
 
 def train_and_evaluate(task: str, key: str, splits: dict[str, DataFrame],
-                       seed: int = 42) -> TrainResult:
-    """Fit one catalog model on ``splits['train']`` and score every split."""
+                       seed: int = 42, keep_scored: bool = False) -> TrainResult:
+    """Fit one catalog model on ``splits['train']`` and score every split.
+
+    With ``keep_scored`` the result has each split's label and prediction, persisted before the metrics are taken
+    from them: for more figures of the same predictions, which are then computed once. The caller unpersists them.
+    """
     name, est = model_catalog(task, seed)[key]
     start = time.time()
     model = est.fit(splits["train"])
     duration = time.time() - start
-    rows = []
+    rows, kept = [], {}
     for split, df in splits.items():
-        for r in evaluate(task, model.transform(df)).collect():    # 2-4 metric rows
+        scored = model.transform(df)
+        if keep_scored:
+            label = LABEL_CLASS if task == CLASSIFICATION else LABEL_REG
+            scored = kept[split] = scored.select(label, "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+        for r in evaluate(task, scored).collect():    # 2-4 metric rows
             rows.append((split, r["metric"], float(r["value"]) if r["value"] is not None else None))
-    return TrainResult(task, key, name, model, duration, rows)
+    return TrainResult(task, key, name, model, duration, rows, kept)
 
 
 def chosen(wanted: Sequence[str] | str, known: Sequence[str], what: str) -> list[str]:

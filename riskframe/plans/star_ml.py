@@ -70,8 +70,8 @@ t AS (SELECT o_orderkey, o_orderstatus, o_totalprice,
 
 def labelled_rows(spark, sf_dir, staged=False):
     rows = feat.add_labels(feat.select_rows(order_table(spark, sf_dir), SPEC), SPEC)
-    # the fits below scan their input several times: compute the joins once
-    return stage_table(rows, "ml_rows") if staged else rows
+    # the fits below scan their input several times: compute the joins once, and give every core as many rows
+    return stage_table(rows, "ml_rows", even=True) if staged else rows
 
 
 @query
@@ -181,11 +181,10 @@ _EVALUATORS = {
 def _model_query(task, key):
     def run(spark, sf_dir):
         splits, _ = prepared_splits(spark, sf_dir)
-        res = suite.train_and_evaluate(task, key, splits)
+        res = suite.train_and_evaluate(task, key, splits, keep_scored=True)
         evaluator, label = _EVALUATORS[task]
         rows = []
-        for split, df in splits.items():
-            scored = res.model.transform(df).select(label, "prediction").cache()
+        for split, scored in res.scored.items():
             agree = all(math.isclose(v, evaluator(labelCol=label, metricName=m).evaluate(scored), rel_tol=1e-6, abs_tol=1e-6)
                         for s, m, v in res.metrics if s == split)
             rows.append((split, scored.count(), agree, all(math.isfinite(v) for s, _, v in res.metrics if s == split)))

@@ -435,7 +435,7 @@ def ml_job(spark: SparkSession, cleaned: DataFrame, tasks=("classification", "re
     rows = rows.select(*numeric, *ind, feat.LABEL_CLASS, feat.LABEL_REG,
                        *([by.alias("__u")] if by is not None else [unit_hash(numeric + ind + ["loan_status"], seed).alias("__u")]))
     with wide_rows(spark):
-        rows = stage_table(rows, "ml_rows")
+        rows = stage_table(rows, "ml_rows", even=True)
     if not rows.take(1):
         raise ValueError("no finished loans with a target to train on")
     train, val, test = split_rows(rows, [0.7, 0.15, 0.15], by=F.col("__u"))

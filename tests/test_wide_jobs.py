@@ -4,9 +4,11 @@ import random
 
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from riskframe.ml import suite
 from riskframe.ml.features import FEATURES, LABEL_CLASS, LABEL_REG
+from riskframe.plans import star_ml
 from riskframe.session import wide_rows
 from riskframe.sources.files import infer_types
 
@@ -46,3 +48,36 @@ def test_forests_keep_each_rows_node(spark):
         small = forest.copy({forest.numTrees: 4, forest.maxDepth: 4})
         plain = small.copy({small.cacheNodeIds: False})
         assert small.fit(df).toDebugString.split("\n", 1)[1] == plain.fit(df).toDebugString.split("\n", 1)[1]
+
+
+def test_fits_read_as_many_rows_on_every_core(spark, monkeypatch):
+    """The joined rows come in one partition more than there are cores, of unequal sizes; the fits read equal ones, with every row."""
+    cores = spark.sparkContext.defaultParallelism
+    key = F.col("o_orderkey")
+    rows = spark.range(0, 4000 * (cores + 1), 1, cores + 1).withColumnRenamed("id", "o_orderkey").filter(
+        (key < 4000 * cores) | (key % 4000 < 30)).select(
+        key, F.lit("F").alias("o_orderstatus"), (key * 1.5).alias("o_totalprice"),
+        *[(key % 7).cast("double").alias(c) for c in star_ml.NUMERIC])
+    monkeypatch.setattr(star_ml, "order_table", lambda *_: rows)
+    staged = star_ml.labelled_rows(spark, "", staged=True)
+    sizes = [r["count"] for r in staged.groupBy(F.spark_partition_id()).count().collect()]
+    assert staged.rdd.getNumPartitions() == len(sizes) == cores
+    assert max(sizes) - min(sizes) <= cores + 1
+    assert sorted(r["o_orderkey"] for r in staged.select("o_orderkey").collect()) == [
+        k for k in range(4000 * (cores + 1)) if k < 4000 * cores or k % 4000 < 30]
+
+
+def test_kept_predictions_are_those_of_the_metrics(spark):
+    """Kept predictions are stored, so further figures do not score the rows again, and give the metrics of an ordinary run."""
+    rng = random.Random(6)
+    rows = [(Vectors.dense([rng.random() for _ in range(3)]), float(rng.random() < 0.4), rng.random() * 9) for _ in range(200)]
+    df = spark.createDataFrame(rows, [FEATURES, LABEL_CLASS, LABEL_REG])
+    for task, label in ((suite.CLASSIFICATION, LABEL_CLASS), (suite.REGRESSION, LABEL_REG)):
+        plain = suite.train_and_evaluate(task, "lr", {"train": df, "test": df.limit(50)})
+        kept = suite.train_and_evaluate(task, "lr", {"train": df, "test": df.limit(50)}, keep_scored=True)
+        assert plain.scored == {} and list(kept.scored) == ["train", "test"]
+        assert kept.metrics == [(s, m, pytest.approx(v)) for s, m, v in plain.metrics]
+        for split, n in (("train", 200), ("test", 50)):
+            scored = kept.scored[split]
+            assert scored.is_cached and scored.columns == [label, "prediction"] and scored.count() == n
+            scored.unpersist()
