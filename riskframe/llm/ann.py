@@ -10,8 +10,10 @@ distance b is left out once chi2_cdf(b^2 / d_k^2) >= ``sure``: each true neighbo
 at most. d_k is renewed from round to round, and inside a leaf after the vectors nearest in projection are verified; no
 product is formed with a vector that fails the test.
 
-Leaves with many vectors or queries (a vector that a third of all rows share) are split into chunks, each
-chunk of vectors meeting each chunk of queries.
+Neighbouring leaves are met in bundles of at most ``CHUNK_VECTORS`` vectors: a query is sent once to a bundle, with a bit for every leaf in
+it that is due. Bundles with many vectors or queries (a vector that a third of all rows share) are split into chunks, each
+chunk of vectors meeting each chunk of queries. A query that little can be left out for goes to most bundles, so what a task
+holds at once is bounded: distances to ``BLOCK_CELLS`` boxes, and ``BLOCK_BYTES`` of vectors in a batch.
 
 Vectors NULL, zero, or holding NULL or non-finite components take no part, nor do rows
 without an id. Queries meet vectors of their own dimension only. A query id that repeats is asked once, with its
@@ -36,7 +38,9 @@ from ..session import materialize
 
 DIMS, SURE = 8, 0.97
 LEAF_ROWS, MOST_LEAVES = 512, 8192
-CHUNK_VECTORS, CHUNK_QUERIES = 4096, 2048
+CHUNK_VECTORS, CHUNK_QUERIES, BUNDLE_LEAVES = 4096, 2048, 32
+#: Pairs of a query and a box, and bytes of query vectors, that a task holds at once while it lists the leaves to visit.
+BLOCK_CELLS, BLOCK_BYTES = 1 << 18, 4 << 20
 #: Vectors that the split points are read from, at most, and their bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 32_768, 64 << 20
 #: Leaves, by nearness, up to which the rounds go (the last one takes all).
@@ -74,6 +78,8 @@ class Index:
     low: np.ndarray | None = None
     high: np.ndarray | None = None
     rows: np.ndarray | None = None
+    bundle: np.ndarray | None = None   # of every leaf, and its place there
+    bit: np.ndarray | None = None
 
     @classmethod
     def build(cls, sample: np.ndarray, norm: float, leaves: int, dims: int, seed: int = 5) -> Index:
@@ -129,6 +135,19 @@ class Index:
         out[:, self.rows == 0] = np.inf
         return out
 
+    def tie(self) -> None:
+        """Bundles of consecutive leaves with at most CHUNK_VECTORS vectors together; a larger leaf stays alone."""
+        self.bundle, self.bit = np.zeros(self.leaves, np.int64), np.zeros(self.leaves, np.int64)
+        at, size, held = 0, 0, 0
+        for leaf, n in enumerate(self.rows.tolist()):
+            if held and (size + n > CHUNK_VECTORS or held == BUNDLE_LEAVES):
+                at, size, held = at + 1, 0, 0
+            self.bundle[leaf], self.bit[leaf] = at, held
+            size, held = size + n, held + 1
+
+    def bundle_rows(self) -> np.ndarray:
+        return np.bincount(self.bundle, weights=self.rows).astype(np.int64)
+
 
 def _usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     v = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vec"))
@@ -145,68 +164,124 @@ def _matrix(column) -> np.ndarray:
 
 
 def _meet(left: pa.Table, right: pa.Table, k: int, index: Index, stop: float) -> pa.Table:
-    """The best k candidates (above the query's floor) of a chunk of vectors for each query of a chunk; and per query a row
-    without vec_id that says how many vectors were verified."""
-    names, kinds = ["query_id", "vec_id", "score", "verified"], [pa.int64(), pa.int64(), pa.float64(), pa.int64()]
-    found: list[list] = [[], [], [], []]
+    """The best k candidates (above the query's floor) of a chunk of a bundle's vectors for each query of a chunk, leaf by leaf; and per
+    query and leaf a row without vec_id that says how many vectors were verified."""
+    found: list[list[np.ndarray]] = [[], [], [], []]
     if left.num_rows and right.num_rows:
-        ids, v = left.column("vec_id").to_numpy(), _matrix(left.column("vec"))
-        qids, floors = right.column("query_id").to_numpy(), right.column("floor").to_numpy()
+        ids, v, leaf = left.column("vec_id").to_numpy(), _matrix(left.column("vec")), left.column("leaf").to_numpy()
+        qids, floors, due = (right.column(c).to_numpy() for c in ("query_id", "floor", "due"))
         q = _matrix(right.column("vec"))
         pv, pq = index.project(v, False), index.project(q, True)
         size = (pv * pv).sum(axis=1)
         scale = index.norm / np.sqrt((q * q).sum(axis=1))
-        for at in range(0, len(q), 256):
-            part, own, floor = q[at:at + 256], qids[at:at + 256], floors[at:at + 256].copy()
-            gaps = np.maximum((pq[at:at + 256] ** 2).sum(axis=1)[:, None] + size - 2 * (pq[at:at + 256] @ pv.T), 0)
-            gaps[own[:, None] == ids[None, :]] = np.inf
-            verified = np.zeros(len(part), np.int64)
-            few = min(len(ids), 2 * k)
-            if len(ids) > few:                      # the vectors nearest in projection give a first d_k
-                close = np.argpartition(gaps, few - 1, axis=1)[:, :few]
-                scores = np.einsum("id,ijd->ij", part, v[close])
-                scores[~np.isfinite(np.take_along_axis(gaps, close, axis=1))] = -np.inf
-                floor = np.maximum(floor, np.partition(scores, few - k, axis=1)[:, few - k])
-                verified += few
-            with np.errstate(invalid="ignore"):
-                reach = np.where(np.isfinite(floor), np.maximum(2 * index.norm ** 2 - 2 * scale[at:at + 256] * floor, 0) * stop, np.inf)
-            # rounding must not lose a vector at the query's own place
-            due = np.isfinite(gaps) & (gaps <= reach[:, None] + 1e-9 * index.norm ** 2)
-            rows, cols = np.nonzero(due)
-            verified = np.maximum(verified, np.bincount(rows, minlength=len(part)))
-            # products of one matrix product may differ in the last bits for equal vectors: keep a margin, then score anew
-            if len(rows) > _DENSE * due.size:
-                scores = np.where(due, part @ v.T, -np.inf)
-                least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(part), -np.inf)
-                least = np.maximum(least, floor)
-                margin = 1e-9 * np.maximum(1, np.abs(np.where(np.isfinite(least), least, 0)))
-                rows, cols = np.nonzero((scores >= (least - margin)[:, None]) & due)
-            exact = np.concatenate([(part[rows[i:i + 65536]] * v[cols[i:i + 65536]]).sum(axis=1)
-                                    for i in range(0, len(rows), 65536)] or [np.zeros(0)])
-            order = np.lexsort((ids[cols], -exact, rows))
-            rows, cols, exact = rows[order], cols[order], exact[order]
-            best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
-            none = [None] * len(part)
-            for held, new in zip(found, ([*own[rows[best]].tolist(), *own.tolist()], [*ids[cols[best]].tolist(), *none],
-                                         [*exact[best].tolist(), *none], [0] * int(best.sum()) + verified.tolist())):
-                held += new
-    return pa.Table.from_arrays([pa.array(f, kind) for f, kind in zip(found, kinds)], names=names)
-
-
-def _round(vectors: DataFrame, visits: DataFrame, index: Index, shared, k: int, stop: float) -> DataFrame:
-    """Candidates (query_id, vec_id, score, verified) of all ``visits`` (query_id, vec, floor, leaf)."""
+        for at in np.unique(leaf).tolist():
+            own, asked = np.flatnonzero(leaf == at), np.flatnonzero(due >> index.bit[at] & 1)
+            some = ids[own], v[own], pv[own], size[own]
+            for start in range(0, len(asked), 256):
+                rows = asked[start:start + 256]
+                _meet_block(found, some, (qids[rows], q[rows], pq[rows], floors[rows], scale[rows]), k, index, stop)
+    query, vec, score, verified = (np.concatenate(f) if f else np.zeros(0) for f in found)
+    lacks = verified >= 0
+    return pa.Table.from_arrays([pa.array(query.astype(np.int64)), pa.array(vec.astype(np.int64), mask=lacks), pa.array(score.astype(float), mask=lacks),
+                                 pa.array(np.maximum(verified, 0).astype(np.int64))], names=["query_id", "vec_id", "score", "verified"])
+
+
+def _meet_block(found: list[list[np.ndarray]], vectors: tuple, queries: tuple, k: int, index: Index, stop: float) -> None:
+    """Add to ``found`` (ids of query and vector, score, -1) for each query's best of one leaf, and (id, 0, 0, vectors verified)."""
+    ids, v, pv, size = vectors
+    own, part, pq, floor, scale = queries
+    gaps = np.maximum((pq ** 2).sum(axis=1)[:, None] + size - 2 * (pq @ pv.T), 0)
+    gaps[own[:, None] == ids[None, :]] = np.inf
+    verified = np.zeros(len(part), np.int64)
+    few = min(len(ids), 2 * k)
+    if len(ids) > few:                      # the vectors nearest in projection give a first d_k
+        close = np.argpartition(gaps, few - 1, axis=1)[:, :few]
+        scores = np.einsum("id,ijd->ij", part, v[close])
+        scores[~np.isfinite(np.take_along_axis(gaps, close, axis=1))] = -np.inf
+        floor = np.maximum(floor, np.partition(scores, few - k, axis=1)[:, few - k])
+        verified += few
+    with np.errstate(invalid="ignore"):
+        reach = np.where(np.isfinite(floor), np.maximum(2 * index.norm ** 2 - 2 * scale * floor, 0) * stop, np.inf)
+    # rounding must not lose a vector at the query's own place
+    due = np.isfinite(gaps) & (gaps <= reach[:, None] + 1e-9 * index.norm ** 2)
+    rows, cols = np.nonzero(due)
+    verified = np.maximum(verified, np.bincount(rows, minlength=len(part)))
+    # products of one matrix product may differ in the last bits for equal vectors: keep a margin, then score anew
+    if len(rows) > _DENSE * due.size:
+        scores = np.where(due, part @ v.T, -np.inf)
+        least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(part), -np.inf)
+        least = np.maximum(least, floor)
+        margin = 1e-9 * np.maximum(1, np.abs(np.where(np.isfinite(least), least, 0)))
+        rows, cols = np.nonzero((scores >= (least - margin)[:, None]) & due)
+    step = max(1, BLOCK_BYTES // (8 * v.shape[1]))
+    exact = np.concatenate([(part[rows[i:i + step]] * v[cols[i:i + step]]).sum(axis=1) for i in range(0, len(rows), step)] or [np.zeros(0)])
+    order = np.lexsort((ids[cols], -exact, rows))
+    rows, cols, exact = rows[order], cols[order], exact[order]
+    best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    n, none = int(best.sum()), np.zeros(len(part))
+    for held, new in zip(found, ((own[rows[best]], own), (ids[cols[best]], none.astype(np.int64)), (exact[best], none), (np.full(n, -1), verified))):
+        held += new
+
+
+def _round(vectors: DataFrame, due: DataFrame, first: int, last: int, index: Index, shared, k: int, stop: float) -> DataFrame:
+    """Candidates (query_id, vec_id, score, verified) of the queries ``due`` (vec_id, vec, kth) in their leaves from the ``first`` up to
+    the ``last`` by nearness that their d_k so far leaves due."""
     spark = vectors.sparkSession
-    asked = {r["leaf"]: r["count"] for r in visits.groupBy("leaf").count().collect()}       # one row per leaf at most
+
+    def listed(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of a block of queries: its first row, and for each bundle to visit the row, the bundle and the bits of its leaves."""
+        x = shared.value
+        step = max(1, BLOCK_CELLS // x.leaves)
+        starts = np.flatnonzero(np.r_[True, np.diff(x.bundle) > 0])
+        for start in range(0, batch.num_rows, step):
+            block = batch.slice(start, step)
+            q = _matrix(block.column("vec"))
+            gaps = x.box_distances(x.project(q, True))
+            place = np.argsort(np.argsort(gaps, axis=1, kind="stable"), axis=1, kind="stable")
+            kth = block.column("kth").to_numpy(zero_copy_only=False).astype(float)
+            scale = x.norm / np.sqrt((q * q).sum(axis=1))
+            # d_k^2 of the scaled query; without k candidates every leaf is due
+            reach = np.where(np.isnan(kth), np.inf, np.maximum(2 * x.norm ** 2 - 2 * scale * kth, 0) * stop + 1e-9 * x.norm ** 2)
+            near = (place >= first) & (place < last) & np.isfinite(gaps) & (gaps <= reach[:, None])
+            bits = np.add.reduceat(near << x.bit, starts, axis=1)
+            rows, bundles = np.nonzero(bits)
+            yield start, rows, bundles, bits[rows, bundles]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = np.zeros(int(shared.value.bundle[-1]) + 1, np.int64)
+        for batch in batches:
+            for _, _, bundles, _ in listed(batch):
+                asked += np.bincount(bundles, minlength=len(asked))
+        some = np.flatnonzero(asked)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(asked[some])], names=["bundle", "n"])
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, rows, bundles, bits in listed(batch):
+                block, step = batch.slice(start), max(1, BLOCK_BYTES // (8 * shared.value.matrix.shape[0]))
+                kth = block.column("kth").to_numpy(zero_copy_only=False).astype(float)
+                floor = np.where(np.isnan(kth), -np.inf, kth)
+                for i in range(0, len(rows), step):
+                    at = rows[i:i + step]
+                    yield pa.RecordBatch.from_arrays(
+                        [block.column("vec_id").take(pa.array(at)), block.column("vec").take(pa.array(at)), pa.array(floor[at]),
+                         pa.array(bundles[i:i + step].astype(np.int32)), pa.array(bits[i:i + step])], names=["query_id", "vec", "floor", "bundle", "due"])
+
+    # few queries come in one partition, but may have many leaves to visit
+    due = due.repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    asked = {r["bundle"]: r["n"] for r in due.mapInArrow(counted, "bundle int, n long").groupBy("bundle").agg(F.sum("n").alias("n")).collect()}   # one row per bundle at most
+    rows = index.bundle_rows()
     plan = spark.createDataFrame(
-        [(leaf, max(1, -(-int(index.rows[leaf]) // CHUNK_VECTORS)), -(-n // CHUNK_QUERIES)) for leaf, n in sorted(asked.items())]
-        or [(-1, 1, 1)], "leaf int, v_parts int, q_parts int")
+        [(b, max(1, -(-int(rows[b]) // CHUNK_VECTORS)), -(-n // CHUNK_QUERIES)) for b, n in sorted(asked.items())]
+        or [(-1, 1, 1)], "bundle int, v_parts int, q_parts int")
     def salted(df, own, own_parts, other, other_parts):
-        return (df.join(F.broadcast(plan), "leaf")
+        return (df.join(F.broadcast(plan), "bundle")
                 .withColumn(own, F.pmod(F.xxhash64("vec_id" if own == "vp" else "query_id"), F.col(own_parts)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_parts) - 1))).drop("v_parts", "q_parts"))
-    keys = ["leaf", "vp", "qp"]
+    keys = ["bundle", "vp", "qp"]
+    asking = due.mapInArrow(visits, "query_id long, vec array<double>, floor double, bundle int, due long")
     v = salted(vectors, "vp", "v_parts", "qp", "q_parts").groupBy(*keys)
-    q = salted(visits, "qp", "q_parts", "vp", "v_parts").groupBy(*keys)
+    q = salted(asking, "qp", "q_parts", "vp", "v_parts").groupBy(*keys)
     return v.cogroup(q).applyInArrow(lambda a, b: _meet(a, b, k, shared.value, stop), "query_id long, vec_id long, score double, verified long")
 
 
@@ -261,36 +336,21 @@ def _nearest_of(vectors: DataFrame, asked: DataFrame, d: int, n: int, norm: floa
         index.rows[r["leaf"]] = r["n"]
         index.low[r["leaf"]] = [r[f"min{i}"] for i in range(dims)]
         index.high[r["leaf"]] = [r[f"max{i}"] for i in range(dims)]
+    index.tie()
     boxed = spark.sparkContext.broadcast(index)
     stop = chi_square_point(sure, dims)
 
-    def visits(first: int, last: int):
-        """The leaves of the query, from the ``first`` up to the ``last`` by nearness, that its d_k so far leaves due."""
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            x = boxed.value
-            for whole in batches:
-                for start in range(0, whole.num_rows, 2048):
-                    batch = whole.slice(start, 2048)
-                    q = _matrix(batch.column("vec"))
-                    gaps = x.box_distances(x.project(q, True))
-                    place = np.argsort(np.argsort(gaps, axis=1, kind="stable"), axis=1, kind="stable")
-                    kth = batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
-                    scale = x.norm / np.sqrt((q * q).sum(axis=1))
-                    # d_k^2 of the scaled query; without k candidates every leaf is due
-                    reach = np.where(np.isnan(kth), np.inf, np.maximum(2 * x.norm ** 2 - 2 * scale * kth, 0) * stop + 1e-9 * x.norm ** 2)
-                    near = (place >= first) & (place < last) & np.isfinite(gaps) & (gaps <= reach[:, None])
-                    rows, leaves = np.nonzero(near)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("vec_id").take(pa.array(rows)), batch.column("vec").take(pa.array(rows)),
-                         pa.array(np.where(np.isnan(kth), -np.inf, kth)[rows]), pa.array(leaves.astype(np.int32))],
-                        names=["query_id", "vec", "floor", "leaf"])
-        return run
+    def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = boxed.value
+        for batch in batches:
+            leaf = x.leaf_of(x.project(_matrix(batch.column("vec")), False) if batch.num_rows else np.zeros((0, dims)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf.astype(np.int32)), pa.array(x.bundle[leaf].astype(np.int32))],
+                                             names=["vec_id", "vec", "leaf", "bundle"])
 
-    out = "query_id long, vec array<double>, floor double, leaf int"
-    slim = held.select("vec_id", "vec", "leaf")
+    slim = vectors.mapInArrow(bundled, "vec_id long, vec array<double>, leaf int, bundle int")
     due, met, first = asked.withColumn("kth", F.lit(None).cast("double")), None, 0
     for last in ROUNDS:
-        found = _round(slim, due.mapInArrow(visits(first, last), out), index, boxed, k, stop)
+        found = _round(slim, due, first, last, index, boxed, k, stop)
         met = found if met is None else met.drop("rank").unionByName(found)
         if last >= index.leaves:
             break
