@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from riskframe.ml import suite
 from riskframe.ml.features import FEATURES, LABEL_CLASS, LABEL_REG
+from riskframe.ml.metrics import classification_metrics
 from riskframe.plans import star_ml
 from riskframe.session import wide_rows
 from riskframe.sources.files import infer_types
@@ -81,3 +82,21 @@ def test_kept_predictions_are_those_of_the_metrics(spark):
             scored = kept.scored[split]
             assert scored.is_cached and scored.columns == [label, "prediction"] and scored.count() == n
             scored.unpersist()
+
+
+def test_predictions_are_made_once_for_the_metrics(spark):
+    """Classification metrics ask for each row's prediction once, and count classes never predicted, never seen, or missing."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def predict(p):
+        made.add(1)
+        return p
+
+    rows = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 1.0), (2.0, 0.0), (1.0, 3.0), (None, 1.0), (1.0, None), (None, None)]
+    df = spark.createDataFrame(rows, "label_class double, p double").withColumn("prediction", predict("p"))
+    got = {r["metric"]: r["value"] for r in classification_metrics(df).collect()}
+    assert made.value == len(rows)
+    # class 0: precision 1/2, recall 1/2, 2 rows; class 1: 2/4, 2/4, 4 rows; class 2 and the missing one: 0
+    assert got == {"accuracy": pytest.approx(3 / 9), "weightedRecall": pytest.approx(3 / 9),
+                   "weightedPrecision": pytest.approx((2 * 0.5 + 4 * 0.5) / 9), "f1": pytest.approx((2 * 0.5 + 4 * 0.5) / 9)}
