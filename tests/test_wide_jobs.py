@@ -1,6 +1,7 @@
 """Steps of the wide and iterative jobs that keep them in proportion to their input."""
 
 import random
+import threading
 
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -100,3 +101,23 @@ def test_predictions_are_made_once_for_the_metrics(spark):
     # class 0: precision 1/2, recall 1/2, 2 rows; class 1: 2/4, 2/4, 4 rows; class 2 and the missing one: 0
     assert got == {"accuracy": pytest.approx(3 / 9), "weightedRecall": pytest.approx(3 / 9),
                    "weightedPrecision": pytest.approx((2 * 0.5 + 4 * 0.5) / 9), "f1": pytest.approx((2 * 0.5 + 4 * 0.5) / 9)}
+
+
+def test_models_with_many_rows_a_core_are_fitted_one_at_a_time(spark, monkeypatch):
+    """Side by side only while the training rows a core are few; the results are the same."""
+    rng = random.Random(7)
+    rows = [(Vectors.dense([rng.random() for _ in range(3)]), float(rng.random() < 0.4), rng.random() * 9) for _ in range(200)]
+    df = spark.createDataFrame(rows, [FEATURES, LABEL_CLASS, LABEL_REG])
+    fitted, fit = [], suite.train_and_evaluate
+    monkeypatch.setattr(suite, "train_and_evaluate", lambda *a, **k: fitted.append(threading.current_thread()) or fit(*a, **k))
+
+    def run():
+        fitted.clear()
+        table, _ = suite.train_suite(spark, {"train": df, "test": df.limit(50)}, models="lr", side_by_side=2)
+        return sorted(map(tuple, table.drop("duration_s").collect())), threading.main_thread() in fitted
+
+    few, in_line = run()
+    assert not in_line and len(fitted) == 2
+    monkeypatch.setattr(suite, "BESIDE_ROWS", 10, raising=False)
+    many, in_line = run()
+    assert in_line and len(fitted) == 2 and few == many
